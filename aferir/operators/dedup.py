@@ -20,9 +20,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def any_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; ordered by all columns so that reruns pick the same row."""
+    """One row per key; ordered by all columns so that reruns pick the same row.
+
+    Equal rows are merged by hash first, which is what shrinks a table that repeats its keys.
+    """
     rest = sorted(c for c in df.columns if c not in keys)
-    return keep_first(df, keys, rest) if rest else df.dropDuplicates(list(keys))
+    return keep_first(df.distinct(), keys, rest) if rest else df.distinct()
 
 
 def latest_per_key(

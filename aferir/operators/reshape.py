@@ -155,15 +155,14 @@ def diagonal_union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def header_positions(
-    rows: DataFrame, is_header: Column, aliases: DataFrame | None = None, fold: bool = True
+    rows: DataFrame, is_header: Column, aliases: DataFrame, ignored: Iterable[str] = ()
 ) -> DataFrame:
     """One row per source: map from canonical name to cell position.
 
-    ``rows`` holds ``fonte`` and ``cells`` (array of text). ``aliases`` (header, target) names the
-    headers; without it a header is its own name. Of equal headers in one source the last column
-    counts; of several headers with one target the first counts.
+    ``rows`` holds ``fonte`` and ``cells`` (array of text); ``aliases`` maps folded headers to
+    canonical names. Of equal headers in one source the last column counts; of several headers with
+    one target the first counts.
     """
-    key = V.fold_header if fold else V.strip_text
     cells = (
         rows.where(is_header)
         .select("fonte", F.posexplode("cells").alias("pos", "raw"))
@@ -171,13 +170,11 @@ def header_positions(
         .withColumn("raw", V.strip_text(F.col("raw")))
         .groupBy("fonte", "raw")
         .agg(F.min("pos").alias("first_pos"), F.max("pos").alias("pos"))
-        .withColumn("header", key(F.col("raw")))
+        .where(~F.col("raw").isin(*ignored))
+        .withColumn("header", V.fold_header(F.col("raw")))
     )
-    if aliases is None:
-        named = cells.withColumn("target", F.col("raw"))
-    else:
-        # The alias list is a constant of the layout, well under 1,000 rows.
-        named = cells.join(F.broadcast(aliases), "header")
+    # The alias list is a constant of the layout, well under 1,000 rows.
+    named = cells.join(F.broadcast(aliases), "header")
     first = named.groupBy("fonte", "target").agg(F.min_by("pos", "first_pos").alias("pos"))
     # collect_list holds one entry per column of one source.
     return materialise(
