@@ -22,6 +22,7 @@ from aferir.plans.build import (
 from aferir.schemas import sheets
 from aferir.schemas.common import YEARS_WITHOUT_EXAM
 from aferir.schemas.layout import Layout
+from aferir.session import materialise
 from aferir.sources.delimited import read_codes
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
@@ -78,7 +79,8 @@ def _build(
     if not stale:
         return report
     texts, published = _sheet_texts(spark, {y: files[y] for y in stale}, layout, skip, table)
-    cleaned = clean(texts, published).drop("fonte")
+    # Gates and write share one computation.
+    cleaned = materialise(clean(texts, published).drop("fonte"))
     failures = missing_columns(published, required)
     failures += gate_years(cleaned, stale, layout.keys)
     return write_passing_years(cleaned, path, report, stale, failures)

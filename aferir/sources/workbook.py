@@ -136,7 +136,8 @@ def read_sheets(
     """Canonical text columns of many workbooks, and the columns each workbook publishes.
 
     Sources with different headers go through one plan. The decoded rows are written once, so the
-    header and the data pass do not decode the files again.
+    header and the data pass do not decode the files again; the wide texts are written once, so
+    later plans start from plain columns.
     """
     rows = materialise(read_workbooks(spark, paths, skip))
     header = rows["linha"] == 1
@@ -144,4 +145,4 @@ def read_sheets(
     # One row per workbook with at most as many names as the layout has columns.
     published = {r.fonte: set(r.positions) for r in positions.collect()}
     columns = [c for c in layout.columns if not c.startswith("_")]
-    return promote_header(rows, header, positions, columns), published
+    return materialise(promote_header(rows, header, positions, columns)), published
