@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators.dedup import any_one
-from aferir.operators.reshape import complete_rows
+from aferir.operators.reshape import require_keys
 
 
 def lookup_join(
@@ -52,7 +52,7 @@ def enrich_codes(
     2. ``micro`` by keys.  3. ``micro`` by keys and place.
 
     Micro rows with any null are left out before ambiguity is judged. The by-key table is rolled up
-    from the by-place table, so the micro data is aggregated once.
+    from the by-place table, so the micro data is scanned and shuffled once.
     """
     keys = list(keys)
     enriched = base if code in base.columns else base.withColumn(code, V.typed_null("bigint"))
@@ -67,16 +67,16 @@ def enrich_codes(
 
     if micro is not None:
         full = keys + [place] if place in micro.columns else keys
-        known = complete_rows(micro.select(*full, code))
+        known = require_keys(micro.select(*full, code), [*full, code])
         ranges = known.groupBy(*full).agg(*_only_code("_code", F.min(code), F.max(code)))
         by_key = ranges.groupBy(*keys).agg(*_only_code("_by_key", F.min("_code"), F.max("_high")))
-        by_key = by_key.where("_by_key = _high").drop("_high")
-        enriched = enriched.join(by_key, keys, "left")
         candidates.append(F.col("_by_key"))
+        # Joined before the shorter key: a shuffled base keeps its partitioning from ``direct``.
         if with_place and place in micro.columns:
             by_place = ranges.where("_code = _high").select(*full, F.col("_code").alias("_by_place"))
             enriched = enriched.join(by_place, full, "left")
             candidates.append(F.col("_by_place"))
+        enriched = enriched.join(by_key.where("_by_key = _high").drop("_high"), keys, "left")
 
     return enriched.withColumn(code, V.first_filled(*candidates)).drop(
         "_direct", "_by_key", "_by_place"

@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aferir.session import broadcast_if_small, materialise
+from aferir.session import broadcast_if_small, is_small, materialise
 
 # Rows of one group that one task may hold: the median keeps a map of distinct values in memory,
 # the window sorts and spills.
@@ -40,30 +40,37 @@ def _cut_points(df: DataFrame, by: Sequence[str], order: Sequence[str], pieces:
     probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     cuts = df.groupBy(*by).agg(
         *[
-            F.percentile_approx(c, probs, F.lit(20 * pieces)).alias(f"_cuts{i}")
+            F.array_distinct(F.percentile_approx(c, probs, F.lit(20 * pieces))).alias(f"_cuts{i}")
             for i, c in enumerate(order)
         ]
     )
     return materialise(cuts)
 
 
-def _cuts_below(cuts: Column, value: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut < value))
+def _cuts_below(df: DataFrame, cuts: str, value: str, out: str, pieces: int) -> DataFrame:
+    """Number of cuts below the value, by halving: one comparison per power of two."""
+    df = df.withColumn(out, F.lit(0))
+    for step in reversed([1 << k for k in range(pieces.bit_length())]):
+        is_below = F.get(cuts, F.col(out) + (step - 1)) < F.col(value)
+        df = df.withColumn(out, F.col(out) + F.when(is_below, step).otherwise(0))
+    return df
 
 
-def _piece(order: Sequence[str]) -> list[Column]:
+def _with_pieces(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
     """Piece numbers that follow the order: odd = equal to a cut, even = between two cuts.
 
-    Ties on a cut of one order column are split by the cuts of the next one.
+    Ties on a cut of one order column are split by the cuts of the next one. Rows without cuts
+    (ordinary groups) are in piece 0.
     """
-    numbers, on_all_cuts = [], F.lit(True)
+    columns, on_all_cuts, numbers = df.columns, F.lit(True), []
     for i, name in enumerate(order):
-        cuts, value = F.array_distinct(F.col(f"_cuts{i}")), F.col(name)
-        below, on_cut = _cuts_below(cuts, value), F.array_contains(cuts, value)
-        number = F.when(on_all_cuts, 2 * below + on_cut.cast("int")).otherwise(F.lit(0))
-        numbers.append(F.coalesce(number, F.lit(0)).alias(f"_piece{i}"))
-        on_all_cuts = on_all_cuts & on_cut
-    return numbers
+        df = _cuts_below(df, f"_cuts{i}", name, f"_below{i}", pieces)
+        on_cut = F.get(f"_cuts{i}", F.col(f"_below{i}")) == F.col(name)
+        number = 2 * F.col(f"_below{i}") + F.coalesce(on_cut, F.lit(False)).cast("int")
+        numbers.append(F.when(on_all_cuts, number).otherwise(0).alias(f"_piece{i}"))
+        on_all_cuts = on_all_cuts & F.coalesce(on_cut, F.lit(False))
+    kept = [c for c in columns if not c.startswith("_cuts")]
+    return df.select(*kept, *numbers)
 
 
 def _in_pieces(
@@ -71,8 +78,7 @@ def _in_pieces(
 ) -> DataFrame:
     """All rows with their piece; every row of an ordinary group is in piece 0."""
     cuts = _cut_points(null_safe_join(df, broadcast_if_small(hot), by, "inner"), by, order, pieces)
-    located = null_safe_join(df, broadcast_if_small(cuts), by, "left")
-    return located.select(*df.columns, *_piece(order))
+    return _with_pieces(null_safe_join(df, broadcast_if_small(cuts), by, "left"), order, pieces)
 
 
 def _offsets(sizes: DataFrame, by: Sequence[str], piece_columns: Sequence[str]) -> DataFrame:
@@ -120,11 +126,14 @@ def group_median(
     Equal values are counted first, so only distinct values travel; the piece that holds the middle
     is found from piece totals, and only that piece is sorted.
     """
-    rows = null_safe_join(df.where(F.col(column).isNotNull()), broadcast_if_small(hot), by, "inner")
+    few = is_small(hot)
+    wanted = F.broadcast(hot) if few else hot
+    rows = null_safe_join(df.where(F.col(column).isNotNull()), wanted, by, "inner")
     rows = rows.select(*by, F.col(column).cast("double").alias("_v"))
-    cuts = broadcast_if_small(_cut_points(rows, by, ["_v"], pieces))
+    cuts = _cut_points(rows, by, ["_v"], pieces)
     counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-    located = null_safe_join(counted, cuts, by, "inner").select(*by, "_v", "_c", *_piece(["_v"]))
+    cut_groups = null_safe_join(counted, F.broadcast(cuts) if few else cuts, by, "inner")
+    located = _with_pieces(cut_groups, ["_v"], pieces)
     parts = [*by, "_piece0"]
     sizes = located.groupBy(*parts).agg(F.sum("_c").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*by))
@@ -135,6 +144,8 @@ def group_median(
         .where("_before < _high AND _before + _n >= _low")
         .select(*parts, "_before", "_low", "_high")
     )
+    # At most two pieces per group, so as small as the list of groups.
+    middle = F.broadcast(middle) if few else middle
     running = Window.partitionBy(*parts).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     reached = (
         null_safe_join(located, middle, parts, "inner")

@@ -129,20 +129,28 @@ def build_summary(
     filled: Sequence[str] = (),
     year: str = "ano",
 ) -> DataFrame:
-    """One row: row count, distinct counts, years, flag counts, and null count / fill % of columns."""
-    aggregates = [F.count("*").alias("linhas")]
-    aggregates += [F.countDistinct(c).alias(out) for out, c in distinct.items()]
-    # One entry per calendar year, so the set stays tiny.
-    years = F.array_join(F.sort_array(F.collect_set(year)), ",")
-    aggregates.append(years.alias("anos"))
-    aggregates += [F.count_if(cond).alias(out) for out, cond in (flags or {}).items()]
+    """One row: row count, distinct counts, years, flag counts, and null count / fill % of columns.
+
+    Everything but the distinct counts rolls up from a per-year aggregate, so the distinct counts do
+    not carry the other measures through their shuffle.
+    """
+    flags = flags or {}
+    counted = [F.count_if(cond).alias(out) for out, cond in flags.items()]
+    counted += [F.count(c).alias(f"_{c}") for c in filled]
+    by_year = df.groupBy(F.col(year).alias("ano")).agg(F.count("*").alias("linhas"), *counted)
+    # One entry per calendar year.
+    years = F.array_join(F.sort_array(F.collect_set("ano")), ",").alias("anos")
+    sums = [F.sum(c).alias(c) for c in ("linhas", *flags, *[f"_{c}" for c in filled])]
+    totals = by_year.agg(years, *sums)
+    uniques = df.agg(*[F.countDistinct(c).alias(out) for out, c in distinct.items()])
+    both = totals.unionByName(uniques, allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    measures = []
     for c in filled:
-        nulls = F.count("*") - F.count(c)
-        aggregates.append(nulls.alias(f"{c}_nulos"))
-        aggregates.append(
-            (V.ratio(F.count(c), F.count("*")) * 100).alias(f"{c}_preenchido_pct")
-        )
-    return df.agg(*aggregates)
+        measures.append((F.col("linhas") - F.col(f"_{c}")).alias(f"{c}_nulos"))
+        share = V.ratio(F.col(f"_{c}"), F.col("linhas")) * 100
+        measures.append(share.alias(f"{c}_preenchido_pct"))
+    return row.select("linhas", *distinct, "anos", *flags, *measures)
 
 
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:

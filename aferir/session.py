@@ -44,6 +44,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a materialised table has at most ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting a materialised side; larger sides stay shuffled."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if is_small(df, rows) else df

@@ -61,7 +61,8 @@ def read_codes(
 ) -> DataFrame:
     """Only the wanted code columns, matched without case and quotes, as integers.
 
-    Bad codes become null; absent optional columns are left out.
+    Bad codes become null; absent optional columns are left out. The file repeats the same codes for
+    every student, so equal texts are merged before they are trimmed and typed.
     """
     df = read_with_fallback(spark, path)
     by_key = {name.strip('"').upper(): name for name in df.columns}
@@ -69,7 +70,7 @@ def read_codes(
     lacking = set(required) - set(found.values())
     if lacking:
         raise ValueError(f"{path}: code columns missing: {sorted(lacking)}")
-    codes = select_mapped(df, found)
+    codes = select_mapped(df, found).distinct()
     stripped = codes.select([V.strip_quotes(F.col(c)).alias(c) for c in codes.columns])
     return cast_lenient(stripped, dict.fromkeys(stripped.columns, "bigint"))
 

@@ -85,3 +85,13 @@ def test_lookup_join_never_multiplies(spark):
 def test_unambiguous(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (2, 6), (3, None)], "k int, c int")
     assert rows(lookup.unambiguous(df, ["k"], "c", "code")) == [{"k": 1, "code": 5}]
+
+
+def test_cascade_shuffles_the_micro_data_once(spark, tmp_path):
+    path = str(tmp_path / "micro")
+    spark.createDataFrame([(2015, *m) for m in MICRO], "ano int, co_ies int, co_area int, co_municipio int, co_curso bigint").write.parquet(path)
+    base = spark.createDataFrame([(2015, 1, 10, 5)], "ano int, co_ies int, co_area int, co_municipio int")
+    got = lookup.enrich_codes(base, spark.read.parquet(path))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
