@@ -9,19 +9,17 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators.dedup import any_one
+from aferir.operators.join import JOIN_ROWS, hot_groups, join_unique, split_hot
 from aferir.operators.reshape import require_keys
+from aferir.session import broadcast_if_small, materialise
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], fields: Sequence[str]
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], fields: Sequence[str], **limits
 ) -> DataFrame:
-    """Left join with the lookup reduced to one row per key, so facts never multiply.
-
-    No broadcast hint: the lookup may grow with the data, so the strategy follows its measured size
-    and a hot fact key is split by the adaptive skew join.
-    """
-    slim = any_one(lookup.select(*keys, *fields), keys)
-    return facts.join(slim, list(keys), "left")
+    """Left join with the lookup reduced to one row per key, so facts never multiply."""
+    slim = materialise(any_one(lookup.select(*keys, *fields), keys))
+    return join_unique(facts, slim, keys, "left", **limits)
 
 
 def _only_code(out: str, low: Column, high: Column) -> tuple[Column, Column]:
@@ -38,6 +36,35 @@ def unambiguous(df: DataFrame, keys: Sequence[str], code: str, out: str) -> Data
     return grouped.where(F.col(out) == F.col("_high")).drop("_high")
 
 
+def _lookups(
+    micro: DataFrame | None, direct: DataFrame | None, keys: list[str], place: str, code: str, placed: bool
+) -> list[tuple[DataFrame, list[str], str]]:
+    """(table with one code per key, its keys, its code column), in order of authority."""
+    found = []
+    if direct is not None:
+        on = keys + [place] if placed and place in direct.columns else keys
+        known = direct.where(F.col(code).isNotNull())
+        found.append((unambiguous(known, on, code, "_direct"), on, "_direct"))
+    if micro is not None:
+        full = keys + [place] if place in micro.columns else keys
+        known = require_keys(micro.select(*full, code), [*full, code])
+        ranges = known.groupBy(*full).agg(*_only_code("_code", F.min(code), F.max(code)))
+        by_key = ranges.groupBy(*keys).agg(*_only_code("_by_key", F.min("_code"), F.max("_high")))
+        found.append((by_key.where("_by_key = _high").drop("_high"), keys, "_by_key"))
+        if placed and place in micro.columns:
+            by_place = ranges.where("_code = _high").select(*full, F.col("_code").alias("_by_place"))
+            found.append((by_place, full, "_by_place"))
+    return found
+
+
+def _fill_codes(base: DataFrame, lookups: list, code: str) -> DataFrame:
+    # Longer keys first: a shuffled base keeps its partitioning between joins on the same keys.
+    for table, on, _ in sorted(lookups, key=lambda entry: -len(entry[1])):
+        base = base.join(table, on, "left")
+    names = [name for _, _, name in lookups]
+    return base.withColumn(code, V.first_filled(F.col(code), *map(F.col, names))).drop(*names)
+
+
 def enrich_codes(
     base: DataFrame,
     micro: DataFrame | None,
@@ -45,6 +72,7 @@ def enrich_codes(
     keys: Sequence[str] = ("ano", "co_ies", "co_area"),
     place: str = "co_municipio",
     code: str = "co_curso",
+    hot_rows: int = JOIN_ROWS,
 ) -> DataFrame:
     """Fill a missing code from lookups, first match wins, ambiguous keys never match.
 
@@ -52,32 +80,20 @@ def enrich_codes(
     2. ``micro`` by keys.  3. ``micro`` by keys and place.
 
     Micro rows with any null are left out before ambiguity is judged. The by-key table is rolled up
-    from the by-place table, so the micro data is scanned and shuffled once.
+    from the by-place table, so the micro data is scanned and shuffled once. Base rows of keys above
+    ``hot_rows`` meet the lookup rows of those keys in broadcast joins.
     """
-    keys = list(keys)
-    enriched = base if code in base.columns else base.withColumn(code, V.typed_null("bigint"))
-    candidates = [F.col(code)]
-    with_place = place in base.columns
-
-    if direct is not None:
-        on = keys + [place] if with_place and place in direct.columns else keys
-        known = direct.where(F.col(code).isNotNull())
-        enriched = enriched.join(unambiguous(known, on, code, "_direct"), on, "left")
-        candidates.append(F.col("_direct"))
-
-    if micro is not None:
-        full = keys + [place] if place in micro.columns else keys
-        known = require_keys(micro.select(*full, code), [*full, code])
-        ranges = known.groupBy(*full).agg(*_only_code("_code", F.min(code), F.max(code)))
-        by_key = ranges.groupBy(*keys).agg(*_only_code("_by_key", F.min("_code"), F.max("_high")))
-        candidates.append(F.col("_by_key"))
-        # Joined before the shorter key: a shuffled base keeps its partitioning from ``direct``.
-        if with_place and place in micro.columns:
-            by_place = ranges.where("_code = _high").select(*full, F.col("_code").alias("_by_place"))
-            enriched = enriched.join(by_place, full, "left")
-            candidates.append(F.col("_by_place"))
-        enriched = enriched.join(by_key.where("_by_key = _high").drop("_high"), keys, "left")
-
-    return enriched.withColumn(code, V.first_filled(*candidates)).drop(
-        "_direct", "_by_key", "_by_place"
-    )
+    keys, columns = list(keys), base.columns
+    if code not in columns:
+        base = base.withColumn(code, V.typed_null("bigint"))
+    lookups = _lookups(micro, direct, keys, place, code, place in columns)
+    hot = hot_groups(base, keys, hot_rows)
+    if hot is None:
+        return _fill_codes(base, lookups, code)
+    crowded, rest = split_hot(base, hot, keys)
+    few = broadcast_if_small(hot)
+    wanted = [
+        (broadcast_if_small(materialise(table.join(few, keys, "left_semi"))), on, name)
+        for table, on, name in lookups
+    ]
+    return _fill_codes(crowded, wanted, code).unionByName(_fill_codes(rest, lookups, code))

@@ -8,11 +8,11 @@ independently and shifted by the row count of the pieces before them, which give
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aferir.operators.join import hot_groups, null_safe_join
 from aferir.session import broadcast_if_small, is_small, materialise
 
 # Rows of one group that one task may hold: the median keeps a map of distinct values in memory,
@@ -22,19 +22,6 @@ RANK_ROWS = 1_000_000
 PIECES = 64
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join where null keys match, keeping the left key columns."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def hot_groups(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
-    """Keys of the groups with more than ``rows`` rows, or None when there are none."""
-    hot = materialise(df.groupBy(*by).count().where(F.col("count") > rows).drop("count"))
-    return None if hot.isEmpty() else hot
-
-
 def _cut_points(df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int) -> DataFrame:
     """Approximate quantiles of every order column per group: bounded sketches, merged map-side."""
     probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aferir.functions import values as V
-from aferir.operators.order import null_safe_join
+from aferir.operators.join import null_safe_join
 
 
 class ValidationError(Exception):

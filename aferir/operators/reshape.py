@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.session import broadcast_if_small, materialise
+from aferir.operators.join import join_unique
+from aferir.session import materialise
 
 
 def quoted(name: str) -> Column:
@@ -193,16 +194,10 @@ def promote_header(
     the counted list of sources is small enough to broadcast. Columns a source lacks are null.
     """
     keep = [c for c in rows.columns if c != "cells"]
-    return (
-        rows.where(~is_header)
-        .join(broadcast_if_small(positions), "fonte")
-        .select(
-            *keep,
-            *[
-                F.get("cells", F.try_element_at("positions", F.lit(name))).alias(name)
-                for name in columns
-            ],
-        )
+    located = join_unique(rows.where(~is_header), positions, ["fonte"], "inner")
+    return located.select(
+        *keep,
+        *[F.get("cells", F.try_element_at("positions", F.lit(name))).alias(name) for name in columns],
     )
 
 
@@ -214,5 +209,5 @@ def fill_from_source(df: DataFrame, column: str, order: str, source: str = "font
     """
     value = quoted(column)
     first = df.where(value.isNotNull()).groupBy(source).agg(F.min_by(column, order).alias("_first"))
-    joined = df.join(broadcast_if_small(materialise(first)), source, "left")
+    joined = join_unique(df, materialise(first), [source])
     return joined.withColumn(column, F.coalesce(value, "_first")).drop("_first")

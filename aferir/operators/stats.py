@@ -10,14 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators.order import (
-    MEDIAN_ROWS,
-    RANK_ROWS,
-    group_median,
-    hot_groups,
-    null_safe_join,
-    ordinal_rank,
-)
+from aferir.operators.join import hot_groups, null_safe_join
+from aferir.operators.order import MEDIAN_ROWS, RANK_ROWS, group_median, ordinal_rank
 from aferir.operators.reshape import quoted
 from aferir.session import broadcast_if_small, materialise
 

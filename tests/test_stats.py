@@ -52,7 +52,8 @@ MICRO = [
 ]
 
 
-def test_cascade(spark):
+@pytest.mark.parametrize("hot_rows", [10**9, 1, 0])
+def test_cascade(spark, hot_rows):
     micro = spark.createDataFrame([(2015, *m) for m in MICRO], "ano int, co_ies int, co_area int, co_municipio int, co_curso bigint")
     direct = spark.createDataFrame([(2015, 1, 10, 5, 999), (2015, 3, 10, 5, 7), (2015, 3, 10, 5, 8)], micro.schema)
     base = spark.createDataFrame(
@@ -60,7 +61,7 @@ def test_cascade(spark):
          (2015, 4, 10, 9), (2016, 1, 10, 5), (2015, None, 10, 5)],
         "ano int, co_ies int, co_area int, co_municipio int",
     )
-    got = lookup.enrich_codes(base, micro, direct)
+    got = lookup.enrich_codes(base, micro, direct, hot_rows=hot_rows)
     found = {(r.ano, r.co_ies, r.co_municipio): r.co_curso for r in got.collect()}
     assert found == {
         (2015, 1, 5): 999, (2015, 1, 6): 100, (2015, 2, 6): 201, (2015, 2, None): None,
@@ -75,10 +76,11 @@ def test_cascade_keeps_known_codes_and_works_without_place(spark):
     assert {r.co_ies: r.co_curso for r in lookup.enrich_codes(base, micro).collect()} == {1: 1, 2: 8}
 
 
-def test_lookup_join_never_multiplies(spark):
+@pytest.mark.parametrize("limits", [{}, {"lookup_rows": 0}, {"lookup_rows": 0, "hot_rows": 1}, {"lookup_rows": 0, "hot_rows": 0}])
+def test_lookup_join_never_multiplies(spark, limits):
     facts = spark.createDataFrame([("1", 1), ("1", 2), ("2", 3), (None, 4)], "k string, v int")
     look = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", "b"), (None, "n")], "k string, name string")
-    got = lookup.lookup_join(facts, look, ["k"], ["name"])
+    got = lookup.lookup_join(facts, look, ["k"], ["name"], **limits)
     assert {r.v: r.name for r in got.collect()} == {1: "a", 2: "a", 3: None, 4: None}
 
 
