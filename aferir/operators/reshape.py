@@ -77,23 +77,39 @@ def suffix_columns(df: DataFrame, names: Iterable[str], suffix: str) -> DataFram
     return df.withColumnsRenamed({name: name + suffix for name in names if name in df.columns})
 
 
-def _cast(df: DataFrame, types: Mapping[str, str], how: str) -> DataFrame:
+def cast_strict(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Typed cast of the columns present; a bad value fails the job (ANSI mode)."""
     return df.select(
         [
-            getattr(quoted(name), how)(types[name]).alias(name) if name in types else quoted(name)
+            quoted(name).cast(types[name]).alias(name) if name in types else quoted(name)
             for name in df.columns
         ]
     )
 
 
-def cast_strict(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Typed cast of the columns present; a bad value fails the job (ANSI mode)."""
-    return _cast(df, types, "cast")
+# Texts a cast can accept at all. Spark raises and catches an exception for every text it rejects,
+# which costs far more than this test, so hopeless texts are nulled before the cast.
+_CASTABLE = {
+    "int": r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z",
+    "bigint": r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z",
+    "float": r"(?i)[0-9]|nan|inf",
+    "double": r"(?i)[0-9]|nan|inf",
+}
 
 
 def cast_lenient(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Typed cast of the columns present; a bad value becomes null."""
-    return _cast(df, types, "try_cast")
+    found = dict(df.dtypes)
+
+    def typed(name: str) -> Column:
+        c, ddl = quoted(name), types.get(name)
+        if ddl is None:
+            return c
+        if found[name] == "string" and ddl in _CASTABLE:
+            c = F.when(c.rlike(_CASTABLE[ddl]), c)
+        return c.try_cast(ddl).alias(name)
+
+    return df.select([typed(name) for name in df.columns])
 
 
 def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators import dedup, lookup, order, quality, reshape, stats
+from aferir.operators import dedup, join, lookup, order, quality, reshape, stats
+from aferir.session import materialise
 
 QUERIES: dict = {}
 
@@ -177,7 +178,7 @@ def cascaded(spark, folder) -> DataFrame:
         "l_linestatus",
     )
     keys = ["co_ies", "co_area"]
-    base = dedup.distinct_rows(lines.select(*keys, "co_municipio"))
+    base = materialise(dedup.distinct_rows(lines.select(*keys, "co_municipio")))
     direct = lines.where("l_linestatus = 'F'").drop("l_linestatus")
     micro = lines.where("l_linestatus = 'O'").drop("l_linestatus")
     return lookup.enrich_codes(base, micro, direct, keys)
@@ -565,7 +566,7 @@ def q43_hot_group_median(spark, folder):
     rows = table(spark, folder, "lineitem").select(
         "l_returnflag", cents("l_extendedprice").cast("double").alias("nota")
     )
-    hot = order.hot_groups(rows, ["l_returnflag"], 0)
+    hot = join.hot_groups(rows, ["l_returnflag"], 0)
     medians = order.group_median(rows, ["l_returnflag"], "nota", "mediana", hot)
     return medians.withColumn("mediana", F.col("mediana") / 100)
 
@@ -576,7 +577,7 @@ def q44_hot_group_rank(spark, folder):
     rows = table(spark, folder, "orders").select(
         "o_orderstatus", "o_orderkey", cents("o_totalprice").cast("double").alias("nota")
     )
-    hot = order.materialise(rows.select("o_orderstatus").distinct())
+    hot = materialise(rows.select("o_orderstatus").distinct())
     ranked = order.ordinal_rank(rows, ["o_orderstatus"], ["nota", "o_orderkey"], "posicao", hot)
     return ranked.drop("nota")
 

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from aferir.operators import order, stats
+from aferir.operators import join, order, stats
 
 
 def skewed_rows(n=3000):
@@ -37,17 +37,17 @@ def brute_ranks(data):
 def test_ordinal_rank(spark, hot_rows, pieces):
     data = skewed_rows()
     df = spark.createDataFrame(data, "g string, v double, t int, i int").repartition(6)
-    hot = order.hot_groups(df, ["g"], hot_rows)
+    hot = join.hot_groups(df, ["g"], hot_rows)
     ranked = order.ordinal_rank(df, ["g"], ["v", "t", "i"], "r", hot, pieces)
     assert {r.i: r.r for r in ranked.collect()} == brute_ranks(data)
 
 
 def test_rank_of_one_repeated_score_is_split_by_the_tie_break(spark):
     df = spark.range(20_000).selectExpr("1 AS g", "5.0D AS v", "id AS i")
-    pieces = order._in_pieces(df, ["g"], ["v", "i"], order.hot_groups(df, ["g"], 0), 16)
+    pieces = order._in_pieces(df, ["g"], ["v", "i"], join.hot_groups(df, ["g"], 0), 16)
     largest = pieces.groupBy("_piece0", "_piece1").count().agg(F.max("count")).first()[0]
     assert largest < 3_000
-    ranked = order.ordinal_rank(df, ["g"], ["v", "i"], "r", order.hot_groups(df, ["g"], 0), 16)
+    ranked = order.ordinal_rank(df, ["g"], ["v", "i"], "r", join.hot_groups(df, ["g"], 0), 16)
     assert ranked.where("r <> i + 1").isEmpty() and ranked.count() == 20_000
 
 
@@ -95,7 +95,7 @@ def test_percentiles(spark, hot_rows):
 @given(st.lists(st.tuples(st.integers(0, 2), st.floats(-50, 50).map(lambda x: round(x, 1))), min_size=1, max_size=60))
 def test_median_of_any_rows(spark, data):
     df = spark.createDataFrame(data, "k int, v double")
-    hot = order.hot_groups(df, ["k"], 0)
+    hot = join.hot_groups(df, ["k"], 0)
     got = {r.k: r.m for r in order.group_median(df, ["k"], "v", "m", hot, 4).collect()}
     groups = {}
     for k, v in data:

@@ -94,6 +94,18 @@ def test_casts_strict_and_lenient(spark):
         cast_strict(df, {"c": "int"}).collect()
 
 
+@pytest.mark.parametrize("ddl", ["int", "bigint", "float", "double"])
+def test_lenient_cast_equals_try_cast(spark, ddl):
+    from aferir.operators.reshape import cast_lenient
+
+    texts = ["1", " 1", "1\t\n", "+5", "-5", "- 5", "1.0", "1.", ".5", "1e3", "1E-2", "0x1", "1L", "1d", "1f", "NaN", "nan",
+             "Infinity", "-inf", "inf", "SC", "-", "", " ", "1,5", "99999999999", "9" * 30, "٣", "1\u00a0", "\u00a01", "\x7f1",
+             "\x001\x1f", "1_0", "true", "1 2", "+-1", "1\u2003", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    ours = [str(r.c) for r in cast_lenient(df, {"c": ddl}).collect()]
+    assert ours == [str(r.c) for r in df.select(F.col("c").try_cast(ddl).alias("c")).collect()]
+
+
 def test_fold_header(spark):
     texts = ["Código da IES*", "CÓDIGO  da ies ", "Sigla da UF** ", "Gama (Proporção – X)", "Código"]
     assert column(spark, texts, V.fold_header) == [
