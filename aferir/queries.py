@@ -527,16 +527,16 @@ def q38_gold_fallback_flag(spark, folder):
 
 @query
 def q39_code_lookup(spark, folder):
-    """Quoted code texts to a distinct, complete code table."""
-    lines = table(spark, folder, "lineitem").select(
-        *[
-            V.strip_quotes(F.concat(F.lit('"'), c, F.lit('" '))).alias(out)
-            for c, out in (("l_suppkey", "co_ies"), ("l_partkey", "co_grupo"))
-        ],
-        V.strip_quotes(F.when(F.col("l_returnflag") == "N", F.lit('"x"')).otherwise(F.col("l_linenumber").cast("string")))
-        .alias("co_munic_curso"),
-    )
-    typed = reshape.cast_lenient(lines, dict.fromkeys(lines.columns, "bigint"))
+    """Quoted code texts to a distinct, complete code table; equal texts are merged first."""
+    place = F.when(F.col("l_returnflag") == "N", F.lit("x")).otherwise(F.col("l_linenumber").cast("string"))
+    raw = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("co_ies"), F.col("l_partkey").alias("co_grupo"), place.alias("co_munic_curso")
+    )
+    texts = dedup.distinct_rows(raw)
+    stripped = texts.select(
+        *[V.strip_quotes(F.concat(F.lit('"'), c, F.lit('" '))).alias(c) for c in texts.columns]
+    )
+    typed = reshape.cast_lenient(stripped, dict.fromkeys(stripped.columns, "bigint"))
     return dedup.distinct_rows(reshape.complete_rows(typed))
 
 

@@ -18,6 +18,8 @@ def local_session(cpus: int | str = 8, app: str = "aferir", driver_memory: str =
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Many small groups: keep hashing them instead of falling back to a sort after 128.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "32768")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -1,4 +1,4 @@
-"""Time the registered queries: one warm-up, then the median of three full runs of each."""
+"""Time the registered queries: one warm-up, then the median of the timed runs of each."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from aferir.session import local_session
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 ONLY = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
 
 
