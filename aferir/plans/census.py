@@ -20,7 +20,7 @@ from aferir.plans.build import (
 )
 from aferir.schemas import census
 from aferir.schemas.layout import Layout
-from aferir.sources.delimited import POSITION, read_delimited
+from aferir.sources.delimited import POSITION, read_years_mapped
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 
@@ -37,18 +37,6 @@ LOCATION = (
 )
 
 
-def _texts(spark: SparkSession, files, layout: Layout) -> tuple[DataFrame, dict[int, set[str]]]:
-    """Mapped text columns of all years in one plan, and the canonical columns each year publishes."""
-    keep = {**layout.headers, **{p: p for p in POSITION}}
-    frames, published = [], {}
-    for year, file in files.items():
-        mapped = reshape.select_mapped(read_delimited(spark, file.path), keep)
-        published[year] = set(mapped.columns) - set(POSITION)
-        whole = reshape.conform(mapped, dict.fromkeys(layout.columns, "string"))
-        frames.append(whole.withColumn(SOURCE_YEAR, F.lit(year)))
-    return reshape.diagonal_union(frames), published
-
-
 def _build(
     spark: SparkSession, bronze: str, root: str, years: Sequence[int], force: bool,
     table: str, file_names: str, layout: Layout, finish=None,
@@ -65,7 +53,8 @@ def _build(
     report.unchanged = [y for y in files if y not in stale]
     if not stale:
         return report
-    texts, published = _texts(spark, {y: files[y] for y in stale}, layout)
+    paths = {y: files[y].path for y in stale}
+    texts, published = read_years_mapped(spark, paths, layout.headers, layout.columns, position=True)
     failures = missing_columns(published, lambda year: layout.required)
     failures += gate_years(texts, stale, layout.keys, bad_casts(layout.types))
     typed = reshape.cast_strict(texts, layout.types)

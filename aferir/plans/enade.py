@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators import reshape, stats
+from aferir.operators.dedup import any_one
 from aferir.operators.lookup import lookup_join
 from aferir.operators.order import MEDIAN_ROWS, RANK_ROWS
 from aferir.plans.build import (
@@ -21,7 +22,7 @@ from aferir.plans.build import (
 )
 from aferir.schemas import enade
 from aferir.schemas.common import EXAM_YEARS, YEARS_WITHOUT_EXAM
-from aferir.sources.delimited import POSITION, read_delimited, read_header
+from aferir.sources.delimited import POSITION, read_header, read_years_mapped
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 
@@ -36,17 +37,6 @@ SPREAD_SCORES = ["nt_ger", "nt_fg", "nt_ce"]
 MEAN_SCORES = ["nt_obj_fg", "nt_obj_ce", "nt_dis_fg", "nt_dis_ce"]
 
 
-def _texts(spark: SparkSession, files, layout, keep: Sequence[str] = ()) -> tuple[DataFrame, dict[int, set[str]]]:
-    frames, published = [], {}
-    for year, file in files.items():
-        mapping = {**layout.headers, **{p: p for p in keep}}
-        mapped = reshape.select_mapped(read_delimited(spark, file.path), mapping)
-        published[year] = set(mapped.columns) - set(keep)
-        whole = reshape.conform(mapped, dict.fromkeys(layout.columns, "string"))
-        frames.append(whole.withColumn(SOURCE_YEAR, F.lit(year)))
-    return reshape.diagonal_union(frames), published
-
-
 def student_rows(students: DataFrame, courses: DataFrame) -> DataFrame:
     """Students with the description of their course, typed leniently; rows without codes dropped.
 
@@ -79,8 +69,12 @@ def build_students(
     report.unchanged = [y for y in complete if y not in stale]
     if not stale:
         return report
-    courses, in_courses = _texts(spark, {y: found[1][y] for y in stale}, enade.COURSE_FILE)
-    students, in_students = _texts(spark, {y: found[3][y] for y in stale}, enade.STUDENT_FILE, POSITION)
+    paths = {number: {y: files[y].path for y in stale} for number, files in found.items()}
+    arq1, arq3 = enade.COURSE_FILE, enade.STUDENT_FILE
+    courses, in_courses = read_years_mapped(spark, paths[1], arq1.headers, arq1.columns)
+    students, in_students = read_years_mapped(
+        spark, paths[3], arq3.headers, arq3.columns, position=True
+    )
     rows = student_rows(students, courses)
     published = {y: in_courses[y] | in_students[y] for y in stale}
     failures = missing_columns(published, lambda year: enade.REQUIRED)
@@ -168,15 +162,10 @@ def questionnaire_rows(
 
 def course_institutions(spark: SparkSession, files: dict[tuple[int, int], str]) -> DataFrame:
     """Source year, course text and institution text, one row per course."""
-    from aferir.operators.dedup import any_one
-
-    frames = [
-        reshape.select_mapped(read_delimited(spark, path), {"CO_CURSO": "co_curso", "CO_IES": "co_ies"})
-        .withColumn(SOURCE_YEAR, F.lit(year))
-        for (year, number), path in files.items()
-        if number == 1
-    ]
-    return any_one(reshape.diagonal_union(frames), [SOURCE_YEAR, "co_curso"])
+    paths = {year: path for (year, number), path in files.items() if number == 1}
+    headers = {"CO_CURSO": "co_curso", "CO_IES": "co_ies"}
+    codes, _ = read_years_mapped(spark, paths, headers, list(headers.values()))
+    return any_one(codes, [SOURCE_YEAR, "co_curso"])
 
 
 def answer_shares(courses: DataFrame, answers: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators.reshape import cast_lenient, quoted, select_mapped
+from aferir.operators.reshape import cast_lenient, diagonal_union, quoted, select_mapped
+from aferir.sources.tables import SOURCE_YEAR
 
 LATIN1 = "ISO-8859-1"
 POSITION = ("_bloco", "_linha")
@@ -48,6 +49,43 @@ def read_delimited(
     )
 
 
+def _cleaned(name: str) -> str:
+    column = "`" + name.replace("`", "``") + "`"
+    tokens = ", ".join(f"'{token}'" for token in V.NULL_TOKENS)
+    return f"CASE WHEN {column} NOT IN ({tokens}) THEN {column} END"
+
+
+def read_years_mapped(
+    spark: SparkSession,
+    paths: Mapping[int, str],
+    headers: Mapping[str, str],
+    columns: Sequence[str],
+    position: bool = False,
+) -> tuple[DataFrame, dict[int, set[str]]]:
+    """One file per year as text columns of a layout, stacked, and the columns each year publishes.
+
+    Each file is read with its own header and projected once: mapped columns that exist (the first
+    filled one when several feed a target), nulls for the others, and the source year. With 20 years
+    and 60 columns this stays one short plan per file.
+    """
+    frames, published = [], {}
+    for year, path in paths.items():
+        df = _read(spark, path, LATIN1, False)
+        present = set(df.columns)
+        sources = {c: [h for h, t in headers.items() if t == c and h in present] for c in columns}
+        published[year] = {c for c, found in sources.items() if found}
+        texts = [
+            f"coalesce({', '.join(map(_cleaned, found))}) AS `{c}`"
+            if found
+            else f"CAST(NULL AS STRING) AS `{c}`"
+            for c, found in sources.items()
+        ]
+        if position:
+            texts += ["_metadata.file_block_start AS _bloco", "monotonically_increasing_id() AS _linha"]
+        frames.append(df.selectExpr(*texts, f"{year} AS {SOURCE_YEAR}"))
+    return diagonal_union(frames), published
+
+
 def read_with_fallback(spark: SparkSession, path: str) -> DataFrame:
     """Read as UTF-8 when the header decodes, else as Latin-1."""
     df = _read(spark, path, "UTF-8", False)
