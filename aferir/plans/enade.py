@@ -22,7 +22,7 @@ from aferir.plans.build import (
 )
 from aferir.schemas import enade
 from aferir.schemas.common import EXAM_YEARS, YEARS_WITHOUT_EXAM
-from aferir.sources.delimited import POSITION, read_header, read_years_mapped
+from aferir.sources.delimited import POSITION, read_header, read_years_mapped, side_by_side
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 
@@ -127,14 +127,14 @@ def questionnaire_rows(
     say where the two wanted cells are, so files whose columns differ share one plan.
     """
     places = []
-    for (year, number), path in files.items():
-        if number in columns:
-            header = read_header(spark, path)
-            if "CO_CURSO" in header and columns[number] in header:
-                places.append(
-                    (year, number, columns[number].lower(), header.index("CO_CURSO"),
-                     header.index(columns[number]), path)
-                )
+    wanted = {key: path for key, path in files.items() if key[1] in columns}
+    headers = side_by_side(lambda path: read_header(spark, path), wanted.values())
+    for ((year, number), path), header in zip(wanted.items(), headers):
+        if "CO_CURSO" in header and columns[number] in header:
+            places.append(
+                (year, number, columns[number].lower(), header.index("CO_CURSO"),
+                 header.index(columns[number]), path)
+            )
     if not places:
         return None
     positions = spark.createDataFrame(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from aferir.sources.tables import SOURCE_YEAR
 
 LATIN1 = "ISO-8859-1"
 POSITION = ("_bloco", "_linha")
+HEADER_JOBS = 8
 
 
 def _read(spark: SparkSession, path: str | Sequence[str], encoding: str, multiline: bool) -> DataFrame:
@@ -69,8 +71,8 @@ def read_years_mapped(
     and 60 columns this stays one short plan per file.
     """
     frames, published = [], {}
-    for year, path in paths.items():
-        df = _read(spark, path, LATIN1, False)
+    opened = side_by_side(lambda path: _read(spark, path, LATIN1, False), paths.values())
+    for year, df in zip(paths, opened):
         present = set(df.columns)
         sources = {c: [h for h, t in headers.items() if t == c and h in present] for c in columns}
         published[year] = {c for c, found in sources.items() if found}
@@ -113,6 +115,12 @@ def read_codes(
     return cast_lenient(stripped, dict.fromkeys(stripped.columns, "bigint"))
 
 
+def side_by_side(read: Callable, paths: Iterable[str]) -> list:
+    """Results of ``read`` in path order; the small header jobs run a few at a time."""
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        return list(pool.map(read, paths))
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file: reads the first line only."""
     first = spark.read.text(path).first()
