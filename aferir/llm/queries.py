@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.llm import chat, pii, quality_rules
+from aferir.llm import chat, pii, quality_rules, token_blocks
 from aferir.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,10 @@ def op2_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    blocks, ids = token_blocks.write_blocks(read(spark, sf_dir, "documents"), path)
+    return token_blocks.read_blocks(blocks, ids)
