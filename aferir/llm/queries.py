@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.llm import chat, pii, quality_rules, token_blocks
+from aferir.llm import chat, merge_dropout, pii, qgram, quality_rules, token_blocks
 from aferir.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     blocks, ids = token_blocks.write_blocks(read(spark, sf_dir, "documents"), path)
     return token_blocks.read_blocks(blocks, ids)
+
+
+@query
+def op7_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return merge_dropout.segmentation_report(read(spark, sf_dir, "documents"), path)
+
+
+@query
+def op8_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgram.leaked_regions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
