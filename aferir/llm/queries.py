@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.llm import chat, merge_dropout, pii, qgram, quality_rules, token_blocks
+from aferir.llm import chat, merge_dropout, pii, qgram, quality_rules, template, token_blocks
 from aferir.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op7_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qgram.leaked_regions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract_texts(read(spark, sf_dir, "pages"))
