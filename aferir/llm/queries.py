@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.llm import chat, merge_dropout, order_minhash, pii, qgram, quality_rules, template, token_blocks
+from aferir.llm import chat, merge_dropout, order_minhash, pii, pitman_yor, qgram, quality_rules, template, token_blocks
 from aferir.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op5_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.model_scores(read(spark, sf_dir, "documents"))
