@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.llm import chat, merge_dropout, order_minhash, pii, pitman_yor, qgram, quality_rules, template, token_blocks
+from aferir.llm import (
+    chat,
+    licences,
+    merge_dropout,
+    order_minhash,
+    pii,
+    pitman_yor,
+    qgram,
+    quality_rules,
+    template,
+    token_blocks,
+)
 from aferir.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +85,11 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.model_scores(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie under their source, language and the leading digits of their id."""
+    number = F.col("doc_id")
+    path = F.concat_ws("/", "source", "lang", F.floor(number / 10_000), F.floor(number / 100), number)
+    return licences.licence_report(read(spark, sf_dir, "documents").withColumn("path", path))
