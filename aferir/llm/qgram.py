@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,14 +224,19 @@ def leaked_regions(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     return found
 
 
+def clean_of(index: Broadcast):
+    """A filter for texts that hold nothing of an index."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda body: not index.value.matches(body)).astype(bool)
+
+    return clean
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no passage of the benchmark, with all their columns."""
     for index in benchmark_blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return texts.map(lambda body: not shared.value.matches(body)).astype(bool)
-
-        docs = docs.where(clean(whole_text(text)))
+        docs = docs.where(clean_of(shared)(whole_text(text)))
     return docs
