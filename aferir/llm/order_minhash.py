@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aferir.llm.common import stored, whole_text
+from aferir.llm.common import Remembered, stored, whole_text
 from aferir.session import broadcast_if_small
 
 WORDS, SKETCHES, PER_SKETCH, AGREE = 5, 20, 2, 6
@@ -37,7 +37,6 @@ GROUP_ROWS = 2048
 #: Ids that may be broadcast to pick texts; 24 bytes each.
 PICKED_ROWS = 500_000
 WORD = re.compile(r"\w+")
-REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 64
 BASE, STEP, MULTIPLIER = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -50,16 +49,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * STEP)
 
 
-class WordHashes(dict):
+class WordHashes(Remembered):
     """Hashes of words, kept for the life of a worker."""
 
-    def __missing__(self, word: str) -> int:
-        found = xxhash.xxh64_intdigest(word)
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
+    def make(self, word: str) -> int:
+        return xxhash.xxh64_intdigest(word)
 
 
 _hashes = WordHashes()
@@ -341,7 +335,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_hash, class_id (smallest doc_id of the class) and class size."""
+    """One row per document: doc_id, text_hash, its class by label and by smallest doc_id, and the class size."""
     every = stored(sketched(docs, text))
     # One row per node: copies have equal sketches.
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
@@ -354,7 +348,7 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     labelled = nodes.select("node", "least_id", "copies").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     named = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    named = labelled.select("node", "label").join(named, "label").drop("label")
+    named = labelled.select("node", "label").join(named, "label")
     return every.select("doc_id", "text_hash", "node").join(named, "node").drop("node")
 
 
@@ -363,8 +357,9 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64(whole_text()))
     found = classes(docs.select("doc_id", "text"))
-    # Rows of one id that share a class keep the smallest text hash; equal rows keep one.
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id", "class_id").agg(F.min("text_hash").alias("text_hash"))
+    # Of equal ids the smallest text hash; a null id only where a class has no other.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    kept = found.groupBy("label").agg(first).select("first.doc_id", "first.text_hash")
     on = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.text_hash") == F.col("k.text_hash"))
     left = docs.alias("d").join(kept.alias("k"), on, "left_semi")
     same = Window.partitionBy("doc_id", "text_hash").orderBy("doc_id")

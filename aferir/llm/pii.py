@@ -126,13 +126,14 @@ SPELLED_ITEM = re.compile(rf"(plus)|({_NAME})|([0-9]+)|(dot|point|\.)")
 JOINERS = frozenset(("dot", "point"))
 BRACKETED = re.compile(r"[\[({<][ ]?(at|@|arroba|chez|dot|punto|point|punkt|\.)[ ]?[\])}>]")
 AT_NAMES = frozenset(("at", "@", "arroba", "chez"))
-# A bare "at" counts only before a name that goes on with a disguised or plain dot.
-BARE_AT = re.compile(r"[ ](?:at|arroba|@)[ ](?=[a-z0-9-]+(?:[ ](?:dot|punto)[ ][a-z0-9]|\.[a-z]{2}))")
+# A bare "at" counts only before a name that goes on with a disguised dot; a bare @ also before a plain one.
+_DOT_AHEAD = r"[a-z0-9-]+(?:[ ](?:dot|punto)[ ][a-z0-9]|[ ]?[\[({<][ ]?(?:dot|punto|point|punkt|\.)[ ]?[\])}>])"
+BARE_AT = re.compile(rf"[ ](?:at|arroba)[ ](?={_DOT_AHEAD})|[ ]@[ ](?={_DOT_AHEAD}|[a-z0-9-]+\.[a-z]{{2}})")
 # A bare "dot" counts only in a name that already has an @ sign.
 BARE_DOT = re.compile(r"[ ](?:dot|punto)[ ](?=[a-z0-9])")
 ADDRESS = re.compile(r"@[a-z0-9-]+(?:[ ](?:dot|punto)[ ][a-z0-9-]+|\.[a-z0-9-]+)+")
 # Letters that stand for digits between digits.
-LETTER_DIGIT = re.compile(r"[0-9][oli|](?=[0-9 -]{0,2}[0-9])")
+LETTER_DIGIT = re.compile(r"[0-9][ -]?([oli|])(?=[ -]?[0-9])")
 
 
 def lower(text: str) -> str:
@@ -240,11 +241,11 @@ def normalise(text: str) -> Rewritten:
     low = lower(out.text)
     if may_spell(low):
         low = out.apply(spelled(low)) or low
+    low = out.apply([(*m.span(), "@") for m in BARE_AT.finditer(low)]) or low
     low = out.apply(bracketed(low)) or low
-    if " dot " in low or " punto " in low or "@ " in low or " at " in low:
-        low = out.apply([(*m.span(), "@") for m in BARE_AT.finditer(low)]) or low
+    if "@" in low:
         low = out.apply(bare_dots(low)) or low
-    out.apply([(m.start() + 1, m.end(), "0" if m[0][1] == "o" else "1") for m in LETTER_DIGIT.finditer(low)])
+    out.apply([(*m.span(1), "0" if m[1] == "o" else "1") for m in LETTER_DIGIT.finditer(low)])
     return out
 
 
@@ -256,14 +257,14 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     rewritten = normalise(text)
     if rewritten.text == text:
         return base, base
-    # Per kind the base spans do not overlap, so one search finds the only ones that may touch a new span.
+    # Per kind the base spans do not overlap, so only the last one that starts no later can hold a new span.
     known = {kind: [(s, e) for k, s, e in base if k == kind] for kind in KINDS}
     added = set()
     for kind, start, end in detect(rewritten.text):
         start, end = rewritten.source(start, end)
         spans = known[kind]
-        place = bisect_right(spans, (end, -1))
-        if place == 0 or spans[place - 1][1] <= start:
+        place = bisect_right(spans, (start, float("inf")))
+        if place == 0 or spans[place - 1][1] < end:
             added.add((kind, start, end))
     return base, sorted([*base, *added], key=sort_key)
 

@@ -166,7 +166,9 @@ class Tokens(Walk):
         path = self.path
         self.chars[path] += len(words)
         if not any(name in MAIN for name, _, _ in self.stack):
-            self.seen(f"{path}\t{xxhash.xxh64_hexdigest(words)}")
+            token = f"{path}\t{xxhash.xxh64_hexdigest(words)}"
+            self.seen(token)
+            self.chars[token] += len(words)
 
 
 def host_of(url: str | None) -> str:
@@ -262,14 +264,19 @@ def template(tokens: list) -> tuple[str, list[str]]:
     main = [path for path in paths if path.split("/")[-1].split(".")[0] in MAIN and not is_boilerplate(path)]
     if main:
         return min(main, key=lambda path: (path.count("/"), path)), fixed
-    chars = {token["token"]: token["chars"] for token in tokens}
+    # Slot text: what is below a path without the fixed texts.
+    chars: dict[str, int] = defaultdict(int)
+    for token in tokens:
+        path, _, text = token["token"].partition("\t")
+        if not text or token["token"] in members:
+            chars[path] += -token["chars"] if text else token["chars"]
     below = {
         path: sum(n for other, n in chars.items() if (other == path or other.startswith(path + "/")) and not is_boilerplate(other))
         for path in paths
-        if not is_boilerplate(path)
+        if not is_boilerplate(path) and members[path][0]["support"] == members[path][0]["total"]
     }
     whole = max(below.values(), default=0)
-    # The deepest element that still has nearly all of the slot text.
+    # The deepest element, once on a page, that still has nearly all of the slot text.
     rich = [path for path, n in below.items() if whole and n >= 0.9 * whole]
     return max(rich, key=lambda path: (path.count("/"), path), default=""), fixed
 
