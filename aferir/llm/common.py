@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +20,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Cut lineage: write the rows to the folder in ``spark.checkpoint.dir`` and read them back."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -39,13 +38,23 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def batched(rows: Iterator, size: int) -> Iterator[list]:
-    """Lists of at most ``size`` rows."""
-    batch: list = []
-    for row in rows:
-        batch.append(row)
-        if len(batch) >= size:
-            yield batch
-            batch = []
-    if batch:
-        yield batch
+class Remembered(dict):
+    """Results of ``make`` by word, in two generations so that common words outlive a full memory."""
+
+    def __init__(self, size: int = 500_000, longest: int = 64) -> None:
+        super().__init__()
+        self.size, self.longest, self.old = size, longest, {}
+
+    def make(self, word):
+        raise NotImplementedError
+
+    def __missing__(self, word):
+        found = self.old.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[word] = found
+        return found
