@@ -1,16 +1,17 @@
 """Token ids in files: frequency-ranked, with one to four bytes an id and separate control bytes.
 
 Ids are replaced by their rank in the whole corpus (most frequent first), so common ids take one byte.
-Documents are spread by ranges of doc_id and written in that order as blocks: the doc ids, the number
+Texts are tokenized once and kept in the same coding
+by their own ids until the ranks are known; then they are spread by ranges of doc_id and written in that order as blocks: the doc ids, the number
 of ids of each document, the control bytes (two bits an id, four ids a byte) and the data bytes. A block
 is a row of a Parquet table; the ranks are a table beside it. Reading expands control bytes by a table
 of 256 rows in numpy.
 
-Word pieces do not cross white space, so a word is encoded once and remembered; the memory is emptied
-when it is full.
+Word pieces do not cross white space, so a word is encoded once and remembered, in a memory of
+bounded size.
 
 Edge cases: a null or empty text holds the end id only; null doc ids come first; repeated doc ids are
-ordered by text; a document is never split over blocks, so a block is as large as its longest document;
+ordered by a hash of the text; a document is never split over blocks, so a block is as large as its longest document;
 an empty table gives files without blocks; other columns are ignored.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aferir.llm.common import stored, whole_text
+from aferir.llm.common import Remembered, stored, whole_text
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
-REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 64
 
 
-class Encoder(dict):
+class Encoder(Remembered):
     """Ids of words as bytes (unsigned 32-bit integers, low byte first), kept for the life of a worker."""
 
     def __init__(self, path: str) -> None:
@@ -43,14 +44,8 @@ class Encoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = np.asarray(ids, dtype="<u4").tobytes()
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
+    def make(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text and the end id."""
@@ -102,24 +97,44 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 # --- writing and reading -----------------------------------------------------------------------
 
 
-def frequencies(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+ENCODED = "doc_id long, tie long, n long, control binary, data binary"
+
+
+def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """The ids of every document as the tokenizer numbers them: each text is tokenized once."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = encoder(path)
+        for batch in batches:
+            found = [encode.ids(source) for source in batch["text"]]
+            coded = [pack(ids) for ids in found]
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "tie": batch["tie"],
+                    "n": [len(ids) for ids in found],
+                    "control": [control for control, _ in coded],
+                    "data": [data for _, data in coded],
+                }
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    # The text's hash splits a doc_id that very many rows share.
+    return rows.withColumn("tie", F.xxhash64("text")).mapInPandas(work, ENCODED)
+
+
+def frequencies(rows: DataFrame, size: int) -> DataFrame:
     """How often each id occurs in all documents: at most a row for each id of the vocabulary."""
-    size = vocabulary_size(path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, total = encoder(path), np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for source in batch["text"]:
-                found = encode.ids(source)
-                # A long count array is not worth touching for a short text.
-                if len(found) > size // 8:
-                    total += np.bincount(found, minlength=size)
-                else:
-                    np.add.at(total, found, 1)
+            found = [unpack(c, d, n) for c, d, n in zip(batch["control"], batch["data"], batch["n"], strict=True)]
+            total += np.bincount(np.concatenate(found), minlength=size)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "n": total[seen]})
 
-    counted = docs.select(whole_text(text).alias("text")).mapInPandas(count, "id int, n long")
+    counted = rows.select("n", "control", "data").mapInPandas(count, "id int, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -129,8 +144,9 @@ BLOCKS = "shard int, block int, first long, doc_ids array<long>, sizes array<lon
 def write_blocks(docs: DataFrame, path: str, text: str = "text") -> tuple[DataFrame, np.ndarray]:
     """Write all documents; the blocks as read back, and the id of each rank."""
     size = vocabulary_size(path)
+    rows = stored(encoded(docs, path, text), "zstd")
     # A row for each id of the vocabulary at most.
-    counted = frequencies(docs, path, text).toPandas()
+    counted = frequencies(rows, size).toPandas()
     total = np.zeros(size, dtype=np.int64)
     total[counted["id"]] = counted["n"]
     ids = np.lexsort((np.arange(size), -total)).astype("<u4")
@@ -138,7 +154,7 @@ def write_blocks(docs: DataFrame, path: str, text: str = "text") -> tuple[DataFr
     ranks[ids] = np.arange(size, dtype="<u4")
 
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, shard = encoder(path), TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
         number, first, doc_ids, parts, waiting = 0, 0, [], [], 0
 
         def row() -> pd.DataFrame:
@@ -150,22 +166,19 @@ def write_blocks(docs: DataFrame, path: str, text: str = "text") -> tuple[DataFr
             )
 
         for batch in batches:
-            for doc, source in zip(batch["doc_id"], batch["text"], strict=True):
-                part = encode.ids(source)
-                if waiting and waiting + len(part) > BLOCK_IDS:
+            columns = (batch[name] for name in ("doc_id", "n", "control", "data"))
+            for doc, n, control, data in zip(*columns, strict=True):
+                if waiting and waiting + n > BLOCK_IDS:
                     yield row()
                     number, first, doc_ids, parts, waiting = number + 1, first + waiting, [], [], 0
                 doc_ids.append(None if pd.isna(doc) else int(doc))
-                parts.append(part)
-                waiting += len(part)
+                parts.append(unpack(control, data, n))
+                waiting += n
         if waiting:
             yield row()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    # The text's hash splits a doc_id that very many rows share.
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    blocks = stored(ordered.drop("tie").mapInPandas(block, BLOCKS))
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "n")
+    blocks = stored(ordered.mapInPandas(block, BLOCKS))
     spark = docs.sparkSession
     ranked = stored(spark.createDataFrame(pd.DataFrame({"rank": np.arange(size), "id": ids.astype(np.int64)})))
     table = ranked.orderBy("rank").toPandas()["id"].to_numpy(dtype="<u4")
