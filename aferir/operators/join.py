@@ -1,9 +1,4 @@
-"""Joins that survive a key holding a large share of the rows.
-
-The adaptive skew join only splits a shuffled join whose two sides are shuffled for it. The lookups
-here come out of an aggregation on the join key and bring their own partitioning, so the split is
-made explicitly: rows of hot keys meet the few lookup rows of those keys in a broadcast join.
-"""
+"""Joins that survive a key holding a large share of the rows."""
 
 from __future__ import annotations
 
@@ -13,10 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aferir.session import BROADCAST_ROWS, broadcast_if_small, is_small, materialise
-
-# Rows of one key that one task of a shuffled join may hold.
-JOIN_ROWS = 2_000_000
+#: Parts that the rows of one key are spread over.
+SALTS = 8
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -26,40 +19,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
-    """Keys of the groups with more than ``rows`` rows, or None when there are none."""
-    hot = materialise(df.groupBy(*by).count().where(F.col("count") > rows).drop("count"))
-    return None if hot.isEmpty() else hot
-
-
-def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of the hot keys and all other rows (null keys compare as equal)."""
-    few = broadcast_if_small(hot)
-    return null_safe_join(df, few, keys, "left_semi"), null_safe_join(df, few, keys, "left_anti")
-
-
 def join_unique(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    lookup_rows: int = BROADCAST_ROWS,
-    hot_rows: int = JOIN_ROWS,
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Join facts with a materialised lookup that has one row per key.
+    """Join facts with a lookup that has one row per key; a plan only, no job.
 
-    A lookup that is counted small is broadcast. Otherwise fact rows of keys above ``hot_rows`` join
-    the lookup rows of those keys by broadcast, and only the rest is shuffled.
+    The facts of a key are dealt over ``salts`` parts and the lookup row is repeated for each, so a hot
+    key is never one task. The salt also drops the partitioning that a grouped lookup brings along:
+    both sides are then shuffled for this join, and adaptive execution can split a part that is still
+    too large, or broadcast a lookup that turns out small.
     """
-    keys = list(keys)
-    if is_small(lookup, lookup_rows):
-        return facts.join(F.broadcast(lookup), keys, how)
-    hot = hot_groups(facts, keys, hot_rows)
-    if hot is None:
-        return facts.join(lookup, keys, how)
-    crowded, rest = split_hot(facts, hot, keys)
-    # One lookup row per hot key at most.
-    wanted = materialise(lookup.join(broadcast_if_small(hot), keys, "left_semi"))
-    return crowded.join(broadcast_if_small(wanted), keys, how).unionByName(
-        rest.join(lookup, keys, how)
-    )
+    dealt = facts.withColumn("_sal", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_sal")
+    return dealt.join(lookup.select("*", every), [*keys, "_sal"], how).drop("_sal")

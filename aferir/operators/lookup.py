@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators.dedup import any_one
-from aferir.operators.join import JOIN_ROWS, hot_groups, join_unique, split_hot
+from aferir.operators.join import SALTS, join_unique
 from aferir.operators.reshape import require_keys
-from aferir.session import broadcast_if_small, materialise
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], fields: Sequence[str], **limits
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], fields: Sequence[str], salts: int = SALTS
 ) -> DataFrame:
     """Left join with the lookup reduced to one row per key, so facts never multiply."""
-    slim = materialise(any_one(lookup.select(*keys, *fields), keys))
-    return join_unique(facts, slim, keys, "left", **limits)
+    return join_unique(facts, any_one(lookup.select(*keys, *fields), keys), keys, "left", salts)
 
 
 def _only_code(out: str, low: Column, high: Column) -> tuple[Column, Column]:
@@ -57,14 +55,6 @@ def _lookups(
     return found
 
 
-def _fill_codes(base: DataFrame, lookups: list, code: str) -> DataFrame:
-    # Longer keys first: a shuffled base keeps its partitioning between joins on the same keys.
-    for table, on, _ in sorted(lookups, key=lambda entry: -len(entry[1])):
-        base = base.join(table, on, "left")
-    names = [name for _, _, name in lookups]
-    return base.withColumn(code, V.first_filled(F.col(code), *map(F.col, names))).drop(*names)
-
-
 def enrich_codes(
     base: DataFrame,
     micro: DataFrame | None,
@@ -72,28 +62,21 @@ def enrich_codes(
     keys: Sequence[str] = ("ano", "co_ies", "co_area"),
     place: str = "co_municipio",
     code: str = "co_curso",
-    hot_rows: int = JOIN_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Fill a missing code from lookups, first match wins, ambiguous keys never match.
+    """Fill a missing code from lookups, first match wins, ambiguous keys never match; a plan only.
 
     1. ``direct``: an authoritative table of keys (and place, when both sides have it) and code.
     2. ``micro`` by keys.  3. ``micro`` by keys and place.
 
     Micro rows with any null are left out before ambiguity is judged. The by-key table is rolled up
-    from the by-place table, so the micro data is scanned and shuffled once. Base rows of keys above
-    ``hot_rows`` meet the lookup rows of those keys in broadcast joins.
+    from the by-place table, so the micro data is scanned and shuffled once.
     """
     keys, columns = list(keys), base.columns
     if code not in columns:
         base = base.withColumn(code, V.typed_null("bigint"))
     lookups = _lookups(micro, direct, keys, place, code, place in columns)
-    hot = hot_groups(base, keys, hot_rows)
-    if hot is None:
-        return _fill_codes(base, lookups, code)
-    crowded, rest = split_hot(base, hot, keys)
-    few = broadcast_if_small(hot)
-    wanted = [
-        (broadcast_if_small(materialise(table.join(few, keys, "left_semi"))), on, name)
-        for table, on, name in lookups
-    ]
-    return _fill_codes(crowded, wanted, code).unionByName(_fill_codes(rest, lookups, code))
+    for table, on, _ in lookups:
+        base = join_unique(base, table, on, "left", salts)
+    names = [name for _, _, name in lookups]
+    return base.withColumn(code, V.first_filled(F.col(code), *map(F.col, names))).drop(*names)

@@ -1,9 +1,4 @@
-"""Rank and median that stay distributed when one group holds a large share of the rows.
-
-A plain window or an exact percentile puts a whole group into one task. Groups above ``hot_rows`` are
-therefore cut into order-preserving pieces at approximate quantiles: the pieces are ranked
-independently and shifted by the row count of the pieces before them, which gives the exact result.
-"""
+"""Ranks and medians, also of groups that hold a large share of the rows."""
 
 from __future__ import annotations
 
@@ -12,137 +7,63 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aferir.operators.join import hot_groups, null_safe_join
-from aferir.session import broadcast_if_small, is_small, materialise
-
-# Rows of one group that one task may hold: the median keeps a map of distinct values in memory,
-# the window sorts and spills.
-MEDIAN_ROWS = 200_000
-RANK_ROWS = 1_000_000
-PIECES = 64
+from aferir.operators.join import null_safe_join
+from aferir.session import broadcast_if_small, materialise
 
 
-def _cut_points(df: DataFrame, by: Sequence[str], order: Sequence[str], pieces: int) -> DataFrame:
-    """Approximate quantiles of every order column per group: bounded sketches, merged map-side."""
-    probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = df.groupBy(*by).agg(
-        *[
-            F.array_distinct(F.percentile_approx(c, probs, F.lit(20 * pieces))).alias(f"_cuts{i}")
-            for i, c in enumerate(order)
-        ]
-    )
-    return materialise(cuts)
-
+def _sorting(order: Sequence[str]) -> list:
+    return [F.col(order[0]).asc_nulls_last(), *[F.col(c).asc() for c in order[1:]]]
 
-def _cuts_below(df: DataFrame, cuts: str, value: str, out: str, pieces: int) -> DataFrame:
-    """Number of cuts below the value, by halving: one comparison per power of two."""
-    df = df.withColumn(out, F.lit(0))
-    for step in reversed([1 << k for k in range(pieces.bit_length())]):
-        is_below = F.get(cuts, F.col(out) + (step - 1)) < F.col(value)
-        df = df.withColumn(out, F.col(out) + F.when(is_below, step).otherwise(0))
-    return df
 
+def ordinal_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """1-based rank by the order columns inside each group; rows with a null score get null.
 
-def _with_pieces(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
-    """Piece numbers that follow the order: odd = equal to a cut, even = between two cuts.
-
-    Ties on a cut of one order column are split by the cuts of the next one. Rows without cuts
-    (ordinary groups) are in piece 0.
+    ``order`` is the score, then tie-breaks of any orderable type. One window: the rows of a group are
+    sorted in one task (and spill there); ``ordinal_rank_by_range`` spreads them.
     """
-    columns, on_all_cuts, numbers = df.columns, F.lit(True), []
-    for i, name in enumerate(order):
-        df = _cuts_below(df, f"_cuts{i}", name, f"_below{i}", pieces)
-        on_cut = F.get(f"_cuts{i}", F.col(f"_below{i}")) == F.col(name)
-        number = 2 * F.col(f"_below{i}") + F.coalesce(on_cut, F.lit(False)).cast("int")
-        numbers.append(F.when(on_all_cuts, number).otherwise(0).alias(f"_piece{i}"))
-        on_all_cuts = on_all_cuts & F.coalesce(on_cut, F.lit(False))
-    kept = [c for c in columns if not c.startswith("_cuts")]
-    return df.select(*kept, *numbers)
-
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*_sorting(order)))
+    return df.withColumn(out, F.when(F.col(order[0]).isNotNull(), rank))
 
-def _in_pieces(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], hot: DataFrame, pieces: int
-) -> DataFrame:
-    """All rows with their piece; every row of an ordinary group is in piece 0."""
-    cuts = _cut_points(null_safe_join(df, broadcast_if_small(hot), by, "inner"), by, order, pieces)
-    return _with_pieces(null_safe_join(df, broadcast_if_small(cuts), by, "left"), order, pieces)
 
+def ordinal_rank_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """The same rank with every group spread over as many partitions as its rows need.
 
-def _offsets(sizes: DataFrame, by: Sequence[str], piece_columns: Sequence[str]) -> DataFrame:
-    """Rows before each piece; the window runs over pieces, a bounded number per group."""
-    before = Window.partitionBy(*by).orderBy(*piece_columns).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-
-
-def ordinal_rank(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    out: str,
-    hot: DataFrame | None = None,
-    pieces: int = PIECES,
-) -> DataFrame:
-    """1-based rank by the order columns inside each group; rows with a null score get null.
-
-    ``order`` is the score, then numeric tie-breaks; ``hot`` names the groups to rank in pieces.
+    Rows are dealt by ranges of (group, order columns), ranked inside each partition, and shifted by
+    the group's rows in the partitions before. The dealt rows are kept, as two passes must see the
+    same partitions.
     """
     score = F.col(order[0])
-    sorting = [F.col(order[0]).asc_nulls_last(), *[F.col(c).asc() for c in order[1:]]]
-    if hot is None:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*sorting))
-        return df.withColumn(out, F.when(score.isNotNull(), rank))
-    scored = _in_pieces(df.where(score.isNotNull()), by, order, hot, pieces)
-    piece_columns = [f"_piece{i}" for i in range(len(order))]
-    parts = [*by, *piece_columns]
-    offsets = _offsets(scored.groupBy(*parts).agg(F.count("*").alias("_n")), by, piece_columns)
-    within = F.row_number().over(Window.partitionBy(*parts).orderBy(*sorting))
-    ranked = null_safe_join(scored, offsets, parts, "inner").withColumn(
-        out, (F.col("_before") + within).cast("int")
-    )
+    dealt = df.where(score.isNotNull()).repartitionByRange(*by, *order)
+    dealt = materialise(dealt.withColumn("_part", F.spark_partition_id()))
+    parts = [*by, "_part"]
+    # A row for each group and partition.
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*parts).agg(F.count("*").alias("_n"))
+    sizes = sizes.select(*parts, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*parts).orderBy(*_sorting(order)))
+    ranked = null_safe_join(dealt.withColumn("_within", within), broadcast_if_small(materialise(sizes)), parts, "inner")
+    ranked = ranked.withColumn(out, (F.col("_before") + F.col("_within")).cast("int"))
     unscored = df.where(score.isNull()).withColumn(out, F.lit(None).cast("int"))
     return ranked.select(*df.columns, out).unionByName(unscored)
 
 
-def group_median(
-    df: DataFrame, by: Sequence[str], column: str, out: str, hot: DataFrame, pieces: int = PIECES
-) -> DataFrame:
-    """Exact median (midpoint for even counts) of the ``hot`` groups, one row per group.
+def exact_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str], suffix: str = "_mediana") -> DataFrame:
+    """Exact medians (midpoint for even counts) of several columns per group, in one pass over the rows.
 
-    Equal values are counted first, so only distinct values travel; the piece that holds the middle
-    is found from piece totals, and only that piece is sorted.
+    Equal values are counted before the shuffle, so a group of any size travels as its distinct values;
+    their running count shows the one or two in the middle.
     """
-    few = is_small(hot)
-    wanted = F.broadcast(hot) if few else hot
-    rows = null_safe_join(df.where(F.col(column).isNotNull()), wanted, by, "inner")
-    rows = rows.select(*by, F.col(column).cast("double").alias("_v"))
-    cuts = _cut_points(rows, by, ["_v"], pieces)
-    counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-    cut_groups = null_safe_join(counted, F.broadcast(cuts) if few else cuts, by, "inner")
-    located = _with_pieces(cut_groups, ["_v"], pieces)
-    parts = [*by, "_piece0"]
-    sizes = located.groupBy(*parts).agg(F.sum("_c").alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy(*by))
-    middle = (
-        _offsets(sizes.withColumn("_total", total), by, ["_piece0"])
-        .withColumn("_low", F.expr("(_total + 1) div 2"))
-        .withColumn("_high", F.expr("_total div 2 + 1"))
-        .where("_before < _high AND _before + _n >= _low")
-        .select(*parts, "_before", "_low", "_high")
-    )
-    # At most two pieces per group, so as small as the list of groups.
-    middle = F.broadcast(middle) if few else middle
+    long = F.inline(F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_v")) for c in columns]))
+    parts = [*by, "_name"]
+    counted = df.select(*by, long).where("_v IS NOT NULL").groupBy(*parts, "_v").agg(F.count("*").alias("_c"))
     running = Window.partitionBy(*parts).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    reached = (
-        null_safe_join(located, middle, parts, "inner")
-        .withColumn("_upto", F.col("_before") + F.sum("_c").over(running))
-        .withColumn("_from", F.col("_upto") - F.col("_c"))
+    placed = counted.withColumns(
+        {"_upto": F.sum("_c").over(running), "_total": F.sum("_c").over(Window.partitionBy(*parts))}
     )
-    hits = F.expr("int(_from < _low AND _upto >= _low) + int(_from < _high AND _upto >= _high)")
-    return (
-        reached.withColumn("_hits", hits)
-        .where("_hits > 0")
-        .groupBy(*by)
-        .agg((F.sum(F.col("_v") * F.col("_hits")) / 2).alias(out))
+    low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
+    reached = lambda at: ((F.col("_upto") - F.col("_c") < at) & (F.col("_upto") >= at)).cast("int")
+    middle = placed.withColumn("_hits", reached(low) + reached(high)).where("_hits > 0")
+    value = F.col("_v") * F.col("_hits") / 2
+    return middle.groupBy(*by).agg(
+        *[F.sum(F.when(F.col("_name") == c, value)).alias(f"{c}{suffix}") for c in columns]
     )

@@ -17,6 +17,10 @@ from aferir.functions import values as V
 from aferir.operators.join import null_safe_join
 
 
+#: Failing rows that an error shows; it always states how many there are.
+SHOWN = 100
+
+
 class ValidationError(Exception):
     """A table failed a gate."""
 
@@ -63,24 +67,44 @@ def run_checks(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -
 
 def enforce(report: DataFrame, label: str = "") -> None:
     """Raise when the report has a failing row."""
-    failed = [r.asDict() for r in report.where(~F.col("ok")).limit(100).collect()]
-    if failed:
-        raise ValidationError(f"{label}: {failed}")
+    failed = report.where(~F.col("ok"))
+    shown = [r.asDict() for r in failed.limit(SHOWN).collect()]
+    if shown:
+        total = len(shown) if len(shown) < SHOWN else failed.count()
+        raise ValidationError(f"{label}: {total} failures, of which {shown}")
+
+
+def columns_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per required column: whether the table has it."""
+    return _report(df, [(f"required:{c}", None, c in df.columns) for c in columns])
+
 
+def types_report(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """One row per listed column: its type in the table (null if absent) and whether it is exactly the wanted one."""
+    found = {field.name: field.dataType for field in df.schema}
+    rows = []
+    for name, ddl in types.items():
+        kind = found.get(name)
+        same = kind == T._parse_datatype_string(ddl)
+        rows.append((f"type:{name}:{ddl}", kind.simpleString() if kind else None, same))
+    return _report(df, rows)
+
+
+def _report(df: DataFrame, rows: Sequence[tuple[str, str | None, bool]]) -> DataFrame:
+    entries = [
+        F.struct(F.lit(check).alias("check"), F.lit(found).cast("string").alias("found"), F.lit(ok).alias("ok"))
+        for check, found, ok in rows
+    ]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
-def require_columns(df: DataFrame, columns: Iterable[str], label: str = "") -> None:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValidationError(f"{label}: required columns missing: {missing}")
+
+def require_columns(df: DataFrame, columns: Sequence[str], label: str = "") -> None:
+    enforce(columns_report(df, columns), label)
 
 
 def require_types(df: DataFrame, types: Mapping[str, str], label: str = "") -> None:
     """Exact type of every listed column."""
-    require_columns(df, types, label)
-    for name, ddl in types.items():
-        found, wanted = df.schema[name].dataType, T._parse_datatype_string(ddl)
-        if found != wanted:
-            raise ValidationError(f"{label}: {name} is {found.simpleString()}, not {wanted.simpleString()}")
+    enforce(types_report(df, types), label)
 
 
 def required_for_year(
@@ -160,7 +184,8 @@ def reconcile(
         F.count("*").alias("n"), F.avg(diff).alias("media_dif"), F.max(diff).alias("max_dif")
     )
     good = (F.col("media_dif") < mean_below) & (F.col("max_dif") < max_below)
-    return summary.withColumn("ok", V.fill(good, True))
+    # Without common keys there is nothing to judge.
+    return summary.withColumn("ok", F.when(F.col("n") > 0, good))
 
 
 def layer_totals(gold: DataFrame, measure: str, silver: DataFrame, counted: Column) -> DataFrame:

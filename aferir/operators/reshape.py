@@ -206,8 +206,7 @@ def promote_header(
 ) -> DataFrame:
     """Data rows as wide typed-later columns: each canonical column reads the cell its header names.
 
-    No pivot: one small join per source, then array access, so data rows are not shuffled as long as
-    the counted list of sources is small enough to broadcast. Columns a source lacks are null.
+    No pivot: one join with a row per source, then array access. Columns a source lacks are null.
     """
     keep = [c for c in rows.columns if c != "cells"]
     located = join_unique(rows.where(~is_header), positions, ["fonte"], "inner")
@@ -225,5 +224,5 @@ def fill_from_source(df: DataFrame, column: str, order: str, source: str = "font
     """
     value = quoted(column)
     first = df.where(value.isNotNull()).groupBy(source).agg(F.min_by(column, order).alias("_first"))
-    joined = join_unique(df, materialise(first), [source])
+    joined = join_unique(df, first, [source])
     return joined.withColumn(column, F.coalesce(value, "_first")).drop("_first")

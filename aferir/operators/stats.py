@@ -3,21 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators.join import hot_groups, null_safe_join
-from aferir.operators.order import MEDIAN_ROWS, RANK_ROWS, group_median, ordinal_rank
-from aferir.operators.reshape import quoted
-from aferir.session import broadcast_if_small, materialise
-
-
-def row_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias(out))
+from aferir.operators.join import null_safe_join
+from aferir.operators.order import exact_medians, ordinal_rank, ordinal_rank_by_range
 
 
 def score_stats(
@@ -28,23 +20,17 @@ def score_stats(
     means: Sequence[str] = (),
     meta: Sequence[str] = (),
     order: Sequence[str] = (),
-    hot_rows: int = MEDIAN_ROWS,
+    medians: Sequence[str] | None = None,
 ) -> DataFrame:
     """Enrolled and present counts, and mean / median / deviation of the present rows' scores.
 
-    One aggregation gives the enrolment count, the scores of the present and the first row's
+    One aggregation gives the enrolment count, mean and deviation of the present, and the first row's
     descriptive columns (``meta`` by ``order``); a group without present rows has count 0 and null
-    scores. Medians of groups above ``hot_rows`` rows are taken piecewise, the others in the same
-    aggregation.
+    scores. Medians are a second pass, for the ``medians`` columns only (those of ``spread`` unless
+    named). A plan only, no job.
     """
-    hot = hot_groups(df, keys, hot_rows)
+    medians = spread if medians is None else medians
     rows = df.withColumn("_present", F.coalesce(present, F.lit(False)))
-    in_one_task = F.col("_present")
-    if hot is not None:
-        marked = broadcast_if_small(hot).withColumn("_hot", F.lit(True))
-        rows = null_safe_join(rows, marked, keys, "left")
-        in_one_task = F.col("_present") & F.col("_hot").isNull()
-
     aggregates = [
         F.count("*").cast("int").alias("qt_inscritos"),
         F.count_if("_present").cast("int").alias("qt_presentes"),
@@ -53,22 +39,16 @@ def score_stats(
         score = F.when(F.col("_present"), F.col(name))
         aggregates.append(F.avg(score).alias(f"{name}_media"))
         if name in spread:
-            aggregates.append(F.median(F.when(in_one_task, F.col(name))).alias(f"{name}_mediana"))
             aggregates.append(F.stddev_samp(score).alias(f"{name}_dp"))
     if meta:
         aggregates.append(F.min_by(F.struct(*meta), F.struct(*order)).alias("_meta"))
-    stats = rows.groupBy(*keys).agg(*aggregates)
-    if meta:
-        stats = stats.select("*", "_meta.*").drop("_meta")
-
-    if hot is not None:
-        present_rows = rows.where("_present")
-        for name in spread:
-            exact = group_median(present_rows, keys, name, "_exact", hot)
-            stats = null_safe_join(stats, exact, keys, "left").withColumn(
-                f"{name}_mediana", F.coalesce("_exact", f"{name}_mediana")
-            ).drop("_exact")
-    return stats
+    found = rows.groupBy(*keys).agg(*aggregates)
+    if medians:
+        found = null_safe_join(found, exact_medians(rows.where("_present"), keys, medians), keys, "left")
+    described = ["_meta.*"] if meta else []
+    measures = [f"{name}_{kind}" for name in spread for kind in ("media", "mediana", "dp")]
+    measures = [c for c in measures if c in found.columns] + [f"{name}_media" for name in means]
+    return found.select(*keys, "qt_inscritos", "qt_presentes", *measures, *described)
 
 
 def participation(df: DataFrame, out: str = "tx_participacao") -> DataFrame:
@@ -81,21 +61,20 @@ def group_percentile(
     score: str,
     ties: Sequence[str],
     out: str = "percentil_grupo",
-    hot_rows: int = RANK_ROWS,
+    by_range: bool = False,
 ) -> DataFrame:
     """Position 0-100 of the score inside its group; 50 when the group has at most one score.
 
-    Ordinal ranks (ties in ``ties`` order); rows without score get no position in larger groups.
+    Ordinal ranks (ties in ``ties`` order); rows without score get no position in larger groups. With
+    ``by_range`` the rows of a group are ranked in several partitions, for groups too large for one.
     """
-    stable = materialise(df)
-    hot = hot_groups(stable, by, hot_rows)
-    if hot is None:
-        scored = F.count(score).over(Window.partitionBy(*by))
-        ranked = ordinal_rank(stable, by, [score, *ties], "_rank").withColumn("_scored", scored)
+    if by_range:
+        ranked = ordinal_rank_by_range(df, by, [score, *ties], "_rank")
+        sizes = ranked.groupBy(*by).agg(F.count(score).alias("_scored"))
+        ranked = null_safe_join(ranked, sizes, by, "left")
     else:
-        sizes = materialise(stable.groupBy(*by).agg(F.count(score).alias("_scored")))
-        ranked = ordinal_rank(stable, by, [score, *ties], "_rank", hot)
-        ranked = null_safe_join(ranked, broadcast_if_small(sizes), by, "left")
+        scored = F.count(score).over(Window.partitionBy(*by))
+        ranked = ordinal_rank(df, by, [score, *ties], "_rank").withColumn("_scored", scored)
     position = V.ratio(F.col("_rank") - 1, F.col("_scored") - 1) * 100
     return ranked.withColumn(
         out, F.when(F.col("_scored") > 1, V.round_half_even(position)).otherwise(F.lit(50.0))
@@ -164,43 +143,55 @@ def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*columns)))
 
 
-def answer_counts(answers: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Answers given per key, question and answer; unanswered questions do not count."""
+def answer_shares(answers: DataFrame, period: str, unit: Sequence[str]) -> DataFrame:
+    """Long profile: per period, unit, question and given answer its count, respondents and share.
+
+    ``answers`` is long: period, unit, ``questao``, ``resposta``; unanswered questions do not count.
+    No bound on the number of answers: a text nobody listed is a row like any other.
+    """
+    keys = [period, *unit, "questao"]
     valid = answers.where(F.col("resposta").isNotNull())
-    return materialise(valid.groupBy(*keys, "questao", "resposta").agg(F.count("*").alias("n")))
+    counts = valid.groupBy(*keys, "resposta").agg(F.count("*").alias("n"))
+    # A row for each answer that a unit gave to a question.
+    counts = counts.withColumn("respondentes", F.sum("n").over(Window.partitionBy(*keys)))
+    return counts.withColumn("parte", V.ratio(F.col("n"), F.col("respondentes")))
+
+
+def profile_columns(given: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, str]]:
+    """Column name of each question and answer; two pairs with one name are an error."""
+    names: dict[str, tuple[str, str]] = {}
+    for question, letters in given.items():
+        for answer in letters:
+            if names.setdefault(f"{question}_{answer}", (question, answer)) != (question, answer):
+                raise ValueError(f"two questions share the column {question}_{answer}")
+    return names
 
 
 def answer_profile(
-    answers: DataFrame,
-    period: str,
-    unit: Sequence[str],
-    max_columns: int = 5_000,
+    answers: DataFrame, period: str, unit: Sequence[str], given: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """Shares of every answer per unit and period, one column per question and answer.
+    """Wide profile for a given answer list: ``{questao}_{resposta}`` and ``{questao}_respondentes``.
 
-    ``answers`` is long: period, unit, ``questao``, ``resposta``. Columns are ``{questao}_{resposta}``
-    and ``{questao}_respondentes``. A unit with respondents but without an answer that occurs in the
-    period has share 0.0; a unit without respondents, or an answer nobody gave in the period, is null.
-    The counted table (units x answers) is computed once; everything after works on it.
+    A unit with respondents but without an answer that occurs in the period has share 0.0; a unit
+    without respondents, or an answer nobody gave in the period, is null. Answers outside the list
+    count as respondents only.
     """
-    keys = [period, *unit]
-    counts = answer_counts(answers, keys)
-    pairs = [tuple(r) for r in counts.select("questao", "resposta").distinct().limit(max_columns + 1).collect()]
-    if len(pairs) > max_columns:
-        raise ValueError(f"more than {max_columns} question/answer columns")
-    names = {f"{question}_{answer}": question for question, answer in sorted(pairs)}
-    labelled = counts.withColumn("_coluna", F.concat_ws("_", "questao", "resposta"))
-    wide = labelled.groupBy(*keys).pivot("_coluna", list(names)).agg(F.first("n"))
-    # One row per period with the answers that occur in it (at most max_columns texts).
-    seen = materialise(labelled.groupBy(period).agg(F.collect_set("_coluna").alias("_seen")))
-    wide = null_safe_join(wide, broadcast_if_small(seen), [period], "left")
-
+    keys, names = [period, *unit], profile_columns(given)
+    shares = answer_shares(answers, period, unit)
+    picked = lambda question, answer: (F.col("questao") == question) & (F.col("resposta") == answer)
+    asked = [
+        F.max(F.when(F.col("questao") == q, F.col("respondentes"))).alias(f"{q}_respondentes") for q in given
+    ]
+    parts = [F.max(F.when(picked(*pair), F.col("parte"))).alias(name) for name, pair in names.items()]
+    wide = shares.groupBy(*keys).agg(*asked, *parts)
+    # One row per period: which of the listed answers occur in it.
+    occurs = [F.max(picked(*pair)).alias(f"_{name}") for name, pair in names.items()]
+    seen = answers.where(F.col("resposta").isNotNull()).groupBy(period).agg(*occurs)
+    wide = null_safe_join(wide, seen, [period], "left")
     columns = []
-    for question in dict.fromkeys(names.values()):
-        given = [name for name, of in names.items() if of == question]
-        asked = F.nullif(reduce(add, [V.fill(quoted(n), 0) for n in given]), F.lit(0))
-        columns.append(asked.alias(f"{question}_respondentes"))
-        for name in given:
-            share = V.ratio(V.fill(quoted(name), 0), asked)
-            columns.append(F.when(F.array_contains("_seen", name), share).alias(name))
+    for question, letters in given.items():
+        columns.append(F.col(f"{question}_respondentes"))
+        for name in dict.fromkeys(f"{question}_{answer}" for answer in letters):
+            here = F.col(f"_{name}") & F.col(f"{question}_respondentes").isNotNull()
+            columns.append(F.when(here, V.fill(F.col(name), 0.0)).alias(name))
     return wide.select(*keys, *columns)

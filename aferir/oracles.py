@@ -21,7 +21,7 @@ DRIFT = """
 drift AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderkey, o_custkey, o_orderstatus,
          CAST(NULL AS DOUBLE) AS vl_total
-  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+  FROM orders WHERE coalesce(o_orderdate < TIMESTAMP '1998-01-01', TRUE)
   UNION ALL
   SELECT CAST(year(o_orderdate) AS INTEGER), o_orderkey, o_custkey, NULL, o_totalprice
   FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
@@ -87,6 +87,50 @@ def share_columns(question: str, answers: list[str]) -> str:
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
+
+# The difference sheet: flag, hidden grades, repaired outliers, year filled from the same sheet.
+IDD = f"""
+{GRADED},
+rows AS (
+  SELECT o.o_custkey AS co_ies, o.o_orderkey % 7 AS co_curso, CAST(year(o_orderdate) AS INTEGER) AS ano_fonte,
+         o.o_orderkey AS _linha, faixa, CASE WHEN year(o_orderdate) = 1998 THEN FALSE ELSE sem END AS s,
+         CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice * 100) END AS continuo_c,
+         round(o_totalprice * 100) AS bruta_c,
+         CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS in_cebas
+  FROM orders o JOIN flagged f ON o.o_orderkey = f.o_orderkey),
+typed AS (
+  SELECT *, CASE WHEN s THEN NULL ELSE TRY_CAST(faixa AS INTEGER) END AS idd_faixa,
+         CASE WHEN s THEN NULL ELSE continuo_c END AS c1, CASE WHEN s THEN NULL ELSE bruta_c END AS nota_bruta_idd
+  FROM rows),
+known AS (SELECT DISTINCT ano_fonte AS known_year FROM rows WHERE _linha % 100 = 1),
+idd AS (
+  SELECT co_ies, co_curso, known_year AS ano, idd_faixa,
+         CASE WHEN nota_bruta_idd IS NOT NULL AND c1 IS NULL AND idd_faixa = 1 AND NOT s THEN 0.0 ELSE c1 END AS idd_continuo,
+         nota_bruta_idd, in_cebas, CAST(ano_fonte AS VARCHAR) AS fonte, ano_fonte, _linha, s AS in_sem_conceito
+  FROM typed LEFT JOIN known ON ano_fonte = known_year)
+"""
+
+IGC = """
+  SELECT o_custkey AS co_ies, CAST(year(o_orderdate) AS INTEGER) AS ano, round(o_totalprice * 100) AS igc_continuo,
+         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS igc_faixa,
+         CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS INTEGER) AS in_cebas,
+         CAST(year(o_orderdate) AS INTEGER) AS ano_fonte, o_orderkey AS _linha
+  FROM orders
+"""
+
+CENSUS = """
+  SELECT *, CASE tp_categoria_adm WHEN 1 THEN 'Pública Federal' WHEN 2 THEN 'Pública Estadual'
+                 WHEN 3 THEN 'Pública Municipal' WHEN 4 THEN 'Privada com fins lucrativos'
+                 WHEN 5 THEN 'Privada sem fins lucrativos' END AS categoria_adm,
+         CASE tp_org_academica WHEN 1 THEN 'Universidade' WHEN 4 THEN 'Instituto Federal de Educação, Ciência e Tecnologia' END AS org_academica,
+         CASE tp_rede WHEN 1 THEN 'Pública' WHEN 2 THEN 'Privada' END AS rede
+  FROM (SELECT *, CASE WHEN ano < 1998 THEN CAST(CASE WHEN tp_categoria_adm <= 3 THEN 1 ELSE 2 END AS INTEGER) END AS tp_rede
+        FROM (SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderpriority AS no_ies,
+                     CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS tp_categoria_adm, o_orderstatus AS sg_uf,
+                     CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 4 END AS INTEGER) AS tp_org_academica
+              FROM orders))
+"""
+
 ORACLES: dict[str, str] = {
     "q01_typed_projection": """
         SELECT CAST(l_orderkey AS BIGINT) AS co_curso, CAST(l_suppkey AS INTEGER) AS co_ies,
@@ -338,4 +382,65 @@ ORACLES: dict[str, str] = {
         SELECT s_suppkey AS co_ies, s_name AS no_ies, s_nationkey, s_acctbal,
                CAST(NULL AS BIGINT) AS co_area, 2023 AS ano
         FROM supplier""",
+    "q46_profile_long": """
+        WITH ev AS (SELECT CAST(day(ts) AS INTEGER) AS dia, user_id, event_type,
+                           CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+        respostas AS (
+          SELECT dia, user_id, 'qe_i01' AS questao, event_type AS resposta FROM ev
+          UNION ALL
+          SELECT dia, user_id, 'qe_i02', CASE WHEN k < 30 THEN 'A' WHEN k < 60 THEN 'B' END FROM ev),
+        c AS (SELECT dia, user_id, questao, resposta, count(*) AS n FROM respostas
+              WHERE resposta IS NOT NULL GROUP BY ALL)
+        SELECT *, CAST(sum(n) OVER (PARTITION BY dia, user_id, questao) AS BIGINT) AS respondentes,
+               round(n / sum(n) OVER (PARTITION BY dia, user_id, questao), 9) AS parte FROM c""",
+    "q47_fact_cpc": """
+        SELECT l_suppkey AS co_ies, l_partkey AS co_area, CAST(year(l_shipdate) AS INTEGER) AS ano,
+               CASE WHEN l_returnflag <> 'N' THEN l_orderkey ELSE -1 END AS co_curso,
+               CAST(round(l_extendedprice * 100) AS BIGINT) AS cpc_continuo
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey, year(l_shipdate)
+                                   ORDER BY l_orderkey * 10 + l_linenumber) = 1""",
+    "q48_clean_idd": f"""
+        WITH {IDD}
+        SELECT co_ies, co_curso, ano, idd_faixa, idd_continuo, nota_bruta_idd, in_cebas, fonte, ano_fonte, _linha,
+               in_sem_conceito FROM idd""",
+    "q49_fact_idd": f"""
+        WITH {IDD}
+        SELECT co_ies, co_curso, ano, idd_faixa, idd_continuo, nota_bruta_idd, in_cebas, in_sem_conceito FROM idd
+        QUALIFY row_number() OVER (PARTITION BY co_ies, co_curso, ano ORDER BY ano_fonte, _linha) = 1""",
+    "q50_clean_igc": f"SELECT * FROM ({IGC})",
+    "q51_fact_igc": f"""
+        SELECT co_ies, ano, igc_continuo, igc_faixa, in_cebas FROM ({IGC})
+        QUALIFY row_number() OVER (PARTITION BY co_ies, ano ORDER BY ano_fonte, _linha) = 1""",
+    "q52_history": f"""
+        SELECT o_custkey AS co_ies, ano, no_ies, tp_categoria_adm, tp_org_academica, tp_rede, categoria_adm,
+               org_academica, rede FROM ({CENSUS})
+        QUALIFY row_number() OVER (PARTITION BY o_custkey, ano ORDER BY o_orderkey) = 1""",
+    "q53_latest_institutions": f"""
+        SELECT o_custkey AS co_ies, ano AS ano_referencia, sg_uf, no_ies AS no_ies_atual,
+               tp_categoria_adm AS tp_categoria_adm_atual, tp_org_academica AS tp_org_academica_atual,
+               tp_rede AS tp_rede_atual, categoria_adm AS categoria_adm_atual,
+               org_academica AS org_academica_atual, rede AS rede_atual FROM ({CENSUS})
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY ano DESC, o_orderkey) = 1""",
+    "q54_one_per_course": """
+        SELECT l_suppkey AS co_ies, l_partkey AS co_area, CAST(year(l_shipdate) AS INTEGER) AS ano,
+               CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS co_curso,
+               CAST(round(l_extendedprice * 100) AS BIGINT) AS cpc_continuo,
+               CAST(NULL AS VARCHAR) AS "Coluna Solta"
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_suppkey, year(l_shipdate)
+                                   ORDER BY l_partkey, l_orderkey * 10 + l_linenumber) = 1""",
+    "q55_student_rows": """
+        SELECT CAST(year(l_shipdate) AS INTEGER) AS ano_fonte, CAST(year(l_shipdate) AS INTEGER) AS ano,
+               l_partkey AS co_curso, CAST(p_size AS BIGINT) AS co_ies, CAST(p_size AS INTEGER) AS co_grupo,
+               CAST(CAST(l_quantity AS INTEGER) AS FLOAT) AS nt_ger, CAST(l_linenumber AS INTEGER) AS tp_pres
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        WHERE l_linenumber <> 7 AND p_size <> 50""",
+    "q56_required_columns": """
+        SELECT * FROM (VALUES ('required:l_orderkey', TRUE), ('required:l_ausente', FALSE),
+                              ('type:l_orderkey:bigint', TRUE), ('type:l_quantity:int', FALSE),
+                              ('type:l_ausente:int', FALSE)) AS t("check", ok)""",
+    "q57_identified_only": """
+        SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS linhas, count(DISTINCT l_orderkey) AS cursos
+        FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1""",
 }

@@ -27,6 +27,7 @@ from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_pat
 DATASET = "censo-superior"
 FILE_ORDER = (SOURCE_YEAR, *POSITION)
 
+# Published columns of the tables below.
 HISTORY = (
     "co_ies", "ano", "no_ies", "sg_ies", "tp_categoria_adm", "tp_org_academica", "tp_rede",
     "no_mantenedora", "co_mantenedora", "categoria_adm", "org_academica", "rede",
@@ -63,7 +64,7 @@ def _build(
     return write_passing_years(typed, path, report, stale, failures)
 
 
-def _derive_network(typed: DataFrame, published: dict[int, set[str]]) -> DataFrame:
+def derive_network(typed: DataFrame, published: dict[int, set[str]]) -> DataFrame:
     """Network from the category in the years that do not publish it."""
     lacking = [y for y, names in published.items() if "tp_rede" not in names]
     derived = F.when(F.col(SOURCE_YEAR).isin(*lacking), V.network_of_category(F.col("tp_categoria_adm")))
@@ -76,7 +77,7 @@ def build_institutions(
     """Institution state and staff measures, two pruned reads of the same files."""
     common = (spark, bronze, root, years, force)
     return [
-        _build(*common, "censo_ies", r".*IES.*\.csv", census.INSTITUTION, _derive_network),
+        _build(*common, "censo_ies", r".*IES.*\.csv", census.INSTITUTION, derive_network),
         _build(*common, "censo_fact", r".*IES.*\.csv", census.STAFF),
     ]
 

@@ -11,7 +11,6 @@ from aferir.functions import values as V
 from aferir.operators import reshape, stats
 from aferir.operators.dedup import any_one
 from aferir.operators.lookup import lookup_join
-from aferir.operators.order import MEDIAN_ROWS, RANK_ROWS
 from aferir.plans.build import (
     BuildReport,
     gate_years,
@@ -22,13 +21,15 @@ from aferir.plans.build import (
 )
 from aferir.schemas import enade
 from aferir.schemas.common import EXAM_YEARS, YEARS_WITHOUT_EXAM
-from aferir.sources.delimited import POSITION, read_header, read_years_mapped, side_by_side
+from aferir.session import materialise
+from aferir.sources.delimited import POSITION, cells_of, read_header, read_years_mapped, side_by_side
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 
 DATASET = "enade-microdados"
 FILE_ORDER = (SOURCE_YEAR, *POSITION)
 COURSE_KEYS = ["co_ies", "co_curso", "ano"]
+# Published columns of the tables below.
 COURSE_META = [
     "co_grupo", "tp_categoria_adm", "tp_org_academica", "tp_modalidade", "co_municipio", "co_uf",
     "co_regiao",
@@ -75,26 +76,23 @@ def build_students(
     students, in_students = read_years_mapped(
         spark, paths[3], arq3.headers, arq3.columns, position=True
     )
-    rows = student_rows(students, courses)
+    # Gates and write share one computation.
+    rows = materialise(student_rows(students, courses))
     published = {y: in_courses[y] | in_students[y] for y in stale}
     failures = missing_columns(published, lambda year: enade.REQUIRED)
     failures += gate_years(rows, stale, enade.KEYS)
     return write_passing_years(rows, path, report, stale, failures)
 
 
-def course_scores(
-    silver: DataFrame, median_rows: int = MEDIAN_ROWS, rank_rows: int = RANK_ROWS
-) -> DataFrame:
+def course_scores(silver: DataFrame) -> DataFrame:
     """fact_enade: enrolment, presence, scores and position inside the area, per course and year."""
     scored = stats.score_stats(
         silver, COURSE_KEYS, F.col("tp_pres") == enade.PRESENT, SPREAD_SCORES, MEAN_SCORES,
-        COURSE_META, FILE_ORDER, median_rows,
+        COURSE_META, FILE_ORDER,
     )
     scores = [c for c in scored.columns if c.startswith("nt_")]
     scored = reshape.cast_strict(stats.participation(scored), dict.fromkeys([*scores, "tx_participacao"], "float"))
-    placed = stats.group_percentile(
-        scored, ["co_grupo", "ano"], "nt_ger_media", ["co_ies", "co_curso"], hot_rows=rank_rows
-    )
+    placed = stats.group_percentile(scored, ["co_grupo", "ano"], "nt_ger_media", ["co_ies", "co_curso"])
     return reshape.cast_strict(placed, {"percentil_grupo": "float"})
 
 
@@ -141,12 +139,12 @@ def questionnaire_rows(
         [p[:5] for p in places],
         f"{SOURCE_YEAR} int, _arq int, questao string, _curso int, _resposta int",
     )
-    name = r"microdados(\d{4})_arq(\d+)\.txt"
-    path, cells = F.col("_metadata.file_path"), F.split("value", ";")
+    name = r"(?i)microdados(\d{4})_arq(\d+)\.txt"
+    path = F.col("_metadata.file_path")
     lines = spark.read.text([p[5] for p in places]).select(
-        F.regexp_extract(path, name, 1).cast("int").alias(SOURCE_YEAR),
-        F.regexp_extract(path, name, 2).cast("int").alias("_arq"),
-        cells.alias("_cells"),
+        F.regexp_extract(path, name, 1).try_cast("int").alias(SOURCE_YEAR),
+        F.regexp_extract(path, name, 2).try_cast("int").alias("_arq"),
+        cells_of(F.col("value")).alias("_cells"),
     )
 
     def cell(at: str):
@@ -170,12 +168,12 @@ def course_institutions(spark: SparkSession, files: dict[tuple[int, int], str])
 
 def answer_shares(courses: DataFrame, answers: DataFrame) -> DataFrame:
     """fact_enade_perfil: answer shares of every course of the years that have answers."""
-    profile = stats.answer_profile(answers, SOURCE_YEAR, ["co_curso"])
+    given = dict.fromkeys((q.lower() for q in enade.QUESTIONS), enade.ANSWERS)
+    profile = stats.answer_profile(answers, SOURCE_YEAR, ["co_curso"], given)
     shares = [c for c in profile.columns if c not in (SOURCE_YEAR, "co_curso")]
-    years = [r[0] for r in profile.select(SOURCE_YEAR).distinct().collect()]
-    joined = reshape.where_years(courses, years, SOURCE_YEAR).join(
-        profile, [SOURCE_YEAR, "co_curso"], "left"
-    )
+    # One row per exam year.
+    asked = answers.where(F.col("resposta").isNotNull()).select(SOURCE_YEAR).distinct()
+    joined = courses.join(asked, SOURCE_YEAR, "left_semi").join(profile, [SOURCE_YEAR, "co_curso"], "left")
     typed = reshape.cast_lenient(
         joined.withColumnRenamed(SOURCE_YEAR, "ano"),
         {

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators import dedup, join, lookup, order, quality, reshape, stats
-from aferir.session import materialise
+from aferir.operators import dedup, lookup, order, quality, reshape, stats
+from aferir.plans import census, enade, indicators
+from aferir.schemas import enade as schemas
+from aferir.sinks import refresh
 
 QUERIES: dict = {}
 
@@ -98,10 +100,11 @@ ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "vl_total": "doubl
 def drifting_orders(spark, folder) -> DataFrame:
     """Two publications of orders: the older keeps keys as text and lacks the total."""
     orders = orders_by_year(spark, folder)
-    older = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).select(
+    recent = F.coalesce(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
+    older = orders.where(~recent).select(
         "ano", F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_custkey", "o_orderstatus"
     )
-    newer = orders.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+    newer = orders.where(recent).select(
         "ano", "o_custkey", "o_orderkey", F.col("o_totalprice").alias("vl_total")
     )
     return reshape.diagonal_union([reshape.cast_strict(f, ORDER_TYPES) for f in (older, newer)])
@@ -178,7 +181,7 @@ def cascaded(spark, folder) -> DataFrame:
         "l_linestatus",
     )
     keys = ["co_ies", "co_area"]
-    base = materialise(dedup.distinct_rows(lines.select(*keys, "co_municipio")))
+    base = dedup.distinct_rows(lines.select(*keys, "co_municipio"))
     direct = lines.where("l_linestatus = 'F'").drop("l_linestatus")
     micro = lines.where("l_linestatus = 'O'").drop("l_linestatus")
     return lookup.enrich_codes(base, micro, direct, keys)
@@ -227,7 +230,7 @@ def q14_score_stats(spark, folder):
 
 @query
 def q15_participation(spark, folder):
-    counted = stats.participation(course_stats(spark, folder))
+    counted = stats.participation(course_stats(spark, folder, medians=()))
     return counted.select(*COURSE_KEYS, "qt_inscritos", "qt_presentes", "tx_participacao")
 
 
@@ -242,6 +245,9 @@ def q16_group_percentile(spark, folder):
 # --- answer profiles ----------------------------------------------------------------------------
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 def survey_answers(spark, folder) -> DataFrame:
     events = table(spark, folder, "events").select(
         "user_id", F.dayofmonth("ts").alias("dia"), "event_type",
@@ -256,12 +262,25 @@ def q17_answer_distribution(spark, folder):
         F.lit(0).alias("periodo"), "user_id",
         F.lit("qe_i01").alias("questao"), F.col("event_type").alias("resposta"),
     )
-    return stats.answer_profile(answers, "periodo", ["user_id"]).drop("periodo")
+    return stats.answer_profile(answers, "periodo", ["user_id"], {"qe_i01": EVENT_TYPES}).drop("periodo")
 
 
 @query
 def q18_profile_wide(spark, folder):
-    answered = survey_answers(spark, folder).select(
+    given = {"qe_i01": EVENT_TYPES, "qe_i02": ("A", "B")}
+    profile = stats.answer_profile(two_questions(spark, folder), "dia", ["user_id"], given)
+    return reshape.keys_first(profile, ["dia", "user_id"])
+
+
+@query
+def q46_profile_long(spark, folder):
+    """Every answer given, one row each; the wide table is made from a list of answers."""
+    shares = stats.answer_shares(two_questions(spark, folder), "dia", ["user_id"])
+    return shares.withColumn("parte", F.round("parte", 9))
+
+
+def two_questions(spark, folder) -> DataFrame:
+    return survey_answers(spark, folder).select(
         "dia", "user_id",
         F.inline(
             F.array(
@@ -273,7 +292,6 @@ def q18_profile_wide(spark, folder):
             )
         ),
     )
-    return reshape.keys_first(stats.answer_profile(answered, "dia", ["user_id"]), ["dia", "user_id"])
 
 
 # --- conditional rules --------------------------------------------------------------------------
@@ -415,12 +433,12 @@ def q28_reconcile(spark, folder):
 @query
 def q29_layer_totals(spark, folder):
     rows = students(spark, folder)
-    return quality.layer_totals(course_stats(spark, folder), "qt_presentes", rows, F.col("tp_pres") == 555)
+    return quality.layer_totals(course_stats(spark, folder, medians=()), "qt_presentes", rows, F.col("tp_pres") == 555)
 
 
 @query
 def q30_year_summary(spark, folder):
-    summary = stats.year_summary(course_stats(spark, folder), "nt_ger_media")
+    summary = stats.year_summary(course_stats(spark, folder, medians=()), "nt_ger_media")
     return summary.withColumn("media_geral", F.round(F.col("media_geral") / 100, 4))
 
 
@@ -448,15 +466,13 @@ def q32_schema_drift(spark, folder):
 
 @query
 def q33_stale_years(spark, folder):
-    from aferir.sinks.refresh import stale_years
-
     sources = orders_by_year(spark, folder).groupBy("ano").agg(F.max("o_orderdate").alias("modificado"))
     outputs = (
         table(spark, folder, "lineitem").where("l_returnflag = 'A'")
         .groupBy(F.year("l_shipdate").alias("ano")).agg(F.max("l_shipdate").alias("modificado"))
         .where("ano <> 1997")
     )
-    return stale_years(sources, outputs)
+    return refresh.stale_years(sources, outputs)
 
 
 @query
@@ -513,9 +529,8 @@ def q36_coverage(spark, folder):
 
 @query
 def q37_preview(spark, folder):
-    return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy(
-        F.desc("o_totalprice"), "o_orderkey"
-    ).limit(5)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return refresh.preview(orders, [F.desc("o_totalprice"), "o_orderkey"])
 
 
 @query
@@ -527,16 +542,16 @@ def q38_gold_fallback_flag(spark, folder):
 
 @query
 def q39_code_lookup(spark, folder):
-    """Quoted code texts to a distinct, complete code table; equal texts are merged first."""
+    """Quoted code texts to a distinct, complete code table."""
     place = F.when(F.col("l_returnflag") == "N", F.lit("x")).otherwise(F.col("l_linenumber").cast("string"))
     raw = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("co_ies"), F.col("l_partkey").alias("co_grupo"), place.alias("co_munic_curso")
     )
-    texts = dedup.distinct_rows(raw)
-    stripped = texts.select(
-        *[V.strip_quotes(F.concat(F.lit('"'), c, F.lit('" '))).alias(c) for c in texts.columns]
+    stripped = raw.select(
+        *[V.strip_quotes(F.concat(F.lit('"'), c, F.lit('" '))).alias(c) for c in raw.columns]
     )
     typed = reshape.cast_lenient(stripped, dict.fromkeys(stripped.columns, "bigint"))
+    # One distinct: texts that differ only in quotes or are no code meet after typing.
     return dedup.distinct_rows(reshape.complete_rows(typed))
 
 
@@ -562,23 +577,21 @@ def q42_pk_summary(spark, folder):
 
 @query
 def q43_hot_group_median(spark, folder):
-    """Exact medians of very large groups, taken piecewise."""
+    """Exact medians of very large groups: distinct values are counted before the shuffle."""
     rows = table(spark, folder, "lineitem").select(
         "l_returnflag", cents("l_extendedprice").cast("double").alias("nota")
     )
-    hot = join.hot_groups(rows, ["l_returnflag"], 0)
-    medians = order.group_median(rows, ["l_returnflag"], "nota", "mediana", hot)
-    return medians.withColumn("mediana", F.col("mediana") / 100)
+    medians = order.exact_medians(rows, ["l_returnflag"], ["nota"])
+    return medians.select("l_returnflag", (F.col("nota_mediana") / 100).alias("mediana"))
 
 
 @query
 def q44_hot_group_rank(spark, folder):
-    """Ordinal ranks inside very large groups, taken piecewise."""
+    """Ordinal ranks inside very large groups, each spread over several partitions."""
     rows = table(spark, folder, "orders").select(
         "o_orderstatus", "o_orderkey", cents("o_totalprice").cast("double").alias("nota")
     )
-    hot = materialise(rows.select("o_orderstatus").distinct())
-    ranked = order.ordinal_rank(rows, ["o_orderstatus"], ["nota", "o_orderkey"], "posicao", hot)
+    ranked = order.ordinal_rank_by_range(rows, ["o_orderstatus"], ["nota", "o_orderkey"], "posicao")
     return ranked.drop("nota")
 
 
@@ -589,3 +602,156 @@ def q45_rename_keep(spark, folder):
         table(spark, folder, "supplier"), {"s_suppkey": "co_ies", "s_name": "no_ies", "absent": "x"}
     )
     return reshape.conform(renamed, {"co_ies": "bigint", "co_area": "bigint"}).withColumn("ano", F.lit(2023))
+
+
+# --- published cleaning rules and gold tables ---------------------------------------------------
+
+
+def indicator_lines(spark, folder) -> DataFrame:
+    """lineitem as cleaned indicator rows: supplier = institution, part = area, order = course."""
+    return table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("co_ies"),
+        F.col("l_partkey").alias("co_area"),
+        F.year("l_shipdate").alias("ano"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_orderkey")).alias("co_curso"),
+        cents("l_extendedprice").alias("cpc_continuo"),
+        F.lit(None).cast("string").alias("Coluna Solta"),
+        F.year("l_shipdate").alias("ano_fonte"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_linha"),
+    )
+
+
+@query
+def q47_fact_cpc(spark, folder):
+    return indicators.fact_cpc(indicator_lines(spark, folder))
+
+
+def idd_orders(spark, folder) -> DataFrame:
+    """Orders as text rows of the difference sheet; the year stands in the first rows only."""
+    orders = orders_by_year(spark, folder)
+    graded = graded_orders(spark, folder).select("o_orderkey", "idd_faixa", "observacao")
+    return orders.join(graded, "o_orderkey").select(
+        F.col("o_custkey").cast("string").alias("co_ies"),
+        F.pmod(F.col("o_orderkey"), F.lit(7)).cast("string").alias("co_curso"),
+        F.when(F.pmod(F.col("o_orderkey"), F.lit(100)) == 1, F.col("ano")).cast("string").alias("ano"),
+        "idd_faixa",
+        "observacao",
+        F.when(F.col("o_orderstatus") != "F", cents("o_totalprice")).cast("string").alias("idd_continuo"),
+        cents("o_totalprice").cast("string").alias("nota_bruta_idd"),
+        F.when(F.col("o_orderstatus") == "F", "X").when(F.col("o_orderstatus") == "O", "-").alias("in_cebas"),
+        F.col("ano").cast("string").alias("fonte"),
+        F.col("ano").alias("ano_fonte"),
+        F.col("o_orderkey").alias("_linha"),
+    )
+
+
+def cleaned_idd(spark, folder) -> DataFrame:
+    texts = idd_orders(spark, folder)
+    return indicators.clean_idd(texts, {1998: {"ano", "co_ies"}, 1999: set(texts.columns)})
+
+
+@query
+def q48_clean_idd(spark, folder):
+    return cleaned_idd(spark, folder).drop("observacao")
+
+
+@query
+def q49_fact_idd(spark, folder):
+    return indicators.fact_idd(cleaned_idd(spark, folder).drop("fonte"))
+
+
+@query
+def q50_clean_igc(spark, folder):
+    orders = orders_by_year(spark, folder)
+    texts = orders.select(
+        F.col("o_custkey").cast("string").alias("co_ies"),
+        F.when(F.col("o_orderstatus") != "P", F.col("ano")).cast("string").alias("ano"),
+        cents("o_totalprice").cast("string").alias("igc_continuo"),
+        F.substring("o_orderpriority", 1, 1).alias("igc_faixa"),
+        F.when(F.col("o_orderstatus") == "F", "Sim").when(F.col("o_orderstatus") == "O", "-").alias("in_cebas"),
+        F.col("ano").alias("ano_fonte"),
+        F.col("o_orderkey").alias("_linha"),
+    )
+    return indicators.clean_igc(texts, {})
+
+
+@query
+def q51_fact_igc(spark, folder):
+    return indicators.fact_igc(q50_clean_igc(spark, folder))
+
+
+def census_rows(spark, folder) -> DataFrame:
+    """Orders as yearly institution rows: customer = institution, priority = category."""
+    return orders_by_year(spark, folder).select(
+        F.col("o_custkey").alias("co_ies"),
+        "ano",
+        F.col("o_orderpriority").alias("no_ies"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("tp_categoria_adm"),
+        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 4).alias("tp_org_academica"),
+        F.lit(None).cast("int").alias("tp_rede"),
+        F.col("o_orderstatus").alias("sg_uf"),
+        F.col("ano").alias("ano_fonte"),
+        F.lit(0).cast("bigint").alias("_bloco"),
+        F.col("o_orderkey").alias("_linha"),
+    )
+
+
+def networked(spark, folder) -> DataFrame:
+    """The network is published from 1998 on only; before, it follows from the category."""
+    rows = census_rows(spark, folder)
+    published = {y: {"tp_rede"} if y >= 1998 else set() for y in range(1990, 2003)}
+    return census.derive_network(rows, published)
+
+
+@query
+def q52_history(spark, folder):
+    return census.history(networked(spark, folder))
+
+
+@query
+def q53_latest_institutions(spark, folder):
+    return census.latest_institutions(networked(spark, folder))
+
+
+@query
+def q54_one_per_course(spark, folder):
+    return census.one_per_key(indicator_lines(spark, folder).withColumn("_bloco", F.col("co_area")), ["co_ies", "ano"])
+
+
+@query
+def q55_student_rows(spark, folder):
+    """Exam rows with the description of their course, matched as text inside the source year."""
+    lines = table(spark, folder, "lineitem").select(
+        F.year("l_shipdate").alias("ano_fonte"),
+        F.year("l_shipdate").cast("string").alias("ano"),
+        F.when(F.col("l_linenumber") == 7, "x").otherwise(F.col("l_partkey").cast("string")).alias("co_curso"),
+        F.col("l_quantity").cast("int").cast("string").alias("nt_ger"),
+        F.col("l_linenumber").cast("string").alias("tp_pres"),
+    )
+    years = lines.select("ano_fonte").distinct()
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("co_curso"),
+        F.when(F.col("p_size") != 50, F.col("p_size").cast("string")).alias("co_ies"),
+        F.col("p_size").cast("string").alias("co_grupo"),
+    )
+    fields = [c for c in schemas.COURSE_FILE.columns if c not in ("ano", "co_curso")]
+    courses = reshape.conform(parts.crossJoin(F.broadcast(years)), dict.fromkeys(fields, "string"))
+    joined = enade.student_rows(lines, courses)
+    return joined.select("ano_fonte", "ano", "co_curso", "co_ies", "co_grupo", "nt_ger", "tp_pres")
+
+
+@query
+def q56_required_columns(spark, folder):
+    """Required columns and exact types as report rows."""
+    lines = table(spark, folder, "lineitem")
+    return quality.columns_report(lines, ["l_orderkey", "l_ausente"]).select("check", "ok").unionByName(
+        quality.types_report(lines, {"l_orderkey": "bigint", "l_quantity": "int", "l_ausente": "int"}).select("check", "ok")
+    )
+
+
+@query
+def q57_identified_only(spark, folder):
+    coded = indicator_lines(spark, folder).withColumn("co_curso", V.fill(F.col("co_curso"), V.UNKNOWN_COURSE))
+    return reshape.identified_only(coded).groupBy("ano").agg(
+        F.count("*").alias("linhas"), F.countDistinct("co_curso").alias("cursos")
+    )

@@ -175,11 +175,3 @@ CATEGORY_LABELS = {
     8: "Privada comunitária",
     9: "Privada confessional",
 }
-DEGREE_LABELS = {
-    1: "Bacharelado",
-    2: "Licenciatura",
-    3: "Tecnológico",
-    4: "Bacharelado e Licenciatura",
-}
-TEACHING_MODE_LABELS = {1: "Presencial", 2: "EaD"}
-LEVEL_LABELS = {1: "Graduação", 2: "Sequencial de Formação Específica"}

@@ -1,18 +1,4 @@
 """Columns that several tables share."""
 
-# Fixed values.
-COMMON_TYPES = {
-    "co_ies": "bigint",
-    "ano": "int",
-    "no_ies": "string",
-    "sg_ies": "string",
-    "sg_uf": "string",
-    "co_municipio": "bigint",
-    "no_municipio": "string",
-    "tp_categoria_adm": "int",
-    "tp_org_academica": "int",
-    "tp_rede": "int",
-}
-
 YEARS_WITHOUT_EXAM = (2020,)
 EXAM_YEARS = tuple(y for y in range(2004, 2024) if y not in YEARS_WITHOUT_EXAM)

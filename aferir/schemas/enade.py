@@ -86,3 +86,5 @@ KEYS = ("co_ies", "ano", "co_curso")
 
 # Questions QE_I01 to QE_I26 are in the files 7 to 32 of a year.
 QUESTIONS = {f"QE_I{i:02d}": i + 6 for i in range(1, 27)}
+# The letters of the published answer lists.
+ANSWERS = tuple("ABCDEFGHIJK")

@@ -18,34 +18,46 @@ IGC_SIDE_SHEETS = (
     "matrículas_2019_2021_2022", "matriculas_2021_2022_2023", "matrículas_2021_2022_2023",
 )
 
-# Score components as published ("Nota Bruta - <name>", "Nota Padronizada - <name>",
-# "Nota padronizada de <name>").
-_COMPONENTS = {
-    "fg": ("FG", "formação geral"),
-    "ce": ("CE", "componente específico"),
-    "idd": ("IDD",),
-    "mestres": ("Mestres",),
-    "doutores": ("Doutores",),
-    "regime": ("Regime de Trabalho", "regime de trabalho (integral / parcial)"),
-    "org_didatica": (
-        "Organização Didático-Pedagógica", "Org. Didático-Pedagógica",
-        "organização didático pedagógica",
-    ),
-    "infra": ("Infraestrutura e Instalações Físicas", "Infraestrutura"),
-    "oportunidade": (
-        "Oportunidade de Ampliação da Formação", "Oportunidades de Ampliação da Formação",
-        "Oport. Ampliação",
-    ),
-}
+# Score headers as published.
 _SCORE_HEADERS = [
-    (pattern % name, f"nota_{kind}_{component}")
-    for component, names in _COMPONENTS.items()
-    for name in names
-    for kind, patterns in (
-        ("bruta", ("Nota Bruta - %s", "Nota bruta de %s", "Nota bruta do %s")),
-        ("pad", ("Nota Padronizada - %s", "Nota padronizada de %s", "Nota padronizada do %s")),
-    )
-    for pattern in patterns
+    ("Nota Bruta - FG", "nota_bruta_fg"),
+    ("Nota bruta de formação geral", "nota_bruta_fg"),
+    ("Nota Bruta - CE", "nota_bruta_ce"),
+    ("Nota bruta de componente específico", "nota_bruta_ce"),
+    ("Nota Padronizada - FG", "nota_pad_fg"),
+    ("Nota padronizada de formação geral", "nota_pad_fg"),
+    ("Nota Padronizada - CE", "nota_pad_ce"),
+    ("Nota padronizada de componente específico", "nota_pad_ce"),
+    ("Nota Bruta - IDD", "nota_bruta_idd"),
+    ("Nota bruta do IDD", "nota_bruta_idd"),
+    ("Nota Padronizada - IDD", "nota_pad_idd"),
+    ("Nota padronizada do IDD", "nota_pad_idd"),
+    ("Nota Bruta - Mestres", "nota_bruta_mestres"),
+    ("Nota Padronizada - Mestres", "nota_pad_mestres"),
+    ("Nota padronizada de mestres", "nota_pad_mestres"),
+    ("Nota Bruta - Doutores", "nota_bruta_doutores"),
+    ("Nota Padronizada - Doutores", "nota_pad_doutores"),
+    ("Nota padronizada de doutores", "nota_pad_doutores"),
+    ("Nota Bruta - Regime de Trabalho", "nota_bruta_regime"),
+    ("Nota Padronizada - Regime de Trabalho", "nota_pad_regime"),
+    ("Nota padronizada de regime de trabalho (integral / parcial)", "nota_pad_regime"),
+    ("Nota padronizada de regime de trabalho", "nota_pad_regime"),
+    ("Nota Bruta - Organização Didático-Pedagógica", "nota_bruta_org_didatica"),
+    ("Nota Bruta - Org. Didático-Pedagógica", "nota_bruta_org_didatica"),
+    ("Nota Padronizada - Organização Didático-Pedagógica", "nota_pad_org_didatica"),
+    ("Nota padronizada de organização didático pedagógica", "nota_pad_org_didatica"),
+    ("Nota Padronizada - Org. Didático-Pedagógica", "nota_pad_org_didatica"),
+    ("Nota Bruta - Infraestrutura e Instalações Físicas", "nota_bruta_infra"),
+    ("Nota Bruta - Infraestrutura", "nota_bruta_infra"),
+    ("Nota Padronizada - Infraestrutura e Instalações Físicas", "nota_pad_infra"),
+    ("Nota padronizada de infraestrutura", "nota_pad_infra"),
+    ("Nota Padronizada - Infraestrutura", "nota_pad_infra"),
+    ("Nota Bruta - Oportunidade de Ampliação da Formação", "nota_bruta_oportunidade"),
+    ("Nota Bruta - Oportunidades de Ampliação da Formação", "nota_bruta_oportunidade"),
+    ("Nota Bruta - Oport. Ampliação", "nota_bruta_oportunidade"),
+    ("Nota Padronizada - Oportunidade de Ampliação da Formação", "nota_pad_oportunidade"),
+    ("Nota Padronizada - Oportunidades de Ampliação da Formação", "nota_pad_oportunidade"),
+    ("Nota Padronizada - Oport. Ampliação", "nota_pad_oportunidade"),
 ]
 
 CPC: Layout = layout(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Limits of a table that may be broadcast, both checked.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cpus: int | str = 8, app: str = "aferir", driver_memory: str = "12g") -> SparkSession:
@@ -18,8 +18,6 @@ def local_session(cpus: int | str = 8, app: str = "aferir", driver_memory: str =
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Many small groups: keep hashing them instead of falling back to a sort after 128.
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "32768")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
@@ -27,17 +25,11 @@ def local_session(cpus: int | str = 8, app: str = "aferir", driver_memory: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a scratch folder in local mode only."""
+    """Use the folder in ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared too."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="aferir-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not sc.getCheckpointDir():
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -46,11 +38,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a materialised table has at most ``rows`` rows."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a materialised table has at most ``rows`` rows of ``size`` bytes in all (as JSON text)."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(rows + 1).select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
+    return found[0] <= rows and (found[1] or 0) <= size
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting a materialised side; larger sides stay shuffled."""
+    """Hint a broadcast only after measuring a materialised side; larger sides stay shuffled."""
     return F.broadcast(df) if is_small(df, rows) else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aferir.sources.tables import SOURCE_YEAR
@@ -45,20 +45,25 @@ def write_silver(df: DataFrame, path: str, replace_years: Iterable[int] | None =
 
 
 def write_gold(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Write an analytic table sorted by its key: range partitions, sorted inside."""
-    (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    """Write an analytic table sorted by its key (range partitions, sorted inside), then swap it in.
 
-
-def sort_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.orderBy(*keys)
-
-
-def preview(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    The published table stays until the new one is complete beside it.
+    """
+    fresh, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    sorted_rows.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    target = place(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(place(old), True)
+    if files.exists(target) and not files.rename(target, place(old)):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(place(fresh), target):
+        raise OSError(f"cannot move the new table to {path}")
+    files.delete(place(old), True)
+
+
+def preview(df: DataFrame, keys: Sequence[str | Column], n: int = 5) -> DataFrame:
     """The first n rows in key order: each partition keeps n, no full sort."""
     return df.orderBy(*keys).limit(n)

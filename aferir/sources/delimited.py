@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
@@ -89,10 +89,10 @@ def read_years_mapped(
 
 
 def read_with_fallback(spark: SparkSession, path: str) -> DataFrame:
-    """Read as UTF-8 when the header decodes, else as Latin-1."""
-    df = _read(spark, path, "UTF-8", False)
-    if any("\ufffd" in name for name in df.columns):
-        df = _read(spark, path, LATIN1, False)
+    """Read as UTF-8 when header and values decode, else as Latin-1."""
+    valid = F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))
+    decodes = spark.read.text(path).agg(valid).first()[0]
+    df = _read(spark, path, "UTF-8" if decodes else LATIN1, False)
     return df.select([V.drop_null_tokens(quoted(c)).alias(c) for c in df.columns])
 
 
@@ -121,7 +121,12 @@ def side_by_side(read: Callable, paths: Iterable[str]) -> list:
         return list(pool.map(read, paths))
 
 
+def cells_of(line: Column) -> Column:
+    """Cells of a semicolon-delimited line as written; a quoted cell may hold semicolons."""
+    return F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(r';("(?:[^"]|"")*"|[^;]*)'), F.lit(1))
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file: reads the first line only."""
-    first = spark.read.text(path).first()
-    return [name.strip('" \ufeff') for name in first.value.split(";")] if first else []
+    first = spark.read.text(path).limit(1).select(cells_of(F.col("value")).alias("cells")).first()
+    return [name.strip('" \ufeff') for name in first.cells] if first else []

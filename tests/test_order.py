@@ -1,4 +1,4 @@
-"""Piecewise rank and median of large groups against brute force."""
+"""Ranks and medians, also of large groups, against brute force."""
 
 import random
 import statistics
@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from aferir.operators import join, order, stats
+from aferir.operators import lookup, order, stats
 
 
 def skewed_rows(n=3000):
@@ -33,31 +33,44 @@ def brute_ranks(data):
     return expected
 
 
-@pytest.mark.parametrize("hot_rows, pieces", [(10**9, 64), (100, 8), (0, 16)])
-def test_ordinal_rank(spark, hot_rows, pieces):
+RANKS = [order.ordinal_rank, order.ordinal_rank_by_range]
+
+
+@pytest.mark.parametrize("rank", RANKS)
+def test_ordinal_rank(spark, rank):
     data = skewed_rows()
     df = spark.createDataFrame(data, "g string, v double, t int, i int").repartition(6)
-    hot = join.hot_groups(df, ["g"], hot_rows)
-    ranked = order.ordinal_rank(df, ["g"], ["v", "t", "i"], "r", hot, pieces)
-    assert {r.i: r.r for r in ranked.collect()} == brute_ranks(data)
+    assert {r.i: r.r for r in rank(df, ["g"], ["v", "t", "i"], "r").collect()} == brute_ranks(data)
 
 
-def test_rank_of_one_repeated_score_is_split_by_the_tie_break(spark):
-    df = spark.range(20_000).selectExpr("1 AS g", "5.0D AS v", "id AS i")
-    pieces = order._in_pieces(df, ["g"], ["v", "i"], join.hot_groups(df, ["g"], 0), 16)
-    largest = pieces.groupBy("_piece0", "_piece1").count().agg(F.max("count")).first()[0]
-    assert largest < 3_000
-    ranked = order.ordinal_rank(df, ["g"], ["v", "i"], "r", join.hot_groups(df, ["g"], 0), 16)
+@pytest.mark.parametrize("rank", RANKS)
+def test_text_ties(spark, rank):
+    """Tie-breaks of any orderable type, also in one group that holds all rows."""
+    df = spark.range(20_000).selectExpr("1 AS g", "5.0D AS v", "id AS i", "lpad(string(id), 6, '0') AS t").repartition(5)
+    ranked = rank(df, ["g"], ["v", "t"], "r")
     assert ranked.where("r <> i + 1").isEmpty() and ranked.count() == 20_000
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 60, 0])
-def test_score_stats(spark, hot_rows):
+def test_plans_start_no_job(spark):
+    """Statistics, percentiles, lookups and the cascade are plans until an action runs them."""
+    sc = spark.sparkContext
+    df = spark.createDataFrame(skewed_rows(50), "g string, v double, t int, i int")
+    sc.setJobGroup("lazy", "plans only")
+    try:
+        scored = stats.score_stats(df, ["g", "t"], F.col("t") < 6, ["v"], meta=["i"], order=["i"])
+        stats.group_percentile(scored, ["t"], "v_media", ["g"])
+        lookup.lookup_join(df, df, ["g"], ["v"])
+        codes = df.selectExpr("t AS ano", "i AS co_ies", "t AS co_area", "i AS co_municipio", "bigint(i) AS co_curso")
+        lookup.enrich_codes(codes, codes, codes)
+        assert sc.statusTracker().getJobIdsForGroup("lazy") == []
+    finally:
+        sc.setJobGroup("other", "")
+
+
+def test_score_stats(spark):
     data = skewed_rows()
     df = spark.createDataFrame(data, "g string, v double, t int, i int").repartition(5)
-    got = stats.score_stats(
-        df, ["g"], F.col("t") < 6, ["v"], meta=["t"], order=["i"], hot_rows=hot_rows
-    )
+    got = stats.score_stats(df, ["g"], F.col("t") < 6, ["v"], meta=["t"], order=["i"])
     groups = {}
     for g, v, t, i in data:
         groups.setdefault(g, []).append((i, v, t))
@@ -80,12 +93,12 @@ def test_group_without_present_rows(spark):
     assert (got[2].qt_presentes, got[2].v_mediana, got[2].v_dp) == (1, 4.0, None)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0])
-def test_percentiles(spark, hot_rows):
+@pytest.mark.parametrize("by_range", [False, True])
+def test_percentiles(spark, by_range):
     data = [("a", 10.0, 1), ("a", 10.0, 2), ("a", 30.0, 3), ("a", None, 4), ("b", 7.0, 5), ("c", None, 6),
             (None, 1.0, 7), (None, 2.0, 8)]
     df = spark.createDataFrame(data, "g string, v double, i int")
-    got = stats.group_percentile(df, ["g"], "v", ["i"], hot_rows=hot_rows)
+    got = stats.group_percentile(df, ["g"], "v", ["i"], by_range=by_range)
     assert {r.i: r.percentil_grupo for r in got.collect()} == {
         1: 0.0, 2: 50.0, 3: 100.0, 4: None, 5: 50.0, 6: 50.0, 7: 0.0, 8: 100.0
     }
@@ -95,8 +108,7 @@ def test_percentiles(spark, hot_rows):
 @given(st.lists(st.tuples(st.integers(0, 2), st.floats(-50, 50).map(lambda x: round(x, 1))), min_size=1, max_size=60))
 def test_median_of_any_rows(spark, data):
     df = spark.createDataFrame(data, "k int, v double")
-    hot = join.hot_groups(df, ["k"], 0)
-    got = {r.k: r.m for r in order.group_median(df, ["k"], "v", "m", hot, 4).collect()}
+    got = {r.k: r.v_mediana for r in order.exact_medians(df, ["k"], ["v"]).collect()}
     groups = {}
     for k, v in data:
         groups.setdefault(k, []).append(v)

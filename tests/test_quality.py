@@ -79,7 +79,13 @@ def test_reconcile(spark):
     close = Q.reconcile(a, b, ["k"], "x", "y", 0.5, 1.0).first()
     assert close.n == 2 and close.ok and close.max_dif == pytest.approx(0.2)
     assert not Q.reconcile(a, b, ["k"], "x", "y", 0.1, 1.0).first().ok
-    assert Q.reconcile(a, b.where("k > 9"), ["k"], "x", "y", 0.1, 1.0).first().ok
+    assert Q.reconcile(a, b.where("k > 9"), ["k"], "x", "y", 0.1, 1.0).first().ok is None
+
+
+def test_errors_state_the_true_number(spark):
+    report = spark.range(250).selectExpr("id AS check", "false AS ok")
+    with pytest.raises(Q.ValidationError, match="250 failures"):
+        Q.enforce(report)
 
 
 def test_layer_totals(spark):

@@ -5,6 +5,8 @@ import pytest
 from bronze import write_text, write_workbook
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from aferir.schemas import sheets
 from aferir.sinks import refresh
 from aferir.sources import delimited, discovery, tables, workbook
@@ -122,7 +124,8 @@ def test_gold_write_is_sorted_and_readable(spark, tmp_path):
     keys = [r.k for r in spark.read.parquet(os.path.join(path, part)).collect()]
     assert keys == sorted(keys)
     assert [r.k for r in refresh.preview(df, ["k"], 3).collect()] == [0, 1, 2]
-    assert refresh.sort_rows(df, ["k"]).first().k == 0
+    refresh.write_gold(df.where("k < 5"), path, ["k"])  # replaces the table and leaves nothing beside it
+    assert tables.read_table(spark, path).count() == 5 and sorted(os.listdir(tmp_path)) == ["gold"]
 
 
 def test_layout_sizes():
@@ -136,3 +139,17 @@ def test_layout_sizes():
         assert (len(layout.headers), len(layout.columns)) == (headers, columns), name
     assert len(common.EXAM_YEARS) == 19 and 2020 not in common.EXAM_YEARS
     assert [len(layout.columns) for layout in (sheets.CPC, sheets.IDD, sheets.IGC)] == [40, 23, 17]
+
+
+def test_fallback_looks_at_the_values(spark, tmp_path):
+    path = tmp_path / "codes.csv"
+    path.write_bytes("CO_IES;NOME\n1;São\n".encode("latin-1"))
+    assert [r.NOME for r in delimited.read_with_fallback(spark, str(path)).collect()] == ["São"]
+    path.write_bytes("CO_IES;NOME\n1;São\n".encode())
+    assert [r.NOME for r in delimited.read_with_fallback(spark, str(path)).collect()] == ["São"]
+
+
+def test_cells_may_hold_the_separator(spark):
+    lines = spark.createDataFrame([('"a;b";;"c""d";e',), ("",), (";x",), (None,)], "v string")
+    got = [r.c for r in lines.select(delimited.cells_of(F.col("v")).alias("c")).collect()]
+    assert got == [['"a;b"', "", '"c""d"', "e"], [""], ["", "x"], None]

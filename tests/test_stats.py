@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from aferir.operators import lookup, stats
 
 
+GIVEN = {"q1": ["A", "B"], "q2": ["A", "C"]}
+
+
 def test_answer_profile_zero_and_null(spark):
     """Zero: respondents but not this answer. Null: no respondents, or an answer unseen in the year."""
     data = [
@@ -13,7 +16,7 @@ def test_answer_profile_zero_and_null(spark):
         (2011, "c1", "q1", "A"), (2011, "c1", "q2", "C"),
     ]
     df = spark.createDataFrame(data, "ano int, curso string, questao string, resposta string")
-    got = {(r.ano, r.curso): r for r in stats.answer_profile(df, "ano", ["curso"]).collect()}
+    got = {(r.ano, r.curso): r for r in stats.answer_profile(df, "ano", ["curso"], GIVEN).collect()}
     assert set(got) == {(2010, "c1"), (2010, "c2"), (2011, "c1")}
     one, two, later = got[2010, "c1"], got[2010, "c2"], got[2011, "c1"]
     assert (one.q1_respondentes, one.q1_A, one.q1_B) == (3, pytest.approx(2 / 3), pytest.approx(1 / 3))
@@ -22,10 +25,21 @@ def test_answer_profile_zero_and_null(spark):
     assert (later.q1_A, later.q1_B, later.q2_A, later.q2_C) == (1.0, None, None, 1.0)
 
 
-def test_answer_profile_refuses_unbounded_columns(spark):
-    df = spark.range(30).selectExpr("1 AS ano", "id AS u", "'q' AS questao", "string(id) AS resposta")
+def test_long_profile_has_no_bound(spark):
+    df = spark.range(9_000).selectExpr("1 AS ano", "id % 3 AS u", "'q' AS questao", "string(id) AS resposta")
+    got = stats.answer_shares(df, "ano", ["u"])
+    assert got.count() == 9_000 and got.where("respondentes <> 3000 OR abs(parte * 3000 - 1) > 1e-9").isEmpty()
+
+
+def test_answers_outside_the_list_count_as_respondents(spark):
+    df = spark.createDataFrame([(1, "u", "q", "A"), (1, "u", "q", "odd")], "ano int, u string, questao string, resposta string")
+    row = stats.answer_profile(df, "ano", ["u"], {"q": ["A", "B"]}).first()
+    assert (row.q_respondentes, row.q_A, row.q_B) == (2, 0.5, None)
+
+
+def test_columns_that_would_merge_are_refused():
     with pytest.raises(ValueError):
-        stats.answer_profile(df, "ano", ["u"], max_columns=20)
+        stats.profile_columns({"a": ["b_c"], "a_b": ["c"]})
 
 
 def test_summaries(spark):
@@ -40,7 +54,6 @@ def test_summaries(spark):
     assert [(r.ano, r.media_geral, r.total_presentes, r.cursos) for r in years] == [(2010, 50.0, 3, 1), (2012, 70.0, 5, 1)]
     spread = stats.value_range(df, ["nota", "ano"]).collect()
     assert [(r.coluna, r.minimo, r.maximo) for r in spread] == [("nota", 50.0, 70.0), ("ano", 2010.0, 2012.0)]
-    assert rows(stats.row_counts(df, ["ano"])) == [{"ano": 2010, "n": 2}, {"ano": 2012, "n": 1}]
 
 
 MICRO = [
@@ -52,8 +65,8 @@ MICRO = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1, 0])
-def test_cascade(spark, hot_rows):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_cascade(spark, salts):
     micro = spark.createDataFrame([(2015, *m) for m in MICRO], "ano int, co_ies int, co_area int, co_municipio int, co_curso bigint")
     direct = spark.createDataFrame([(2015, 1, 10, 5, 999), (2015, 3, 10, 5, 7), (2015, 3, 10, 5, 8)], micro.schema)
     base = spark.createDataFrame(
@@ -61,7 +74,7 @@ def test_cascade(spark, hot_rows):
          (2015, 4, 10, 9), (2016, 1, 10, 5), (2015, None, 10, 5)],
         "ano int, co_ies int, co_area int, co_municipio int",
     )
-    got = lookup.enrich_codes(base, micro, direct, hot_rows=hot_rows)
+    got = lookup.enrich_codes(base, micro, direct, salts=salts)
     found = {(r.ano, r.co_ies, r.co_municipio): r.co_curso for r in got.collect()}
     assert found == {
         (2015, 1, 5): 999, (2015, 1, 6): 100, (2015, 2, 6): 201, (2015, 2, None): None,
@@ -76,11 +89,11 @@ def test_cascade_keeps_known_codes_and_works_without_place(spark):
     assert {r.co_ies: r.co_curso for r in lookup.enrich_codes(base, micro).collect()} == {1: 1, 2: 8}
 
 
-@pytest.mark.parametrize("limits", [{}, {"lookup_rows": 0}, {"lookup_rows": 0, "hot_rows": 1}, {"lookup_rows": 0, "hot_rows": 0}])
-def test_lookup_join_never_multiplies(spark, limits):
+@pytest.mark.parametrize("salts", [1, 3, 8])
+def test_lookup_join_never_multiplies(spark, salts):
     facts = spark.createDataFrame([("1", 1), ("1", 2), ("2", 3), (None, 4)], "k string, v int")
     look = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", "b"), (None, "n")], "k string, name string")
-    got = lookup.lookup_join(facts, look, ["k"], ["name"], **limits)
+    got = lookup.lookup_join(facts, look, ["k"], ["name"], salts=salts)
     assert {r.v: r.name for r in got.collect()} == {1: "a", 2: "a", 3: None, 4: None}
 
 
@@ -97,3 +110,18 @@ def test_cascade_shuffles_the_micro_data_once(spark, tmp_path):
     got.collect()
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+def test_hot_key_is_spread(spark):
+    """All rows share one key; without broadcasts they still meet the lookup in several tasks."""
+    facts = spark.range(8_000).selectExpr("1 AS k", "id")
+    look = spark.range(1).selectExpr("1 AS k", "'x' AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = lookup.lookup_join(facts, look, ["k"], ["name"]).withColumn("p", F.spark_partition_id())
+        assert got.where("name = 'x'").count() == 8_000
+        assert got.groupBy("p").count().agg(F.max("count")).first()[0] <= 4_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
