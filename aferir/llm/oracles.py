@@ -1,3 +1,63 @@
 """The same results in SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from aferir.llm import quality_rules as rules
+
+GRID = ", ".join(f"('{rule}', {cutoff})" for rule, cutoffs in rules.CUTOFFS.items() for cutoff in cutoffs)
+TESTS = sum(map(len, rules.CUTOFFS.values()))
+RATES = " UNION ALL ".join(f"SELECT doc_id, stratum, '{rule}' AS rule, {rule} AS rate FROM rated" for rule in rules.CUTOFFS)
+LOG_TERM = (
+    "lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)"
+    f" + i * ln({rules.RISK}) + (n - i) * ln(1 - {rules.RISK})"
+)
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS ls FROM d),
+windows AS (
+  SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM w, unnest(range(1, len(ws) - 1)) AS t(i)),
+repeated AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n FROM repeated, (VALUES (0), (1), (2)) AS v(j) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^{rules.SYMBOLS}]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+         len(ls) AS n_lines, length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS n_upper
+  FROM w LEFT JOIN covered ON covered.doc_id = w.doc_id),
+rated AS (
+  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         coalesce(n_symbols / nullif(n_words, 0), 0) AS symbol_rate,
+         coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_rate,
+         coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_rate,
+         coalesce(n_upper / nullif(word_chars, 0), 0) AS upper_rate,
+         abs(coalesce(word_chars / nullif(n_words, 0), 0) - {rules.USUAL_WORD_LENGTH}) AS word_length_gap
+  FROM m),
+rates AS ({RATES}),
+good AS (
+  SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1)
+  ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {rules.SAMPLE}),
+holdout AS (
+  SELECT rates.* FROM rates JOIN good USING (doc_id) JOIN rated USING (doc_id) WHERE NOT base_failed),
+counts AS (
+  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE rate > cutoff) AS k
+  FROM holdout JOIN (VALUES {GRID}) AS g(rule, cutoff) USING (rule) GROUP BY ALL),
+tested AS (
+  SELECT *, CASE WHEN k >= n * {rules.RISK} THEN 1.0
+                 ELSE list_sum(list_transform(range(0, k + 1), lambda i: exp({LOG_TERM}))) END
+            <= {rules.LEVEL} / ((SELECT count(DISTINCT stratum) FROM counts) * {TESTS}) AS safe FROM counts),
+cuts AS (SELECT stratum, rule, min(cutoff) AS cut FROM tested WHERE safe GROUP BY ALL),
+bad AS (SELECT DISTINCT doc_id FROM rates JOIN cuts USING (stratum, rule) WHERE rate > cut)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept
+FROM rated
+"""
+
+ORACLES: dict[str, str] = {"op6_risk_rules": QUALITY}
