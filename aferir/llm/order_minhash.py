@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aferir.llm.common import Remembered, stored, whole_text
+from aferir.operators.join import join_unique
 from aferir.session import broadcast_if_small
 
 WORDS, SKETCHES, PER_SKETCH, AGREE = 5, 20, 2, 6
@@ -50,13 +51,13 @@ SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * STEP)
 
 
 class WordHashes(Remembered):
-    """Hashes of words, kept for the life of a worker."""
+    """Hashes of words, kept for the life of a worker; a hash is cheap, so only common words are worth it."""
 
     def make(self, word: str) -> int:
         return xxhash.xxh64_intdigest(word)
 
 
-_hashes = WordHashes()
+_hashes = WordHashes(100_000)
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -148,9 +149,12 @@ def anchors(a: np.ndarray, b: np.ndarray, most: int) -> tuple[np.ndarray, np.nda
     return left, right
 
 
-def shared_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Words in common, with repeats."""
-    left, right = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
+def counted(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(words, return_counts=True)
+
+
+def shared_words(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> int:
+    """Words in common, with repeats, of two counted texts."""
     _, i, j = np.intersect1d(left[0], right[0], assume_unique=True, return_indices=True)
     return int(np.minimum(left[1][i], right[1][j]).sum())
 
@@ -159,7 +163,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether 1 - edit distance / longer length is at least ``least``."""
     longer = max(len(a), len(b))
     most = int((1 - least) * longer + 1e-9)
-    if longer - min(len(a), len(b)) > most or longer - shared_words(a, b) > most:
+    if longer - min(len(a), len(b)) > most or longer - shared_words(counted(a), counted(b)) > most:
         return False
     if min(len(a), len(b)) > 1:
         # Aligning the stretches between anchors one by one costs at least the distance of the whole.
@@ -260,6 +264,7 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
         singles = np.stack([np.frombuffer(row[2], dtype="<u4") for row in rows])
         sizes = np.array([len(row[3]) // 4 for row in rows])
         read: dict[int, np.ndarray] = {}
+        counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for i in range(len(rows) - 1):
             agree = (singles[i + 1 :] == singles[i]).sum(axis=1) >= AGREE
             near = np.minimum(sizes[i], sizes[i + 1 :]) >= np.floor(SIMILARITY * np.maximum(sizes[i], sizes[i + 1 :]))
@@ -267,6 +272,10 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
                 for k in (i, j):
                     if k not in read:
                         read[k] = np.frombuffer(rows[k][3], dtype="<u4").astype(np.uint64)
+                        counts[k] = counted(read[k])
+                # Most pairs of a common passage end here, with words that were counted once.
+                if shared_words(counts[i], counts[j]) < SIMILARITY * max(sizes[i], sizes[j]) - 1e-6:
+                    continue
                 if similar(read[i], read[j]):
                     yield rows[i][1], rows[j][1]
 
@@ -284,7 +293,9 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
             yield pd.DataFrame(list(links(group)), columns=["node", "other"])
 
     rows = members.join(nodes.select("node", "singles"), "node").join(words, "node")
-    rows = rows.select("key", "node", "singles", "words").repartition("key").sortWithinPartitions("key", "node")
+    # A number of its own: groups are small in bytes but not in work, so adaptive execution must not merge them.
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("key", "node", "singles", "words").repartition(parts, "key").sortWithinPartitions("key", "node")
     return rows.mapInPandas(work, "node binary, other binary").distinct()
 
 
@@ -348,7 +359,8 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     labelled = nodes.select("node", "least_id", "copies").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     named = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    named = labelled.select("node", "label").join(named, "label")
+    # A class may hold a third of all nodes: they meet its one row in several tasks.
+    named = join_unique(labelled.select("node", "label"), named, ["label"], "inner")
     return every.select("doc_id", "text_hash", "node").join(named, "node").drop("node")
 
 
