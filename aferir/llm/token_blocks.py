@@ -32,6 +32,8 @@ from aferir.llm.common import Remembered, stored, whole_text
 
 END_ID = 1
 BLOCK_IDS = 1 << 18
+#: Signs that may close a word.
+CLOSING = tuple(".,;:!?")
 
 
 class Encoder(Remembered):
@@ -43,8 +45,21 @@ class Encoder(Remembered):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def make(self, word: str) -> bytes:
+        """Ids of a word, by way of its lower case and its part before a closing sign if it is plain.
+
+        The tokenizer lowers case and cuts between letters and signs itself; characters up to U+00FF
+        are the same in its normal form, and letters a to z are their own bytes to the model.
+        """
+        if max(word, default="") < "\u0100" and "<|" not in word:
+            if (low := word.lower()) != word:
+                return self[low]
+            if word[-1:] in CLOSING and word[-2:-1].isalnum():
+                return self[word[:-1]] + self[word[-1]]
+            if word.isascii() and word.isalpha():
+                return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> np.ndarray:

@@ -45,6 +45,14 @@ def test_files_hold_what_the_library_encodes(spark, monkeypatch):
         start += len(want)
 
 
+@pytest.mark.parametrize(
+    "word", ["The", "THE.", "end.", "end..", "x.y,", "it's,", "<|ENDOFTEXT|>", "<|endoftext|>.", "É.", "ÿ!", "a1.", "1,", "²;", "", ".", "..", "ªº", "ǅ.", "é."]
+)
+def test_words_are_encoded_as_by_the_library(word):
+    want = Tokenizer.from_file(PATH).encode(word, add_special_tokens=False).ids
+    assert token_blocks.encoder(PATH).ids(word).tolist() == [*want, 1]
+
+
 def test_ranks_follow_frequency(spark):
     docs = odd_documents(spark)
     blocks, ids = token_blocks.write_blocks(docs, PATH)
