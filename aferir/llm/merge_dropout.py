@@ -6,7 +6,8 @@ the dropout rate; a skipped candidate may come up again only when a neighbour ch
 word is drawn by hash from the document's key and the word's place, so one word is cut in several ways
 over a corpus, while every run with the same seed gives the same pieces.
 
-No piece spans the start of a word or a line feed, so words are segmented on their own and remembered.
+No piece spans the start of a word, a line feed or the end of a word before a sign (the pieces are
+checked for it), so words are segmented on their own and remembered.
 A blank is written as U+2581 with one in front of the text; U+2581 itself and characters that are no
 piece are written as bytes, so decoding is lossless for every text.
 
@@ -19,7 +20,8 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,17 +29,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aferir.llm.common import whole_text
+from aferir.llm.common import Remembered, whole_text
 
 SPACE = "▁"
-#: Words with the blanks before them; line feeds and runs of other blanks stand alone.
-CHUNK = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
-REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 64
+LETTER = re.compile(r"[^\W\d_]")
+REMEMBERED = 600_000
 DROPOUT, SEED, VARIANTS = 0.1, 17, 4
 #: Words up to this length use the simpler agenda.
 SHORT = 48
-NEVER = float("inf")
-STEP = 0x9E3779B1
+NEVER = 1 << 30
+#: Odd numbers that mix bits.
+STEP, PLACE, PIECE, SPREAD, MASK = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D, 0xFFFFFFFF
+
+
+def chunks(pieces: Iterable[str]) -> re.Pattern:
+    """Parts of a text that no piece can cross: blanks and signs with the word after them, or alone.
+
+    A text may be cut in front of a blank after anything else, around line feeds, and after a letter in
+    front of anything but a letter. Letters that some piece has in front of another character are not
+    cut from it.
+    """
+    pairs = {pair for piece in pieces for pair in zip(piece, piece[1:])}
+    if any(b == SPACE != a or "\n" in (a, b) for a, b in pairs):
+        raise ValueError("pieces of this model cross the starts of words or lines")
+    odd = "".join(sorted(re.escape(a) for a, b in pairs if b != SPACE and LETTER.match(a) and not LETTER.match(b)))
+    letter, other = rf"[^\W\d_{odd}]", rf"(?:[\d_{odd}]|[^\w{SPACE}\n])"
+    return re.compile(rf"{SPACE}*+{other}*+{letter}++|{SPACE}*+{other}++|{SPACE}++|\n++")
 
 
 class Pieces:
@@ -47,7 +64,7 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
-        self.cost: dict[str, float] = {}
+        scores: dict[str, float] = {}
         self.id: dict[str, int] = {}
         self.data: list[bytes] = []
         self.byte = [0] * 256
@@ -59,43 +76,46 @@ class Pieces:
             elif model.is_control(number) or model.is_unknown(number) or model.is_unused(number):
                 self.data.append(b"")
             else:
-                self.id[name], self.cost[name] = number, -model.get_score(number)
+                self.id[name], scores[name] = number, model.get_score(number)
                 self.data.append(name.replace(SPACE, " ").encode())
+        # The best score has rank 0; equal scores have one rank.
+        places = {score: place for place, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.rank = {name: places[score] for name, score in scores.items()}
+
+        self.chunk = chunks(self.rank)
 
     def spelled(self, symbol: str) -> list[int]:
-        """Ids of a symbol: its piece, or its bytes."""
-        number = self.id.get(symbol)
-        return [number] if number is not None else [self.byte[b] for b in symbol.encode("utf-8", "surrogatepass")]
+        """Ids of the bytes of a symbol."""
+        return [self.byte[b] for b in symbol.encode("utf-8", "surrogatepass")]
 
     def cut(self, word: str, dropout: float, key: int) -> list[str]:
-        """Symbols of a word after all merges that the agenda offers and the hash does not skip."""
+        """Symbols of a word after all merges that the agenda offers and the hash does not skip.
+
+        A merge is skipped when a mix of the word's hash, its place and the piece's rank is below the limit.
+        """
         limit = int(dropout * 2**32)
         base = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"), key) if limit else 0
         return self._short(word, limit, base) if len(word) <= SHORT else self._long(word, limit, base)
 
-    def _skips(self, limit: int, base: int, left: int, merged: str) -> bool:
-        """Whether the hash of word, place and piece falls below the dropout rate."""
-        mixed = (base ^ (left * 0x85EBCA6B) ^ (self.id[merged] * 0xC2B2AE35)) & 0xFFFFFFFF
-        mixed = ((mixed ^ (mixed >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-        return (mixed ^ (mixed >> 13)) * 0x297A2D39 & 0xFFFFFFFF < limit
-
     def _short(self, word: str, limit: int, base: int) -> list[str]:
         """The agenda as a list with a place for each pair of neighbours."""
-        cost = self.cost
+        rank = self.rank
         symbols, starts = list(word), list(range(len(word)))
-        agenda = [cost.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        agenda = [rank.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
         while agenda and (least := min(agenda)) < NEVER:
             at = agenda.index(least)
-            merged = symbols[at] + symbols[at + 1]
-            if limit and self._skips(limit, base, starts[at], merged):
-                agenda[at] = NEVER
-                continue
-            symbols[at : at + 2] = (merged,)
+            if limit:
+                mixed = (base ^ starts[at] * PLACE ^ least * PIECE) & MASK
+                if (mixed ^ mixed >> 15) * SPREAD & MASK < limit:
+                    agenda[at] = NEVER
+                    continue
+            merged = symbols[at] + symbols.pop(at + 1)
+            symbols[at] = merged
             del agenda[at], starts[at + 1]
             if at:
-                agenda[at - 1] = cost.get(symbols[at - 1] + merged, NEVER)
+                agenda[at - 1] = rank.get(symbols[at - 1] + merged, NEVER)
             if at < len(agenda):
-                agenda[at] = cost.get(merged + symbols[at + 1], NEVER)
+                agenda[at] = rank.get(merged + symbols[at + 1], NEVER)
         return symbols
 
     def _long(self, word: str, limit: int, base: int) -> list[str]:
@@ -103,21 +123,22 @@ class Pieces:
         symbols: list[str | None] = list(word)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda: list[tuple[float, int, str]] = []
+        agenda: list[tuple[int, int, str]] = []
 
         def offer(left: int) -> None:
             right = after[left]
-            if right < n and (cost := self.cost.get(symbols[left] + symbols[right])) is not None:
-                heapq.heappush(agenda, (cost, left, symbols[left] + symbols[right]))
+            if right < n and (rank := self.rank.get(symbols[left] + symbols[right])) is not None:
+                heapq.heappush(agenda, (rank, left, symbols[left] + symbols[right]))
 
         for place in range(n - 1):
             offer(place)
         while agenda:
-            _, left, merged = heapq.heappop(agenda)
+            rank, left, merged = heapq.heappop(agenda)
             right = after[left] if symbols[left] is not None else n
             if right >= n or symbols[left] + symbols[right] != merged:
                 continue  # one of the two has merged with another since
-            if limit and self._skips(limit, base, left, merged):
+            mixed = (base ^ left * PLACE ^ rank * PIECE) & MASK
+            if (mixed ^ mixed >> 15) * SPREAD & MASK < limit:
                 continue
             symbols[left], symbols[right] = merged, None
             after[left] = after[right]
@@ -144,12 +165,12 @@ class Segmenter(dict):
             return np.zeros(0, dtype="<u2")
         marked = text.split(SPACE)
         data = []
-        state = xxhash.xxh32_intdigest(repr(key), self.seed)
+        state, find = xxhash.xxh32_intdigest(repr(key), self.seed), self.pieces.chunk.findall
         for place, part in enumerate(marked):
             if place:
                 data.append(self.raw)
             # A blank goes in front of the text, and is dropped again by decoding.
-            words = CHUNK.findall((SPACE if place == 0 else "") + part.replace(" ", SPACE))
+            words = find((SPACE if place == 0 else "") + part.replace(" ", SPACE))
             if self.variants == 1:
                 data += map(self.memories[0].__getitem__, words)
                 continue
@@ -169,20 +190,23 @@ class Segmenter(dict):
         return b"".join([data[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
 
 
-class Memory(dict):
+class Memory(Remembered):
+    """Ids of the words of one variant."""
+
     def __init__(self, owner: Segmenter, variant: int) -> None:
-        super().__init__()
+        super().__init__(REMEMBERED // owner.variants)
         self.owner, self.key = owner, xxhash.xxh32_intdigest(str(variant), owner.seed)
 
-    def __missing__(self, word: str) -> bytes:
+    def make(self, word: str) -> bytes:
         pieces = self.owner.pieces
-        symbols = pieces.cut(word, self.owner.dropout, self.key)
-        found = np.array([i for symbol in symbols for i in pieces.spelled(symbol)], dtype="<u2").tobytes()
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED // self.owner.variants:
-                self.clear()
-            self[word] = found
-        return found
+        number, ids = pieces.id, []
+        for symbol in pieces.cut(word, self.owner.dropout, self.key):
+            found = number.get(symbol)
+            if found is None:
+                ids += pieces.spelled(symbol)
+            else:
+                ids.append(found)
+        return array("H", ids).tobytes()
 
 
 _segmenters: dict[tuple, Segmenter] = {}
