@@ -7,9 +7,9 @@ edit similarity. Texts that agree on one of twenty sketches, and on at least six
 single shingles, are candidates; banded alignment of the words must show a similarity of 0.8 or more.
 
 Copies (equal words) become one node first. In each bucket all nodes are compared with the bucket's
-smallest node; the ones that differ from it are compared among themselves, in groups of bounded size.
-Larger groups are split by further single shingles until they fit, so no group is cut off. Linked nodes
-form a class by passing on the smallest label.
+smallest node; then any two of a bucket that are not linked by that are compared, in groups of bounded
+size. Larger buckets are cut by length and joined block by block, so no pair of a bucket is left out.
+Linked nodes form a class by passing on the smallest label.
 
 Edge cases: texts without words are classes of equal texts; a null text is an empty one; a text below
 five words has one shingle of all its words; null and repeated doc ids keep a row each; a class is named
@@ -19,6 +19,7 @@ or kept by ``one_of_each``.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -258,26 +259,36 @@ def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
-    """Links among the members (key, node) of each key; a key has at most GROUP_ROWS members."""
+    """Links among the members (key, side, node, label) of each key; a key has at most GROUP_ROWS members.
+
+    Members of one label are linked already. Members of one side meet under another key; side -1 meets all.
+    """
 
     def links(rows: list) -> Iterator[tuple[bytes, bytes]]:
-        singles = np.stack([np.frombuffer(row[2], dtype="<u4") for row in rows])
-        sizes = np.array([len(row[3]) // 4 for row in rows])
+        singles = np.stack([np.frombuffer(row[4], dtype="<u4") for row in rows])
+        sizes = np.array([len(row[5]) // 4 for row in rows])
+        sides = np.array([row[1] for row in rows])
+        numbers = {label: number for number, label in enumerate(dict.fromkeys(row[3] for row in rows))}
+        labels = np.array([numbers[row[3]] for row in rows])
         read: dict[int, np.ndarray] = {}
         counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for i in range(len(rows) - 1):
             agree = (singles[i + 1 :] == singles[i]).sum(axis=1) >= AGREE
             near = np.minimum(sizes[i], sizes[i + 1 :]) >= np.floor(SIMILARITY * np.maximum(sizes[i], sizes[i + 1 :]))
-            for j in (np.flatnonzero(agree & near) + i + 1).tolist():
+            meet = (labels[i + 1 :] != labels[i]) & ((sides[i] == -1) | (sides[i + 1 :] != sides[i]))
+            for j in (np.flatnonzero(agree & near & meet) + i + 1).tolist():
+                if labels[i] == labels[j]:
+                    continue  # linked by way of others since
                 for k in (i, j):
                     if k not in read:
-                        read[k] = np.frombuffer(rows[k][3], dtype="<u4").astype(np.uint64)
+                        read[k] = np.frombuffer(rows[k][5], dtype="<u4").astype(np.uint64)
                         counts[k] = counted(read[k])
                 # Most pairs of a common passage end here, with words that were counted once.
                 if shared_words(counts[i], counts[j]) < SIMILARITY * max(sizes[i], sizes[j]) - 1e-6:
                     continue
                 if similar(read[i], read[j]):
-                    yield rows[i][1], rows[j][1]
+                    labels[labels == labels[j]] = labels[i]
+                    yield rows[i][2], rows[j][2]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group: list = []
@@ -295,36 +306,63 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
     rows = members.join(nodes.select("node", "singles"), "node").join(words, "node")
     # A number of its own: groups are small in bytes but not in work, so adaptive execution must not merge them.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("key", "node", "singles", "words").repartition(parts, "key").sortWithinPartitions("key", "node")
-    return rows.mapInPandas(work, "node binary, other binary").distinct()
+    rows = rows.select("key", "side", "node", "label", "singles", "words").repartition(parts, "key")
+    return rows.sortWithinPartitions("key", "node").mapInPandas(work, "node binary, other binary").distinct()
+
+
+def unlinked(members: DataFrame) -> DataFrame:
+    """The members (key, node, label) of keys with more than one label, with the key's size and its first label."""
+    first = F.min_by("label", "node").alias("main")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), first, F.min("label").alias("low"), F.max("label").alias("high"))
+    return members.join(sizes.where("low <> high").drop("low", "high"), "key")
+
+
+def in_blocks(large: DataFrame, nodes: DataFrame, group_rows: int) -> DataFrame:
+    """Members of keys of any size under keys of at most about ``group_rows``, where all that may be alike still meet.
+
+    Lengths of similar texts lie in one band or in two next to each other. What is larger still is cut into
+    blocks, and each pair of blocks is a key; members of the first label need not meet among themselves.
+    """
+    sized = large.select("key", "node", "label").join(nodes.select("node", "n_words"), "node")
+    band = F.floor(F.log("n_words") / -math.log(SIMILARITY))
+    banded = sized.select("node", "label", "key", F.explode(F.array(band, band - 1)).alias("band"))
+    banded = stored(unlinked(banded.select(F.xxhash64("key", "band").alias("key"), "node", "label")))
+    small = banded.where(F.col("n") <= group_rows).select("key", F.lit(-1).alias("side"), "node", "label")
+    large = banded.where(F.col("n") > group_rows)
+    part = max(1, group_rows // 2)
+    is_main = F.col("label") == F.col("main")
+    blocks = [F.ceil(F.sum(test.cast("int")) / part).alias(name) for test, name in ((is_main, "b_main"), (~is_main, "b_rest"))]
+    dealt = large.join(large.groupBy("key").agg(*blocks), "key")
+    place = F.xxhash64("node", F.lit(1))
+    block = F.when(is_main, F.pmod(place, "b_main")).otherwise(F.col("b_main") + F.pmod(place, "b_rest"))
+    least = F.when(is_main, F.col("b_main")).otherwise(F.lit(0).cast("long"))
+    partners = F.explode(F.sequence(least, F.col("b_main") + F.col("b_rest") - 1))
+    dealt = dealt.withColumn("block", block).withColumn("partner", partners)
+    pair = F.xxhash64("key", F.least("block", "partner"), F.greatest("block", "partner"))
+    side = F.when(F.col("block") == F.col("partner"), -1).otherwise(F.col("block")).cast("int")
+    return small.unionByName(dealt.select(pair.alias("key"), side.alias("side"), "node", "label"))
 
 
 def links(docs: DataFrame, nodes: DataFrame, text: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """Links (node, other) between nodes that share a bucket and align."""
     wide = nodes.where("n_words > 0")
-    members = wide.select(F.explode("sketches").alias("key"), "node")
-    found, level = None, 0
-    while True:
-        # The bucket's smallest node stands for it; partial sums keep a hot bucket out of one task.
-        heads = members.groupBy("key").agg(F.min("node").alias("other"), F.count("*").alias("n")).where("n > 1")
-        members = stored(members.join(heads.drop("n"), "key").where("node <> other"))
-        pairs = stored(screened(members.select("node", "other").distinct(), wide))
-        # Members that differ from their head stay for a comparison among themselves.
-        involved = pairs.select("node").union(pairs.select("other")).union(members.select("node")).distinct()
-        words = stored(sequences(docs, wide.join(involved, "node", "left_semi"), text))
-        close = stored(verified(pairs, wide, words))
-        found = close if found is None else found.unionByName(close)
-        rest = members.join(close, ["node", "other"], "left_anti").select("key", "node")
-        sizes = rest.groupBy("key").count().where("count > 1")
-        rest = stored(rest.join(sizes, "key"))
-        found = found.unionByName(stored(linked_within(rest.where(F.col("count") <= group_rows), wide, words)))
-        large = rest.where(F.col("count") > group_rows)
-        if level >= SKETCHES or large.isEmpty():
-            return found
-        # Split what is too large by one more single shingle; smaller places were split before.
-        part = F.expr("explode(transform(sequence(level, 19), i -> xxhash64(key, i, substring(singles, 4 * i + 1, 4))))")
-        members = large.join(wide.select("node", "singles"), "node").withColumn("level", F.lit(level)).select(part.alias("key"), "node")
-        level += 1
+    members = wide.select(F.explode("sketches").alias("key"), "node").distinct()
+    # The bucket's smallest node stands for it; partial sums keep a hot bucket out of one task.
+    heads = members.groupBy("key").agg(F.min("node").alias("other"), F.count("*").alias("n")).where("n > 1")
+    members = stored(members.join(heads.drop("n"), "key"))
+    pairs = stored(screened(members.where("node <> other").select("node", "other").distinct(), wide))
+    words = stored(sequences(docs, wide.join(members.select("node").distinct(), "node", "left_semi"), text))
+    close = stored(verified(pairs, wide, words))
+    # All members of a bucket that are not linked by now meet, the ones that are like their head included.
+    labels = components(close)
+    labelled = members.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rest = stored(unlinked(labelled))
+    small = rest.where(F.col("n") <= group_rows).select("key", F.lit(-1).alias("side"), "node", "label")
+    found = close.unionByName(stored(linked_within(small, wide, words)))
+    large = rest.where(F.col("n") > group_rows)
+    if large.isEmpty():
+        return found
+    return found.unionByName(stored(linked_within(stored(in_blocks(large, wide, group_rows)), wide, words)))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -101,3 +101,19 @@ def test_odd_rows(spark):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 2, 5]
     assert sum(r["doc_id"] is None for r in kept.collect()) == 2
     assert plain(omh.classes(no_documents(spark))) == []
+
+
+@pytest.mark.parametrize("group_rows", [omh.GROUP_ROWS, 3])
+def test_a_source_and_copies_of_other_places_are_one_class(spark, monkeypatch, group_rows):
+    """Each copy is near the source and not near the other copies; whichever node heads a bucket, none is lost."""
+    monkeypatch.setattr(omh.links, "__defaults__", ("text", group_rows))
+    texts = []
+    for run in range(12):
+        words = prose(1000 + run, 100).split()
+        texts.append((run * 100, " ".join(words)))
+        for copy in range(6):
+            block = prose(2000 + run * 10 + copy, 15).split()
+            texts.append((run * 100 + copy + 1, " ".join(words[: copy * 15] + block + words[copy * 15 + 15 :])))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = omh.classes(docs).select("class_id").distinct().count()
+    assert got == 12
