@@ -3,8 +3,8 @@
 A text is its words in lower case. Its shingles of five words are labelled with their occurrence, so a
 repeated shingle counts each time. A sketch takes, under one hash order, the two smallest labelled
 shingles and keeps them in the order of the text; texts agree on it the more often, the higher their
-edit similarity. Texts that agree on one of twenty sketches, and on at least six of the twenty smallest
-single shingles, are candidates; banded alignment of the words must show a similarity of 0.8 or more.
+edit similarity. Texts that agree on one of 48 sketches are candidates; banded alignment of the words must
+show a similarity of 0.8 or more. Before that, only bounds that no similar pair fails turn candidates away.
 
 Copies (equal words) become one node first. In each bucket all nodes are compared with the bucket's
 smallest node; then any two of a bucket that are not linked by that are compared, in groups of bounded
@@ -33,7 +33,7 @@ from aferir.llm.common import Remembered, stored, whole_text
 from aferir.operators.join import join_unique
 from aferir.session import broadcast_if_small
 
-WORDS, SKETCHES, PER_SKETCH, AGREE = 5, 20, 2, 6
+WORDS, SKETCHES, PER_SKETCH = 5, 48, 2
 SIMILARITY = 0.8
 GROUP_ROWS = 2048
 #: Ids that may be broadcast to pick texts; 24 bytes each.
@@ -90,17 +90,23 @@ def shingles(words: np.ndarray) -> np.ndarray:
 def sketch(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order sketches and the smallest single shingles (32 bits each) of a text."""
     labelled = shingles(words)
-    values = mix(labelled[None, :] ^ SEEDS[:, None])
     size = min(PER_SKETCH, len(labelled))
-    if size < len(labelled):
-        places = np.argpartition(values, size - 1, axis=1)[:, :size]
-    else:
-        places = np.tile(np.arange(size), (SKETCHES, 1))
+    least, places = np.empty(SKETCHES, dtype=np.uint64), np.empty((SKETCHES, size), dtype=np.int64)
+    # Some orders at a time, so that a long text needs little memory.
+    step = max(1, 500_000 // len(labelled))
+    for begin in range(0, SKETCHES, step):
+        part = slice(begin, begin + step)
+        values = mix(labelled[None, :] ^ SEEDS[part, None])
+        every, least[part] = np.arange(len(values)), values.min(axis=1)
+        # A few searches for the smallest value are faster than a partition.
+        for column in range(size):
+            places[part, column] = values.argmin(axis=1)
+            values[every, places[part, column]] = np.uint64(0xFFFFFFFFFFFFFFFF)
     places.sort(axis=1)
     ordered = SEEDS.copy()
     for column in range(size):
         ordered = mix(ordered * BASE + labelled[places[:, column]])
-    return ordered, (values.min(axis=1) >> np.uint64(32)).astype("<u4")
+    return ordered, (least >> np.uint64(32)).astype("<u4")
 
 
 # --- alignment ---------------------------------------------------------------------------------
@@ -160,6 +166,28 @@ def shared_words(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, n
     return int(np.minimum(left[1][i], right[1][j]).sum())
 
 
+def profiles(texts: list[np.ndarray]) -> np.ndarray:
+    """Per text how many of its three-word shingles fall in each of a number of bins."""
+    sizes = [len(words) for words in texts]
+    bits = min(12, max(8, (2 * sum(sizes) // len(sizes)).bit_length()))
+    found = np.zeros((len(texts), 1 << bits), dtype=np.uint16 if max(sizes) < 1 << 16 else np.uint32)
+    for row, words in zip(found, texts, strict=True):
+        if len(words) > 2:
+            grams = mix((words[:-2] * BASE + words[1:-1]) * BASE + words[2:]) >> np.uint64(64 - bits)
+            row[:] = np.bincount(grams.astype(np.int64), minlength=1 << bits)
+    return found
+
+
+def may_be_similar(profile: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bound that no similar text fails: each edit takes three shingles at most, and bins share no fewer than texts."""
+    longer = np.maximum(sizes, size)
+    most = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+    good = longer - np.minimum(sizes, size) <= most
+    at = np.flatnonzero(good)
+    good[at] = np.minimum(others[at], profile).sum(axis=1, dtype=np.int64) >= longer[at] - 2 - 3 * most[at]
+    return good
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether 1 - edit distance / longer length is at least ``least``."""
     longer = max(len(a), len(b))
@@ -189,19 +217,19 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 # --- buckets -----------------------------------------------------------------------------------
 
-SKETCHED = "doc_id long, text_hash long, node binary, n_words int, sketches array<long>, singles binary"
+SKETCHED = "doc_id long, text_hash long, node binary, n_words int, sketches array<long>"
 
 
 def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Node, sketches and single shingles of every document."""
+    """Node and sketches of every document."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc, text_hash, body in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
                 words = word_hashes(body)
-                ordered, singles = sketch(words) if len(words) else (np.zeros(0, dtype=np.uint64), np.zeros(0, "<u4"))
-                rows.append((doc, text_hash, fingerprint(words, body), len(words), ordered.view(np.int64), singles.tobytes()))
+                ordered = sketch(words)[0] if len(words) else np.zeros(0, dtype=np.uint64)
+                rows.append((doc, text_hash, fingerprint(words, body), len(words), ordered.view(np.int64)))
             frame = pd.DataFrame(rows, columns=[field.split()[0] for field in SKETCHED.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
 
@@ -230,12 +258,6 @@ def sequences(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFra
     return texts.select(work("text").alias("s")).select("s.*").dropDuplicates(["node"])
 
 
-def agreement(left: str, right: str):
-    """How many single shingles two binary columns have in common, place by place."""
-    part = lambda column, i: F.substring(column, 4 * i + 1, 4)
-    return sum((part(left, i) == part(right, i)).cast("int") for i in range(SKETCHES))
-
-
 def verified(pairs: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (node, other) whose words align."""
 
@@ -250,12 +272,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs that agree on enough single shingles and are near enough in length."""
-    one = nodes.select("node", F.col("singles").alias("s1"), F.col("n_words").alias("n1"))
-    two = nodes.select(F.col("node").alias("other"), F.col("singles").alias("s2"), F.col("n_words").alias("n2"))
+    """Pairs that are near enough in length."""
+    one = nodes.select("node", F.col("n_words").alias("n1"))
+    two = nodes.select(F.col("node").alias("other"), F.col("n_words").alias("n2"))
     near = F.least("n1", "n2") >= F.floor(SIMILARITY * F.greatest("n1", "n2"))
     found = pairs.join(one, "node").join(two, "other")
-    return found.where(near & (agreement("s1", "s2") >= AGREE)).select("node", "other")
+    return found.where(near).select("node", "other")
 
 
 def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
@@ -265,28 +287,25 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
     """
 
     def links(rows: list) -> Iterator[tuple[bytes, bytes]]:
-        singles = np.stack([np.frombuffer(row[4], dtype="<u4") for row in rows])
-        sizes = np.array([len(row[5]) // 4 for row in rows])
+        texts = [np.frombuffer(row[4], dtype="<u4").astype(np.uint64) for row in rows]
+        sizes, held = np.array([len(words) for words in texts]), profiles(texts)
         sides = np.array([row[1] for row in rows])
         numbers = {label: number for number, label in enumerate(dict.fromkeys(row[3] for row in rows))}
         labels = np.array([numbers[row[3]] for row in rows])
-        read: dict[int, np.ndarray] = {}
         counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for i in range(len(rows) - 1):
-            agree = (singles[i + 1 :] == singles[i]).sum(axis=1) >= AGREE
-            near = np.minimum(sizes[i], sizes[i + 1 :]) >= np.floor(SIMILARITY * np.maximum(sizes[i], sizes[i + 1 :]))
             meet = (labels[i + 1 :] != labels[i]) & ((sides[i] == -1) | (sides[i + 1 :] != sides[i]))
-            for j in (np.flatnonzero(agree & near & meet) + i + 1).tolist():
+            others = np.flatnonzero(meet) + i + 1
+            for j in others[may_be_similar(held[i], sizes[i], held[others], sizes[others])].tolist():
                 if labels[i] == labels[j]:
                     continue  # linked by way of others since
                 for k in (i, j):
-                    if k not in read:
-                        read[k] = np.frombuffer(rows[k][5], dtype="<u4").astype(np.uint64)
-                        counts[k] = counted(read[k])
+                    if k not in counts:
+                        counts[k] = counted(texts[k])
                 # Most pairs of a common passage end here, with words that were counted once.
                 if shared_words(counts[i], counts[j]) < SIMILARITY * max(sizes[i], sizes[j]) - 1e-6:
                     continue
-                if similar(read[i], read[j]):
+                if similar(texts[i], texts[j]):
                     labels[labels == labels[j]] = labels[i]
                     yield rows[i][2], rows[j][2]
 
@@ -303,10 +322,10 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
         if group:
             yield pd.DataFrame(list(links(group)), columns=["node", "other"])
 
-    rows = members.join(nodes.select("node", "singles"), "node").join(words, "node")
+    rows = members.join(words, "node")
     # A number of its own: groups are small in bytes but not in work, so adaptive execution must not merge them.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("key", "side", "node", "label", "singles", "words").repartition(parts, "key")
+    rows = rows.select("key", "side", "node", "label", "words").repartition(parts, "key")
     return rows.sortWithinPartitions("key", "node").mapInPandas(work, "node binary, other binary").distinct()
 
 
@@ -390,9 +409,9 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
     nodes = every.groupBy("node").agg(
         first, F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"),
-        F.first("sketches").alias("sketches"), F.first("singles").alias("singles"),
+        F.first("sketches").alias("sketches"),
     )
-    nodes = stored(nodes.select("node", "first.*", "least_id", "copies", "n_words", "sketches", "singles"))
+    nodes = stored(nodes.select("node", "first.*", "least_id", "copies", "n_words", "sketches"))
     labels = components(links(docs, nodes, text))
     labelled = nodes.select("node", "least_id", "copies").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))

@@ -117,3 +117,28 @@ def test_a_source_and_copies_of_other_places_are_one_class(spark, monkeypatch, g
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = omh.classes(docs).select("class_id").distinct().count()
     assert got == 12
+
+
+def test_spread_edits_at_the_threshold_are_found(spark):
+    """A source and copies with 13 of 100 words changed anywhere: every copy is near the source only."""
+    rng = random.Random(11)
+    texts = []
+    for run in range(20):
+        words = prose(3000 + run, 100).split()
+        texts.append((run * 100, " ".join(words)))
+        for copy in range(5):
+            places = set(rng.sample(range(100), 13))
+            texts.append((run * 100 + copy + 1, " ".join("zz%d" % copy if i in places else w for i, w in enumerate(words))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = omh.classes(docs).collect()
+    assert sum(r["class_id"] == r["doc_id"] // 100 * 100 for r in got) >= 0.97 * len(texts)
+
+
+def test_the_bound_turns_no_similar_pair_away():
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [rng.randrange(30) for _ in range(rng.randint(1, 60))]
+        b = [w if isinstance(w, int) else 99 for w in changed(a, rng.randint(0, 12), rng)]
+        x, y = np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)
+        held, sizes = omh.profiles([x, y]), np.array([len(x), len(y)])
+        assert not omh.similar(x, y) or omh.may_be_similar(held[0], sizes[0], held[1:], sizes[1:])[0]
