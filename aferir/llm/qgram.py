@@ -17,6 +17,7 @@ items of their own; an empty benchmark matches nothing; other columns are ignore
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ from aferir.llm.pii import lower
 
 Q = 8
 SEGMENT, STRIDE = 96, 48
+#: Shorter segments besides, so close that any excerpt of 71 characters of a longer item holds one.
+PART, STEP = 64, 8
 #: One edit in so many characters is allowed.
 CHARS_PER_EDIT = 12
 BLOCK_CHARS = 20_000_000
@@ -67,8 +70,8 @@ def segments(m: int) -> list[tuple[int, int]]:
     """Start and end of the segments of an item; the last one ends with the item."""
     if m <= SEGMENT:
         return [(0, m)]
-    starts = [*range(0, m - SEGMENT, STRIDE), m - SEGMENT]
-    return [(start, start + SEGMENT) for start in starts]
+    sizes = (SEGMENT, STRIDE), (PART, STEP)
+    return [(start, start + size) for size, step in sizes for start in [*range(0, m - size, step), m - size]]
 
 
 class Index:
@@ -108,7 +111,9 @@ class Index:
         """Item, start, end and edits of each segment found in a text."""
         text = lower(source)
         found = [
-            (item, at, at + len(part), 0) for item, part in self.tiny if (at := text.find(part)) >= 0
+            (item, match.start(1), match.end(1), 0)
+            for item, part in self.tiny
+            for match in re.finditer(f"(?=({re.escape(part)}))", text)
         ]
         if not self.texts or len(text) < Q:
             return found
@@ -198,8 +203,20 @@ def benchmark_blocks(benchmark: DataFrame, text: str = "text") -> Iterator[Index
 REGIONS = "doc_id long, item_id long, start long, end long, n_segments long, edits long"
 
 
+def clusters(parts: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int]]:
+    """Start, end, number of segments and sum of their edits of each stretch of overlapping segments."""
+    found: list[list[int]] = []
+    for (start, end), edits in sorted(parts.items()):
+        if found and start < found[-1][1]:
+            last = found[-1]
+            last[1], last[2], last[3] = max(last[1], end), last[2] + 1, last[3] + edits
+        else:
+            found.append([start, end, 1, edits])
+    return [tuple(stretch) for stretch in found]
+
+
 def leaked_regions(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document and item found in it: the region in code points and what was verified."""
+    """One row per document, item and stretch of overlapping segments found: its place in code points and what was verified."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(text).alias("text"))
     found = spark.createDataFrame([], REGIONS)
@@ -215,8 +232,7 @@ def leaked_regions(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
                         # Two bands may show one region.
                         regions[item][start, end] = edits
                     for item, parts in regions.items():
-                        start, end = min(s for s, _ in parts), max(e for _, e in parts)
-                        rows.append((doc, item, start, end, len(parts), sum(parts.values())))
+                        rows += [(doc, item, *cluster) for cluster in clusters(parts)]
                 frame = pd.DataFrame(rows, columns=[field.split()[0] for field in REGIONS.split(", ")])
                 yield frame.astype("Int64")
 

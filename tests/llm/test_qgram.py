@@ -84,3 +84,18 @@ def test_odd_rows(spark, monkeypatch):
     assert kept.columns == docs.columns and plain(kept) == plain(docs.where("doc_id is null or doc_id not in (100, 102)"))
     assert plain(qgram.leaked_regions(no_documents(spark), bench)) == []
     assert plain(qgram.without_leaks(docs, bench.limit(0))) == plain(docs)
+
+
+def test_every_excerpt_of_71_characters_is_found():
+    item = prose(14, 70)
+    index = qgram.Index([(1, item)])
+    for start in range(0, len(item) - 70, 9):
+        assert index.matches(f"{prose(15, 20)} {item[start : start + 71]} {prose(16, 20)}"), start
+
+
+def test_excerpts_apart_are_regions_of_their_own(spark):
+    item, between = prose(17, 70), prose(18, 100)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(5, f"{item[:100]} {between} {item[-100:]}")], "doc_id long, text string")
+    rows = sorted(qgram.leaked_regions(docs, bench).collect(), key=lambda r: r["start"])
+    assert len(rows) == 2 and rows[0]["end"] <= 110 and rows[1]["start"] >= 90 + len(between)
