@@ -34,6 +34,8 @@ from aferir.llm.common import stored
 from aferir.session import broadcast_if_small
 
 SUPPORT, FEWEST_PAGES = 0.5, 3
+#: An element with this share of the text is a wrapper, whatever its class or id.
+WRAPPER = 0.8
 
 # A comment, an element whose content is no text, a tag, or a declaration.
 TOKEN = re.compile(
@@ -233,16 +235,32 @@ def boilerplate(tag: str, words: frozenset[str], inside: bool) -> bool:
     return tag in OUTSIDE_TAGS or bool(words & (INSIDE_NAMES | OUTSIDE_NAMES))
 
 
-def is_boilerplate(path: str) -> bool:
-    """Whether an element of the path holds no article text."""
+def is_boilerplate(path: str, wrappers: frozenset[str] = frozenset(), own: bool = True) -> bool:
+    """Whether an element of the path holds no article text; without ``own`` the last one's names do not count."""
     stack = tuple(path.split("/"))
     for place, part in enumerate(stack):
         tag, _, label = part.partition(".")
-        if boilerplate(tag, frozenset(re.split(r"[^a-z0-9]+", label)) - {""}, inner(stack, place)):
+        words = frozenset(re.split(r"[^a-z0-9]+", label)) - {""}
+        if "/".join(stack[: place + 1]) in wrappers or not own and place == len(stack) - 1:
+            words = frozenset()
+        if boilerplate(tag, words, inner(stack, place)):
             return True
     return False
 
 
+def wrapping(chars: dict[str, int]) -> frozenset[str]:
+    """The paths with nearly all of the text below them, and those of html and body; ``chars`` is by path."""
+    below: dict[str, int] = defaultdict(int)
+    chars = {path: n for path, n in chars.items() if "\t" not in path}
+    for path, n in chars.items():
+        parts = path.split("/")
+        for place in range(1, len(parts) + 1):
+            below["/".join(parts[:place])] += n
+    whole = sum(chars.values())
+    roots = {path for path in below if path.split("/")[-1].split(".")[0] in ("html", "body")}
+    return frozenset(roots | {path for path, n in below.items() if n >= WRAPPER * whole})
+
+
 def template(tokens: list) -> tuple[str, list[str]]:
     """The path of the article's slot and the fixed texts of a host, from its classes."""
     classes: dict[tuple, list] = defaultdict(list)
@@ -261,7 +279,15 @@ def template(tokens: list) -> tuple[str, list[str]]:
                 members[token["token"]] = group
     fixed = sorted(token for token in members if "\t" in token)
     paths = [token for token in members if "\t" not in token]
-    main = [path for path in paths if path.split("/")[-1].split(".")[0] in MAIN and not is_boilerplate(path)]
+    # Names on what wraps nearly everything say nothing; those of an article itself only if there is another.
+    held: dict[str, int] = defaultdict(int)
+    for token in tokens:
+        if "\t" not in token["token"]:
+            held[token["token"]] += token["chars"]
+    wrappers = wrapping(held)
+    every = [path for path in paths if path.split("/")[-1].split(".")[0] in MAIN]
+    main = [path for path in every if not is_boilerplate(path, wrappers)]
+    main = main or [path for path in every if not is_boilerplate(path, wrappers, own=False)]
     if main:
         return min(main, key=lambda path: (path.count("/"), path)), fixed
     # Slot text: what is below a path without the fixed texts.
@@ -271,9 +297,9 @@ def template(tokens: list) -> tuple[str, list[str]]:
         if not text or token["token"] in members:
             chars[path] += -token["chars"] if text else token["chars"]
     below = {
-        path: sum(n for other, n in chars.items() if (other == path or other.startswith(path + "/")) and not is_boilerplate(other))
+        path: sum(n for other, n in chars.items() if (other == path or other.startswith(path + "/")) and not is_boilerplate(other, wrappers))
         for path in paths
-        if not is_boilerplate(path) and members[path][0]["support"] == members[path][0]["total"]
+        if not is_boilerplate(path, wrappers) and members[path][0]["support"] == members[path][0]["total"]
     }
     whole = max(below.values(), default=0)
     # The deepest element, once on a page, that still has nearly all of the slot text.
@@ -287,10 +313,11 @@ class Extract(Walk):
     #: Whether the whole page counts as the slot.
     whole = False
 
-    def __init__(self, source: str, slot: str, fixed: frozenset[str], page_marks: bool = False) -> None:
-        self.slot, self.fixed, self.page_marks = slot, fixed, page_marks
+    def __init__(
+        self, source: str, slot: str, fixed: frozenset[str], page_marks: bool = False, wrappers: frozenset[str] = frozenset()
+    ) -> None:
+        self.slot, self.fixed, self.page_marks, self.wrappers = slot, fixed, page_marks, wrappers
         self.parts: list[str] = []
-        self.reached = False
         self.inside: list[bool] = []  # per open element: part of the slot
         self.dropped: list[bool] = []  # per open element: boilerplate
         super().__init__(source)
@@ -300,10 +327,16 @@ class Extract(Walk):
         in_main = inside = bool(self.inside and self.inside[-1])
         if not inside:
             inside = tag in MAIN if self.page_marks else bool(self.slot) and self.path == self.slot
-            self.reached |= inside
         if self.whole:
             inside, in_main = True, any(name in MAIN for name, _, _ in self.stack[:-1])
-        self.dropped.append(bool(self.dropped and self.dropped[-1]) or boilerplate(tag, words, in_main))
+        dropped = bool(self.dropped and self.dropped[-1])
+        if self.slot and not in_main:
+            dropped = False  # the slot and what it is in were judged with the template
+        elif not dropped:
+            # On the page's own marks the article's names do not count, nor those of what wraps nearly everything.
+            plain_tag = bool(words) and (self.path in self.wrappers or self.page_marks and inside and not in_main)
+            dropped = boilerplate(tag, frozenset() if plain_tag else words, in_main)
+        self.dropped.append(dropped)
         self.inside.append(inside)
 
     def closed(self) -> None:
@@ -341,15 +374,16 @@ class Body(Extract):
 
 
 def main_text(source: str | None, slot: str = "", fixed: frozenset[str] = frozenset()) -> str:
-    """The article of a page: the template's slot, else the page's own article, else what is no boilerplate."""
+    """The article of a page: the template's slot, else the page's own article, else what is no boilerplate; the first with text."""
     if not source:
         return ""
     if slot:
-        page = Extract(source, slot, fixed)
-        if page.reached:
-            return page.joined
-    page = Extract(source, "", fixed, page_marks=True)
-    return page.joined if page.reached else Body(source, "", fixed).joined
+        found = Extract(source, slot, fixed).joined
+        if found:
+            return found
+    wrappers = wrapping(Tokens(source).chars)
+    found = Extract(source, "", fixed, page_marks=True, wrappers=wrappers).joined
+    return found or Body(source, "", fixed, wrappers=wrappers).joined
 
 
 TEXTS = "page_id long, url string, text string, n_chars long"

@@ -74,3 +74,26 @@ def test_every_page_of_the_table_against_a_pattern(spark):
         inner = re.search(r"<article>(.*?)</article>", row["html"], re.DOTALL)[1]
         parts = re.split(r"</?(?:p|h1)>|<br>", inner)
         assert got[row["page_id"]] == " ".join(" ".join(html.unescape(re.sub("</?b>", "", p)) for p in parts).split())
+
+
+def test_names_on_wrappers_and_on_the_article_drop_nothing():
+    from aferir.llm import template as tpl
+
+    words = " ".join(f"word{i}" for i in range(60))
+    pages = (
+        f'<html><body class="single with-sidebar"><nav>menu</nav><article><p>{words}</p></article></body></html>',
+        f'<html><body><nav>menu</nav><div id="header-fixed-wrap"><article class="post comment-open"><p>{words}</p></article></div></body></html>',
+        f'<html><body class="menu-open"><div id="header-fixed-wrap"><div class="text"><p>{words}</p></div></div></body></html>',
+    )
+    for page in pages:
+        assert tpl.main_text(page) == words
+    # The template of a host finds the slot, and an empty slot falls back to the page.
+    path = "html/body.single with-sidebar/article.post comment-open"
+    marked = f'<html><body class="single with-sidebar"><article class="post comment-open"><p>{words}</p></article></body></html>'
+    assert tpl.main_text(marked, path) == words
+    assert tpl.main_text(f"<html><body><main></main><div><p>{words}</p></div></body></html>", "html/body/main") == words
+    tokens = [
+        {"token": token, "support": 4, "total": 4, "vector": 1, "place": place, "chars": chars}
+        for place, (token, chars) in enumerate((("html", 0), ("html/body.single with-sidebar", 0), (path, 0), (f"{path}/p", 400)))
+    ]
+    assert tpl.template(tokens)[0] == path
