@@ -1,10 +1,10 @@
 """Subword segmentation with seeded merge-dropout, and decoding that gives the text back.
 
 A merge-type model (pieces with scores, byte fallback) is applied by an agenda of candidate merges, best
-score first. Each candidate is skipped when a hash of seed, variant, word, place and pieces falls below
-the dropout rate; a skipped candidate may come up again only when a neighbour changes. The variant of a
-word is drawn by hash from the document's key and the word's place, so one word is cut in several ways
-over a corpus, while every run with the same seed gives the same pieces.
+score first. Each candidate is skipped with the dropout rate, by a hash of seed, document and the word's
+place; a skipped candidate may come up again only when a neighbour changes. Every occurrence of a word is
+drawn on its own: the number of candidates up to the next skipped one is geometric, so what is remembered
+is a word's pieces for given skips, while every run with the same seed gives the same pieces.
 
 No piece spans the start of a word, a line feed or the end of a word before a sign (the pieces are
 checked for it), so words are segmented on their own and remembered.
@@ -18,6 +18,7 @@ columns are ignored; lone surrogates cannot occur in a table of UTF-8 text.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from array import array
@@ -34,12 +35,14 @@ from aferir.llm.common import Remembered, whole_text
 SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 REMEMBERED = 600_000
-DROPOUT, SEED, VARIANTS = 0.1, 17, 4
+#: No variants: each occurrence of a word is drawn on its own. A number is the most ways to cut a word.
+DROPOUT, SEED, VARIANTS = 0.1, 17, 0
 #: Words up to this length use the simpler agenda.
 SHORT = 48
 NEVER = 1 << 30
 #: Odd numbers that mix bits.
 STEP, PLACE, PIECE, SPREAD, MASK = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D, 0xFFFFFFFF
+STEP_64, MIX_64, MASK_64 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFFFFFFFFFFFFFFFF
 
 
 def chunks(pieces: Iterable[str]) -> re.Pattern:
@@ -118,6 +121,38 @@ class Pieces:
                 agenda[at] = rank.get(merged + symbols[at + 1], NEVER)
         return symbols
 
+    def skipping(self, word: str, skips: tuple[int, ...]) -> tuple[list[str], int]:
+        """Symbols of a word without the candidates at the given turns, and the number of turns."""
+        rank = self.rank
+        symbols = list(word)
+        agenda = [rank.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        turn = 0
+        while agenda and (least := min(agenda)) < NEVER:
+            at = agenda.index(least)
+            turn += 1
+            if turn - 1 in skips:
+                agenda[at] = NEVER
+                continue
+            merged = symbols[at] + symbols.pop(at + 1)
+            symbols[at] = merged
+            del agenda[at]
+            if at:
+                agenda[at - 1] = rank.get(symbols[at - 1] + merged, NEVER)
+            if at < len(agenda):
+                agenda[at] = rank.get(merged + symbols[at + 1], NEVER)
+        return symbols, turn
+
+    def numbers(self, symbols: list[str]) -> bytes:
+        """Ids of symbols as bytes."""
+        ids = []
+        for symbol in symbols:
+            found = self.id.get(symbol)
+            if found is None:
+                ids += self.spelled(symbol)
+            else:
+                ids.append(found)
+        return array("H", ids).tobytes()
+
     def _long(self, word: str, limit: int, base: int) -> list[str]:
         """The same with a heap, for words of any length."""
         symbols: list[str | None] = list(word)
@@ -158,6 +193,8 @@ class Segmenter(dict):
         self.pieces, self.dropout, self.seed, self.variants = Pieces(path), dropout, seed, variants
         # One memory per variant, so that a word is the only key to look up.
         self.memories = [Memory(self, variant) for variant in range(variants)]
+        self.whole, self.skipped = Skipped(self.pieces, REMEMBERED // 2), Skipped(self.pieces, REMEMBERED // 2)
+        self.scale = math.log1p(-dropout) if 0 < dropout < 1 else 0.0
 
     def ids(self, text: str, key: object) -> np.ndarray:
         """Ids of a whole text; ``key`` (a document's id) chooses the variants."""
@@ -171,6 +208,9 @@ class Segmenter(dict):
                 data.append(self.raw)
             # A blank goes in front of the text, and is dropped again by decoding.
             words = find((SPACE if place == 0 else "") + part.replace(" ", SPACE))
+            if not self.variants:
+                data += self.drawn(words, f"{place} {key!r}")
+                continue
             if self.variants == 1:
                 data += map(self.memories[0].__getitem__, words)
                 continue
@@ -180,6 +220,33 @@ class Segmenter(dict):
             data += [self.memories[pick][word] for pick, word in zip(picks.tolist(), words, strict=True)]
         return np.frombuffer(b"".join(data), dtype="<u2")
 
+    def gap(self, uniform: float) -> int:
+        """Candidates taken before the next skipped one."""
+        return int(math.log(uniform) / self.scale) if self.scale else 0
+
+    def drawn(self, words: list[str], key: str) -> Iterator[bytes]:
+        """Ids of each word, with skips of its own."""
+        state = xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), self.seed)
+        mixed = (np.arange(1, len(words) + 1, dtype=np.uint64) * np.uint64(STEP_64)) ^ np.uint64(state)
+        for _ in range(2):
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(MIX_64)
+        mixed ^= mixed >> np.uint64(32)
+        uniform = ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        gaps = (np.log(uniform) / self.scale if self.scale else np.zeros(len(words))).astype(np.int64)
+        for word, gap, own in zip(words, gaps.tolist(), mixed.tolist(), strict=True):
+            if len(word) > SHORT:
+                yield self.pieces.numbers(self.pieces.cut(word, self.dropout, own & MASK))
+                continue
+            ids, turns = self.whole[word, ()]
+            skips: tuple[int, ...] = ()
+            while gap < turns:
+                skips += (gap,)
+                ids, turns = self.skipped[word, skips]
+                own = (own * MIX_64 + STEP_64) & MASK_64
+                own ^= own >> 32
+                gap += 1 + self.gap(((own * MIX_64 & MASK_64) >> 11) * 2.0**-53 + 2.0**-54)
+            yield ids
+
     @property
     def raw(self) -> bytes:
         """The bytes of U+2581, which must not be read as a blank."""
@@ -190,6 +257,18 @@ class Segmenter(dict):
         return b"".join([data[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
 
 
+class Skipped(Remembered):
+    """Ids and turns of (word, skips)."""
+
+    def __init__(self, pieces: Pieces, size: int) -> None:
+        super().__init__(size)
+        self.pieces = pieces
+
+    def make(self, word: tuple[str, tuple[int, ...]]) -> tuple[bytes, int]:
+        symbols, turns = self.pieces.skipping(*word)
+        return self.pieces.numbers(symbols), turns
+
+
 class Memory(Remembered):
     """Ids of the words of one variant."""
 
@@ -199,14 +278,7 @@ class Memory(Remembered):
 
     def make(self, word: str) -> bytes:
         pieces = self.owner.pieces
-        number, ids = pieces.id, []
-        for symbol in pieces.cut(word, self.owner.dropout, self.key):
-            found = number.get(symbol)
-            if found is None:
-                ids += pieces.spelled(symbol)
-            else:
-                ids.append(found)
-        return array("H", ids).tobytes()
+        return pieces.numbers(pieces.cut(word, self.owner.dropout, self.key))
 
 
 _segmenters: dict[tuple, Segmenter] = {}
@@ -222,12 +294,15 @@ def segmenter(path: str, dropout: float = DROPOUT, seed: int = SEED, variants: i
 def encode_texts(
     docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, text: str = "text"
 ) -> DataFrame:
-    """doc_id and piece ids of every document."""
+    """doc_id and piece ids of every document; they are decoded and compared with the text."""
 
     @F.pandas_udf("array<int>")
     def encode(keys: pd.Series, texts: pd.Series) -> pd.Series:
         segment = segmenter(path, dropout, seed, variants)
-        return pd.Series([segment.ids(t, k).astype(np.int32) for k, t in zip(keys, texts, strict=True)])
+        found = [segment.ids(t, k) for k, t in zip(keys, texts, strict=True)]
+        if any((segment.text(ids) if len(ids) else "") != t for ids, t in zip(found, texts, strict=True)):
+            raise ValueError("pieces do not decode to their text")
+        return pd.Series([ids.astype(np.int32) for ids in found])
 
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return docs.select("doc_id", encode(key, whole_text(text)).alias("pieces"))

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 import xxhash
@@ -58,3 +60,20 @@ def test_odd_rows(spark):
     decoded = md.decode_pieces(md.encode_texts(docs, PATH), PATH)
     assert plain(decoded) == plain(docs.selectExpr("doc_id", "coalesce(text, '')"))
     assert plain(md.segmentation_report(no_documents(spark), PATH)) == []
+
+
+def test_every_occurrence_is_drawn_on_its_own():
+    segment = md.segmenter(PATH)
+    word = "▁international"
+    assert segment.pieces.skipping(word, ())[0] == segment.pieces._short(word, 0, 0)
+    found = [bytes(ids) for ids in segment.drawn([word] * 20_000, "doc")]
+    whole = segment.whole[word, ()][0]
+    assert len(set(found)) > 4
+    # Several ways lead to one piece; each candidate skipped by a coin of its own gives the same share.
+    rng = random.Random(3)
+    coins = [tuple(t for t in range(100) if rng.random() < 0.1) for _ in range(20_000)]
+    expected = sum(segment.pieces.numbers(segment.pieces.skipping(word, skips)[0]) == whole for skips in coins) / 20_000
+    assert abs(found.count(whole) / len(found) - expected) < 0.02
+    one = next(w for w in ("▁of", "▁in", "▁to", "▁a") if segment.pieces.skipping(w, ())[1] == 1)
+    share = sum(bytes(ids) != segment.whole[one, ()][0] for ids in segment.drawn([one] * 20_000, "doc")) / 20_000
+    assert 0.09 < share < 0.11
