@@ -14,8 +14,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as dictionaries, in a stable order."""
-    return sorted((r.asDict() for r in df.collect()), key=lambda d: str(sorted(d.items())))

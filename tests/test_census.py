@@ -3,7 +3,7 @@ import time
 
 import pytest
 from bronze import write_text
-from conftest import rows
+from core_helpers import rows
 
 from aferir.operators.quality import ValidationError
 from aferir.plans import census

@@ -1,6 +1,6 @@
 import pytest
 from bronze import write_text
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from aferir.operators import quality

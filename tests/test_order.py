@@ -4,7 +4,7 @@ import random
 import statistics
 
 import pytest
-from conftest import rows  # noqa: F401
+from core_helpers import rows  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 """Every gate with one passing and one failing input."""
 
 import pytest
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from aferir.operators import quality as Q

@@ -3,7 +3,7 @@ import os
 
 import pytest
 from bronze import write_text, write_workbook
-from conftest import rows
+from core_helpers import rows
 
 from pyspark.sql import functions as F
 
