@@ -17,6 +17,7 @@ from aferir.llm import (
     pitman_yor,
     qgram,
     quality_rules,
+    runs,
     template,
     token_blocks,
 )
@@ -93,3 +94,20 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("doc_id")
     path = F.concat_ws("/", "source", "lang", F.floor(number / 10_000), F.floor(number / 100), number)
     return licences.licence_report(read(spark, sf_dir, "documents").withColumn("path", path))
+
+
+@query
+def op11_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, some of which get a periodic tail first."""
+    found = runs.word_runs(runs.planted_tails(read(spark, sf_dir, "documents"))).withColumn("best", runs.longest_run())
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
