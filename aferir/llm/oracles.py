@@ -60,4 +60,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM rated
 """
 
-ORACLES: dict[str, str] = {"op6_risk_rules": QUALITY}
+# Five hexadecimal digits are twenty bits, which are four signs of base32.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+FIVE_DIGITS = "CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)"
+SIGNS = " || ".join(f"substr('{BASE32}', CAST(({FIVE_DIGITS} >> {shift}) & 31 AS BIGINT) + 1, 1)" for shift in (15, 10, 5, 0))
+
+ARCHIVES = f"""
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: {SIGNS}), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLES: dict[str, str] = {"op6_risk_rules": QUALITY, "op12_warc_zstd": ARCHIVES}

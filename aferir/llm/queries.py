@@ -20,6 +20,7 @@ from aferir.llm import (
     runs,
     template,
     token_blocks,
+    warc,
 )
 from aferir.llm.common import read
 
@@ -111,3 +112,11 @@ def op11_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives in the shared folder, and read back from them."""
+    folder = warc.scratch_folder(spark)
+    warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    return warc.page_report(warc.read_archives(warc.archive_files(spark, folder), payloads=False))
