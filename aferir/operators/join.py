@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Parts that the rows of one key are spread over.
@@ -19,6 +19,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """Columns whose values a hash can take; those that hold maps cannot be hashed."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()] or [F.lit(0)]
+
+
 def join_unique(
     facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
@@ -28,7 +33,10 @@ def join_unique(
     key is never one task. The salt also drops the partitioning that a grouped lookup brings along:
     both sides are then shuffled for this join, and adaptive execution can split a part that is still
     too large, or broadcast a lookup that turns out small.
+
+    The salt is a hash of the row's values, never of its place: a task that runs again after a lost
+    executor sends every row to the same part. Equal rows share a part; adaptive execution splits it.
     """
-    dealt = facts.withColumn("_sal", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    dealt = facts.withColumn("_sal", F.pmod(F.xxhash64(*_hashable(facts)), F.lit(salts)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_sal")
     return dealt.join(lookup.select("*", every), [*keys, "_sal"], how).drop("_sal")
