@@ -76,4 +76,48 @@ SELECT page_id, payload_bytes,
 FROM firsts
 """
 
-ORACLES: dict[str, str] = {"op6_risk_rules": QUALITY, "op12_warc_zstd": ARCHIVES}
+# CRC-32 of a decimal number, bit by bit.
+CODES = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+BITS = "list_reduce([xor(crc, code), 1, 2, 3, 4, 5, 6, 7, 8], lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+CRC32 = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {CODES}), lambda crc, code: {BITS}), 4294967295)"
+
+TRIE = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations),
+c AS (SELECT conv_id, {CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+whole AS (
+  SELECT c.conv_id, 0 AS own, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, 1 AS own, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+turns AS (
+  SELECT conv_id, role, text, CAST(row_number() OVER w AS BIGINT) AS depth,
+         md5(CAST(list({{'r': role, 't': text}}) OVER (w ROWS UNBOUNDED PRECEDING) AS VARCHAR)) AS node
+  FROM whole WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+path AS (
+  SELECT *, lag(node, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS last,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM turns
+  UNION ALL
+  SELECT conv_id, '', '', 0, '', NULL, conv_id NOT IN (SELECT conv_id FROM turns), 0 FROM c),
+nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, CAST(count(*) AS BIGINT) AS n_convs,
+         (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM path GROUP BY node, depth),
+children AS (SELECT parent AS node, CAST(count(*) AS BIGINT) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT DISTINCT up.node, down.node AS inner_node
+  FROM path AS up JOIN path AS down ON up.conv_id = down.conv_id AND up.depth <= down.depth),
+sums AS (
+  SELECT below.node, CAST(count(*) FILTER (children.node IS NULL) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM below JOIN nodes ON nodes.node = inner_node LEFT JOIN children ON children.node = inner_node GROUP BY below.node)
+SELECT nodes.conv_id, nodes.depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums ON sums.node = nodes.node LEFT JOIN children ON children.node = nodes.node
+LEFT JOIN nodes AS up ON up.node = nodes.parent
+"""
+
+ORACLES: dict[str, str] = {"op6_risk_rules": QUALITY, "op12_warc_zstd": ARCHIVES, "op13_prefix_trie": TRIE}

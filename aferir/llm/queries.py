@@ -15,6 +15,7 @@ from aferir.llm import (
     order_minhash,
     pii,
     pitman_yor,
+    prefix_trie,
     qgram,
     quality_rules,
     runs,
@@ -120,3 +121,10 @@ def op12_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.scratch_folder(spark)
     warc.write_archives(read(spark, sf_dir, "pages"), folder)
     return warc.page_report(warc.read_archives(warc.archive_files(spark, folder), payloads=False))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, some of which begin with turns of another."""
+    turns, convs = prefix_trie.conversations(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, convs)).drop("entered")
