@@ -64,7 +64,8 @@ def carried(rows: DataFrame, group: list[str], sums: dict[str, Column]) -> DataF
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """conv, role, text and ``pos``: the place of each turn in its conversation, from 0."""
+    """conv, ``pos`` (the place of each turn in its conversation, from 0), ``said`` (md5 of role and text) and
+    the words of the text. The texts themselves go no further."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv"),
         F.col("turn").cast("long").alias("turn"),
@@ -77,7 +78,10 @@ def numbered(turns: DataFrame) -> DataFrame:
     ahead = carried(rows, ["conv"], {"more": F.count("*")}).withColumnsRenamed({"conv": "_conv", "part": "_part"})
     rows = rows.withColumn("pos", (F.row_number().over(here) - 1).cast("long"))
     rows = rows.join(ahead, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")), "left")
-    return rows.select("conv", "role", "text", (F.col("pos") + F.coalesce("more", F.lit(0))).alias("pos"))
+    said = F.md5(F.concat_ws("|", F.length("role"), F.col("role"), F.col("text")).cast("binary"))
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    place = F.col("pos") + F.coalesce("more", F.lit(0))
+    return rows.select("conv", place.alias("pos"), said.alias("said"), words.alias("words"))
 
 
 def _short_hash(value: Column, at: int) -> Column:
@@ -86,10 +90,9 @@ def _short_hash(value: Column, at: int) -> Column:
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """A row for each turn (conv, pos, role, text) with the node it reaches (a, b), the node before (pa, pb)."""
-    tagged = F.md5(F.concat_ws("|", "pos", F.length("role"), F.col("role"), F.col("text")).cast("binary"))
-    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    rows = turns.select("conv", "pos", tagged.alias("h"), words.alias("words"))
+    """A row for each turn (conv, pos, said, words) with the node it reaches (a, b), the node before (pa, pb)."""
+    tagged = F.md5(F.concat_ws("|", "pos", "said").cast("binary"))
+    rows = turns.select("conv", "pos", tagged.alias("h"), "words")
     rows = rows.select("conv", "pos", "words", _short_hash(F.col("h"), 1).alias("ta"), _short_hash(F.col("h"), 16).alias("tb"))
     rows = dealt(rows, ["conv", "pos"])
     here = Window.partitionBy("conv", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
@@ -135,7 +138,7 @@ def member_lists(ends: DataFrame) -> DataFrame:
 
 
 def trie_nodes(turns: DataFrame, convs: DataFrame) -> DataFrame:
-    """All nodes of the trie of ``turns`` (conv, pos, role, text); ``convs`` (conv, n: number of its turns)
+    """All nodes of the trie of ``turns`` (conv, pos, said, words); ``convs`` (conv, n: number of its turns)
     has every member, those without turns included.
 
     Columns: a, b, pa, pb (null for the root), conv_id, depth, n_convs, words, ends_sha256.
@@ -306,7 +309,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, rest: int | None = None) ->
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
     ends_sha256, and entered: the position of its enter arc in the tour.
 
-    ``turns``: conv, pos, role, text; ``convs``: conv and n, the number of its turns.
+    ``turns``: conv, pos, said, words; ``convs``: conv and n, the number of its turns.
     """
     nodes = stored(trie_nodes(turns, convs))
     one = F.lit(1).cast("long")
@@ -344,10 +347,10 @@ def rebuilt(turns: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     plan = stored(plan.withColumn("own", F.greatest(F.col("n") - F.col("h"), F.lit(0).cast("long"))))
     donors = turns.where("conv % 20 = 0 AND pos < 3").withColumnRenamed("conv", "source")
     # A source serves at most twenty conversations from either side of zero, with three turns each.
-    first = plan.select("conv", "source", "taken").join(donors, "source").where("pos < taken").select("conv", "pos", "role", "text")
+    first = plan.select("conv", "source", "taken").join(donors, "source").where("pos < taken").select("conv", "pos", "said", "words")
     # The shift of a conversation's own turns follows from its number and its source's length.
     own = turns.withColumn("h", h).where("pos >= h")
     shift = plan.where("taken < h").select("conv", (F.col("h") - F.col("taken")).alias("less"))
     own = join_unique(own, shift, ["conv"])
-    own = own.select("conv", (F.col("pos") - F.coalesce("less", F.lit(0).cast("long"))).alias("pos"), "role", "text")
+    own = own.select("conv", (F.col("pos") - F.coalesce("less", F.lit(0).cast("long"))).alias("pos"), "said", "words")
     return first.unionByName(own), plan.select("conv", (F.col("taken") + F.col("own")).alias("n"))
