@@ -23,7 +23,7 @@ from aferir.llm import (
     token_blocks,
     warc,
 )
-from aferir.llm.common import read
+from aferir.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -120,7 +120,7 @@ def op12_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives in the shared folder, and read back from them."""
     folder = warc.scratch_folder(spark)
     warc.write_archives(read(spark, sf_dir, "pages"), folder)
-    return warc.page_report(warc.read_archives(warc.archive_files(spark, folder), payloads=False))
+    return warc.page_report(stored(warc.read_archives(warc.archive_files(spark, folder), payloads=False)))
 
 
 @query
