@@ -22,8 +22,9 @@ from aferir.plans.build import (
 from aferir.schemas import enade
 from aferir.schemas.common import EXAM_YEARS, YEARS_WITHOUT_EXAM
 from aferir.session import materialise
-from aferir.sources.delimited import POSITION, cells_of, read_header, read_years_mapped, side_by_side
+from aferir.sources.delimited import LATIN1, POSITION, read_header, read_years_mapped, side_by_side
 from aferir.sources.discovery import find_files, one_per_year
+from aferir.sources.records import cells_of, read_records, unquoted
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 
 DATASET = "enade-microdados"
@@ -74,7 +75,7 @@ def build_students(
     arq1, arq3 = enade.COURSE_FILE, enade.STUDENT_FILE
     courses, in_courses = read_years_mapped(spark, paths[1], arq1.headers, arq1.columns)
     students, in_students = read_years_mapped(
-        spark, paths[3], arq3.headers, arq3.columns, position=True
+        spark, paths[3], arq3.headers, arq3.columns, position=True, quoted_breaks=True
     )
     # Gates and write share one computation.
     rows = materialise(student_rows(students, courses))
@@ -140,22 +141,21 @@ def questionnaire_rows(
         f"{SOURCE_YEAR} int, _arq int, questao string, _curso int, _resposta int",
     )
     name = r"(?i)microdados(\d{4})_arq(\d+)\.txt"
-    path = F.col("_metadata.file_path")
-    lines = spark.read.text([p[5] for p in places]).select(
-        F.regexp_extract(path, name, 1).try_cast("int").alias(SOURCE_YEAR),
-        F.regexp_extract(path, name, 2).try_cast("int").alias("_arq"),
-        cells_of(F.col("value")).alias("_cells"),
+    records = read_records(spark, [p[5] for p in places]).where("bloco > 0 OR linha > 0")
+    lines = records.select(
+        F.regexp_extract("fonte", name, 1).try_cast("int").alias(SOURCE_YEAR),
+        F.regexp_extract("fonte", name, 2).try_cast("int").alias("_arq"),
+        cells_of(F.decode("registro", LATIN1)).alias("_cells"),
     )
 
     def cell(at: str):
-        return V.drop_null_tokens(V.strip_quotes(F.get("_cells", F.col(at))))
+        return V.drop_null_tokens(V.strip_quotes(unquoted(F.get("_cells", F.col(at)))))
 
     # At most 26 questions times the exam years.
     placed = lines.join(F.broadcast(positions), [SOURCE_YEAR, "_arq"])
-    rows = placed.select(
+    return placed.select(
         SOURCE_YEAR, cell("_curso").alias("co_curso"), "questao", cell("_resposta").alias("resposta")
     )
-    return rows.where(F.coalesce(F.col("co_curso") != "CO_CURSO", F.lit(True)))
 
 
 def course_institutions(spark: SparkSession, files: dict[tuple[int, int], str]) -> DataFrame:

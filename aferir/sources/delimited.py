@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators.reshape import cast_lenient, diagonal_union, quoted, select_mapped
+from aferir.sources.records import cells_of, read_records, unquoted
 from aferir.sources.tables import SOURCE_YEAR
 
 LATIN1 = "ISO-8859-1"
@@ -63,13 +64,17 @@ def read_years_mapped(
     headers: Mapping[str, str],
     columns: Sequence[str],
     position: bool = False,
+    quoted_breaks: bool = False,
 ) -> tuple[DataFrame, dict[int, set[str]]]:
     """One file per year as text columns of a layout, stacked, and the columns each year publishes.
 
     Each file is read with its own header and projected once: mapped columns that exist (the first
     filled one when several feed a target), nulls for the others, and the source year. With 20 years
-    and 60 columns this stays one short plan per file.
+    and 60 columns this stays one short plan per file. ``quoted_breaks`` reads records whose quoted
+    cells hold line breaks, still in splits; then all files are one plan.
     """
+    if quoted_breaks:
+        return _read_years_of_records(spark, paths, headers, columns, position)
     frames, published = [], {}
     opened = side_by_side(lambda path: _read(spark, path, LATIN1, False), paths.values())
     for year, df in zip(paths, opened):
@@ -88,6 +93,43 @@ def read_years_mapped(
     return diagonal_union(frames), published
 
 
+def _read_years_of_records(
+    spark: SparkSession, paths: Mapping[int, str], headers: Mapping[str, str], columns: Sequence[str], position: bool
+) -> tuple[DataFrame, dict[int, set[str]]]:
+    """All files in one plan: a small table says which cells of a file feed each column."""
+    found = dict(zip(paths, side_by_side(lambda path: read_header(spark, path), paths.values())))
+    feeds = {
+        year: {c: [header.index(h) for h, t in headers.items() if t == c and h in header] for c in columns}
+        for year, header in found.items()
+    }
+    published = {year: {c for c, cells in at.items() if cells} for year, at in feeds.items()}
+    choices = {c: max([1, *(len(at[c]) for at in feeds.values())]) for c in columns}
+    flat = lambda at: [cell for c in columns for cell in (at[c] + [-1] * choices[c])[: choices[c]]]
+    names = spark.createDataFrame(
+        [(path, year, flat(feeds[year])) for year, path in paths.items()], f"_caminho string, {SOURCE_YEAR} int, _celulas array<int>"
+    )
+    # One row per file. Spark's own reader says how it spells the path of each file.
+    spelled = spark.read.format("binaryFile").load(list(paths.values())).select("path")
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    names = names.join(spelled, bare(F.col("_caminho")) == bare(F.col("path"))).select(
+        bare(F.col("path")).alias("_arquivo"), SOURCE_YEAR, "_celulas"
+    )
+    rows = read_records(spark, list(paths.values()))
+    rows = rows.withColumn("_arquivo", bare(F.url_decode(F.replace("fonte", F.lit("+"), F.lit("%2B")))))
+    rows = rows.join(F.broadcast(names), "_arquivo").where("bloco > 0 OR linha > 0")
+    # Cells are cleaned as they are cut, so the columns stay short expressions.
+    cleaned = F.transform(cells_of(F.decode("registro", LATIN1)), lambda c: V.drop_null_tokens(unquoted(c)))
+    rows = rows.withColumn("_valores", cleaned)
+    texts, at = [], 0
+    for c in columns:
+        options = [F.get("_valores", F.get("_celulas", F.lit(at + i))) for i in range(choices[c])]
+        texts.append((F.coalesce(*options) if len(options) > 1 else options[0]).alias(c))
+        at += choices[c]
+    if position:
+        texts += [F.col("bloco").alias("_bloco"), F.col("linha").alias("_linha")]
+    return rows.select(*texts, SOURCE_YEAR), published
+
+
 def read_with_fallback(spark: SparkSession, path: str) -> DataFrame:
     """Read as UTF-8 when header and values decode, else as Latin-1."""
     valid = F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))
@@ -121,11 +163,6 @@ def side_by_side(read: Callable, paths: Iterable[str]) -> list:
         return list(pool.map(read, paths))
 
 
-def cells_of(line: Column) -> Column:
-    """Cells of a semicolon-delimited line as written; a quoted cell may hold semicolons."""
-    return F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(r';("(?:[^"]|"")*"|[^;]*)'), F.lit(1))
-
-
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file: reads the first line only."""
     first = spark.read.text(path).limit(1).select(cells_of(F.col("value")).alias("cells")).first()

@@ -1,0 +1,132 @@
+"""Records with quoted line breaks, read in many splits, against Python's csv."""
+
+import csv
+import io
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from aferir.sources import delimited, records
+
+
+def cells(spark, paths, encoding="ISO-8859-1"):
+    rows = records.read_records(spark, [str(p) for p in paths])
+    text = F.decode("registro", encoding)
+    cell = F.transform(records.cells_of(text), records.unquoted)
+    return rows.select("fonte", cell.alias("c")).orderBy("fonte", "bloco", "linha")
+
+
+def by_csv(text):
+    return [row for row in csv.reader(io.StringIO(text, newline=""), delimiter=";") if row]
+
+
+def written(rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, delimiter=";", lineterminator=end).writerows(rows)
+    return out.getvalue()
+
+
+@pytest.fixture
+def small_splits(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+    yield use
+    for key, value in kept.items():
+        spark.conf.set(key, value)
+
+
+def random_rows(seed, n, texts):
+    rng = random.Random(seed)
+    return [[str(i), rng.choice(texts), rng.choice(["", "x", "São Paulo", 'dito "alto"'])] for i in range(n)]
+
+
+TEXTS = ["plain", "two\nlines", "a;b", "\n\n", 'q"\n"', "three\nshort\nlines", "x" * 40, "win\r\nbreak"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_file_in_eight_splits(spark, tmp_path, small_splits, end):
+    text = written(random_rows(1, 4000, TEXTS), end)
+    path = tmp_path / "a.csv"
+    path.write_bytes(text.encode("latin-1"))
+    small_splits(len(text) // 8 + 1)
+    assert records.lines_of(spark, [str(path)]).select("bloco").distinct().count() >= 8
+    assert [r.c for r in cells(spark, [path]).collect()] == by_csv(text)
+
+
+def test_records_longer_than_splits(spark, tmp_path, small_splits):
+    rows = [["1", "a"], ["2", "line\n" * 2000], ["3", "b"], ["4", 'x"\n' * 900], ["5", "end"]]
+    first, second = written(rows), written(rows[::-1])
+    (tmp_path / "a.csv").write_text(first)
+    (tmp_path / "b.csv").write_text(second)
+    small_splits(1500)
+    got = cells(spark, [tmp_path / "a.csv", tmp_path / "b.csv"]).collect()
+    assert [r.c for r in got if r.fonte.endswith("a.csv")] == by_csv(first)
+    assert [r.c for r in got if r.fonte.endswith("b.csv")] == by_csv(second)
+
+
+def test_open_quote_at_the_end_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1;"open\nto the end\n')
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text("\n\n1;2\n\n")
+    assert records.read_records(spark, [str(tmp_path / "a.csv")]).count() == 1
+    assert records.read_records(spark, [str(tmp_path / "b.csv")]).count() == 0
+    assert [r.c for r in cells(spark, [tmp_path / "c.csv"]).collect()] == [["1", "2"]]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.text('ab";\n', max_size=6), min_size=2, max_size=3), min_size=1, max_size=20), st.integers(9, 60))
+def test_any_rows(spark, rows, size):
+    import tempfile
+    from pathlib import Path
+
+    text = written([["x", *row] for row in rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        with tempfile.TemporaryDirectory() as folder:
+            path = Path(folder) / "a.csv"
+            path.write_text(text)
+            assert [r.c for r in cells(spark, [path]).collect()] == by_csv(text)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_long_quoted_cell_needs_no_stack(spark):
+    long = "y" * 300_000
+    row = spark.createDataFrame([(f'1;"{long};""";z',)], "v string").select(F.transform(records.cells_of(F.col("v")), records.unquoted).alias("c"))
+    assert row.first().c == ["1", long + ';"', "z"]
+
+
+def test_no_row_is_shuffled(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1;2\n")
+    plan = records.read_records(spark, [str(tmp_path / "a.csv")])._jdf.queryExecution().executedPlan().toString()
+    whole = plan[: plan.index("collect_list")]  # the part of the records that lie in one split
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in whole
+
+
+def test_years_with_breaks(spark, tmp_path, small_splits):
+    files = {}
+    for year, header in ((2010, ["A", "OLD", "N"]), (2011, ["N", "A", "NEW"]), (2012, ["A", "NEW", "OLD"])):
+        rows = [header] + [[f"{year}-{i}", TEXTS[i % len(TEXTS)], "NA" if i % 5 == 0 else f"n{i}"] for i in range(500)]
+        path = tmp_path / f"{year}.txt"
+        path.write_bytes(written(rows).encode("latin-1"))
+        files[year] = str(path)
+    small_splits(3000)
+    headers = {"A": "a", "OLD": "b", "NEW": "b", "N": "n"}
+    df, published = delimited.read_years_mapped(spark, files, headers, ["a", "b", "n"], position=True, quoted_breaks=True)
+    assert published == {2010: {"a", "b", "n"}, 2011: {"a", "b", "n"}, 2012: {"a", "b"}}
+    got = df.orderBy("ano_fonte", "_bloco", "_linha").collect()
+    assert len(got) == 1500
+    for r, i in zip(got, list(range(500)) * 3, strict=True):
+        year, texts = r.ano_fonte, TEXTS[i % len(TEXTS)]
+        code, note = f"{year}-{i}", None if i % 5 == 0 else f"n{i}"
+        # Columns stand in the order of each year's header; of OLD and NEW the first filled one counts.
+        expected = {2010: (code, texts, note), 2011: (texts, note, code), 2012: (code, note or texts, None)}
+        assert (r.a, r.b, r.n) == expected[year]
