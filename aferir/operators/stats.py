@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aferir.functions import values as V
 from aferir.operators.join import null_safe_join
-from aferir.operators.order import exact_medians, ordinal_rank, ordinal_rank_by_range
+from aferir.operators.order import exact_medians, exact_medians_by_range, ordinal_rank, ordinal_rank_by_range
 
 
 def score_stats(
@@ -21,13 +21,14 @@ def score_stats(
     meta: Sequence[str] = (),
     order: Sequence[str] = (),
     medians: Sequence[str] | None = None,
+    by_range: bool = False,
 ) -> DataFrame:
     """Enrolled and present counts, and mean / median / deviation of the present rows' scores.
 
     One aggregation gives the enrolment count, mean and deviation of the present, and the first row's
     descriptive columns (``meta`` by ``order``); a group without present rows has count 0 and null
     scores. Medians are a second pass, for the ``medians`` columns only (those of ``spread`` unless
-    named). A plan only, no job.
+    named). A plan only, no job, unless ``by_range`` spreads the medians of large groups.
     """
     medians = spread if medians is None else medians
     rows = df.withColumn("_present", F.coalesce(present, F.lit(False)))
@@ -44,7 +45,8 @@ def score_stats(
         aggregates.append(F.min_by(F.struct(*meta), F.struct(*order)).alias("_meta"))
     found = rows.groupBy(*keys).agg(*aggregates)
     if medians:
-        found = null_safe_join(found, exact_medians(rows.where("_present"), keys, medians), keys, "left")
+        middle = exact_medians_by_range if by_range else exact_medians
+        found = null_safe_join(found, middle(rows.where("_present"), keys, medians), keys, "left")
     described = ["_meta.*"] if meta else []
     measures = [f"{name}_{kind}" for name in spread for kind in ("media", "mediana", "dp")]
     measures = [c for c in measures if c in found.columns] + [f"{name}_media" for name in means]

@@ -20,6 +20,7 @@ from aferir.plans.build import (
 )
 from aferir.schemas import census
 from aferir.schemas.layout import Layout
+from aferir.session import staged
 from aferir.sources.delimited import POSITION, read_years_mapped
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
@@ -38,30 +39,35 @@ LOCATION = (
 )
 
 
-def _build(
+def _sources(
     spark: SparkSession, bronze: str, root: str, years: Sequence[int], force: bool,
-    table: str, file_names: str, layout: Layout, finish=None,
-) -> BuildReport:
-    report = BuildReport(table)
+    reports: Sequence[BuildReport], file_names: str,
+) -> dict[int, str]:
+    """Paths of the years that any of the tables needs anew."""
     if min(years) < census.FIRST_YEAR:
         raise ValueError(f"the census has no stable keys before {census.FIRST_YEAR}")
     files = one_per_year(find_files(spark, bronze, DATASET, file_names, years))
-    report.failures += [
-        {SOURCE_YEAR: y, "check": "source_file", "violations": 1} for y in years if y not in files
-    ]
-    path = silver_path(root, table)
-    stale = years_to_build(spark, files.values(), path, force) if files else []
-    report.unchanged = [y for y in files if y not in stale]
-    if not stale:
-        return report
-    paths = {y: files[y].path for y in stale}
-    texts, published = read_years_mapped(spark, paths, layout.headers, layout.columns, position=True)
-    failures = missing_columns(published, lambda year: layout.required)
-    failures += gate_years(texts, stale, layout.keys, bad_casts(layout.types))
-    typed = reshape.cast_strict(texts, layout.types)
+    missing = [{SOURCE_YEAR: y, "check": "source_file", "violations": 1} for y in years if y not in files]
+    stale: set[int] = set()
+    for report in reports:
+        report.failures += missing
+        if files:
+            stale |= set(years_to_build(spark, files.values(), silver_path(root, report.table), force))
+    for report in reports:
+        report.unchanged = [y for y in files if y not in stale]
+    return {y: files[y].path for y in sorted(stale)}
+
+
+def _write(texts: DataFrame, published, years, root: str, report: BuildReport, layout: Layout, finish=None) -> BuildReport:
+    """Gate and write one table of the texts; only its own columns are read."""
+    own = texts.select(*layout.columns, *POSITION, SOURCE_YEAR)
+    known = {year: names & set(layout.columns) for year, names in published.items()}
+    failures = missing_columns(known, lambda year: layout.required)
+    failures += gate_years(own, years, layout.keys, bad_casts(layout.types))
+    typed = reshape.cast_strict(own, layout.types)
     if finish is not None:
-        typed = finish(typed, published)
-    return write_passing_years(typed, path, report, stale, failures)
+        typed = finish(typed, known)
+    return write_passing_years(typed, silver_path(root, report.table), report, years, failures)
 
 
 def derive_network(typed: DataFrame, published: dict[int, set[str]]) -> DataFrame:
@@ -74,20 +80,35 @@ def derive_network(typed: DataFrame, published: dict[int, set[str]]) -> DataFram
 def build_institutions(
     spark: SparkSession, bronze: str, root: str, years: Sequence[int], force: bool = False
 ) -> list[BuildReport]:
-    """Institution state and staff measures, two pruned reads of the same files."""
-    common = (spark, bronze, root, years, force)
-    return [
-        _build(*common, "censo_ies", r".*IES.*\.csv", census.INSTITUTION, derive_network),
-        _build(*common, "censo_fact", r".*IES.*\.csv", census.STAFF),
-    ]
+    """Institution state and staff measures of the same files, which are parsed once.
+
+    The columns that either table needs go as text to a staged table by source year; each table is then
+    gated and written from its own columns of it, so one may refuse a year that the other takes.
+    """
+    state, staff = BuildReport("censo_ies"), BuildReport("censo_fact")
+    paths = _sources(spark, bronze, root, years, force, [state, staff], r".*IES.*\.csv")
+    if not paths:
+        return [state, staff]
+    institution, measures = census.INSTITUTION, census.STAFF
+    headers = {**institution.headers, **measures.headers}
+    columns = list(dict.fromkeys([*institution.columns, *measures.columns]))
+    texts, published = read_years_mapped(spark, paths, headers, columns, position=True)
+    with staged(texts, [SOURCE_YEAR]) as parsed:
+        common = (parsed, published, sorted(paths), root)
+        return [_write(*common, state, institution, derive_network), _write(*common, staff, measures)]
 
 
 def build_courses(
     spark: SparkSession, bronze: str, root: str, years: Sequence[int], force: bool = False
 ) -> BuildReport:
-    return _build(
-        spark, bronze, root, years, force, "censo_cursos", r".*CURSOS.*\.csv", census.COURSE
-    )
+    """Courses; the gates and the write share one parse of the files."""
+    report, layout = BuildReport("censo_cursos"), census.COURSE
+    paths = _sources(spark, bronze, root, years, force, [report], r".*CURSOS.*\.csv")
+    if not paths:
+        return report
+    texts, published = read_years_mapped(spark, paths, layout.headers, layout.columns, position=True)
+    with staged(texts, [SOURCE_YEAR]) as parsed:
+        return _write(parsed, published, sorted(paths), root, report, layout)
 
 
 def decode_labels(df: DataFrame) -> DataFrame:

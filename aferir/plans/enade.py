@@ -89,11 +89,12 @@ def course_scores(silver: DataFrame) -> DataFrame:
     """fact_enade: enrolment, presence, scores and position inside the area, per course and year."""
     scored = stats.score_stats(
         silver, COURSE_KEYS, F.col("tp_pres") == enade.PRESENT, SPREAD_SCORES, MEAN_SCORES,
-        COURSE_META, FILE_ORDER,
+        COURSE_META, FILE_ORDER, by_range=True,
     )
     scores = [c for c in scored.columns if c.startswith("nt_")]
     scored = reshape.cast_strict(stats.participation(scored), dict.fromkeys([*scores, "tx_participacao"], "float"))
-    placed = stats.group_percentile(scored, ["co_grupo", "ano"], "nt_ger_media", ["co_ies", "co_curso"])
+    ties = ["co_ies", "co_curso"]
+    placed = stats.group_percentile(scored, ["co_grupo", "ano"], "nt_ger_media", ties, by_range=True)
     return reshape.cast_strict(placed, {"percentil_grupo": "float"})
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +29,13 @@ def local_session(cpus: int | str = 8, app: str = "aferir", driver_memory: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder in ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared too."""
+    """Use the folder in ``spark.checkpoint.dir``; a local session without one uses the warehouse."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", "")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -38,6 +44,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def staged(df: DataFrame, by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """The rows written once as Parquet in the checkpoint folder, so that several readers take only the
+    columns they need; removed at the end."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether a materialised table has at most ``rows`` rows of ``size`` bytes in all (as JSON text)."""
     width = F.octet_length(F.to_json(F.struct("*")))

@@ -127,3 +127,35 @@ def test_gold_gate_keeps_the_published_table(spark, tmp_path):
     with pytest.raises(ValidationError):
         publish_gold(spark.createDataFrame([(None,)], "k bigint"), path, ["k"], ["k"])
     assert rows(spark.read.parquet(path)) == [{"k": 0}, {"k": 1}, {"k": 2}]
+
+
+def test_each_file_is_parsed_once(spark, bronze, tmp_path, monkeypatch):
+    """Rows that the parser hands out while both tables are gated and written: as many as the files hold."""
+    from pyspark.sql import functions as F
+
+    from aferir.sources import delimited
+
+    parsed, read = spark.sparkContext.accumulator(0), delimited._read
+
+    def counting(*args):
+        def count(x):
+            parsed.add(1)
+            return x
+
+        df = read(*args)
+        return df.withColumn(df.columns[0], F.udf(count)(df.columns[0]))
+
+    monkeypatch.setattr(delimited, "_read", counting)
+    state, staff = census.build_institutions(spark, str(bronze), str(tmp_path / "data"), [2009, 2023])
+    assert state.written == staff.written == [2009, 2023]
+    assert parsed.value == 5
+
+
+def test_one_table_missing_rebuilds_both(spark, bronze, tmp_path):
+    import shutil
+
+    root = str(tmp_path / "data")
+    census.build_institutions(spark, str(bronze), root, [2009, 2023])
+    shutil.rmtree(tmp_path / "data" / "silver" / "censo_fact" / "ano_fonte=2023")
+    state, staff = census.build_institutions(spark, str(bronze), root, [2009, 2023])
+    assert state.written == staff.written == [2023] and state.unchanged == staff.unchanged == [2009]

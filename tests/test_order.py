@@ -113,3 +113,74 @@ def test_median_of_any_rows(spark, data):
     for k, v in data:
         groups.setdefault(k, []).append(v)
     assert got == {k: pytest.approx(statistics.median(vs)) for k, vs in groups.items()}
+
+
+@pytest.mark.parametrize("columns", [["v"], ["v", "t"]])
+def test_medians_by_range(spark, columns):
+    data = skewed_rows()
+    df = spark.createDataFrame(data, "g string, v double, t int, i int").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.g: r.asDict() for r in order.exact_medians_by_range(df, ["g"], columns).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for at, name in ((1, "v"), (2, "t")):
+        if name not in columns:
+            continue
+        groups = {}
+        for row in data:
+            if row[at] is not None:
+                groups.setdefault(row[0], []).append(row[at])
+        assert {g: r[f"{name}_mediana"] for g, r in got.items() if r[f"{name}_mediana"] is not None} == {
+            g: pytest.approx(statistics.median(values)) for g, values in groups.items()
+        }
+
+
+def test_no_window_holds_a_whole_group(spark):
+    import re
+
+    df = spark.createDataFrame(skewed_rows(50), "g string, v double, t int, i int")
+    plan = order.exact_medians_by_range(df, ["g"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_part" in re.findall(r"\], \[(.*?)\], \[", line)[0] for line in windows)
+
+
+def test_cascade_shuffles_the_base_once(spark, tmp_path):
+    """All levels in one join: the base is exchanged once, the lookups on their own."""
+    rng = random.Random(3)
+    base = [(rng.randrange(3), rng.randrange(4), rng.choice([1, 2, 3, None]), None if rng.random() < 0.8 else 7) for _ in range(400)]
+    micro = [(rng.randrange(3), rng.randrange(4), rng.choice([1, 2, 3, None]), rng.choice([10, 11, None])) for _ in range(14)]
+    direct = [(rng.randrange(3), rng.randrange(4), rng.choice([1, 2, None]), rng.choice([20, 21, None])) for _ in range(9)]
+    schema = "a int, b int, p int, c bigint"
+    frames = [spark.createDataFrame(rows, schema) for rows in (base, micro, direct)]
+
+    def codes(rows, key):
+        found = {}
+        for row in rows:
+            if row[3] is not None:
+                found.setdefault(key(row), set()).add(row[3])
+        return {k: next(iter(v)) for k, v in found.items() if len(v) == 1 and None not in k}
+
+    whole = [r for r in micro if None not in r]
+    for placed in (True, False):
+        by_key, by_place = codes(whole, lambda r: r[:2]), codes(whole, lambda r: r[:3])
+        straight = codes(direct, lambda r: r[:3] if placed else r[:2])
+        other = frames[2] if placed else frames[2].drop("p")
+        got = lookup.enrich_codes(frames[0], frames[1], other, ["a", "b"], "p", "c")
+        expected = [
+            (a, b, p, c or straight.get((a, b, p) if placed else (a, b)) or by_key.get((a, b)) or by_place.get((a, b, p)))
+            for a, b, p, c in base
+        ]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+        dealt = lookup.enrich_codes(frames[0], frames[1], other, ["a", "b"], "p", "c", salts=4)
+        assert sorted(map(tuple, dealt.collect()), key=repr) == sorted(expected, key=repr)
+    frames[0].write.parquet(str(tmp_path / "base"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lookup.enrich_codes(spark.read.parquet(str(tmp_path / "base")), frames[1], frames[2], ["a", "b"], "p", "c")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1
+    base_side = plan[: plan.index("FileScan")].splitlines()
+    assert plan.count("FileScan") == 1 and sum("Exchange" in line for line in base_side) == 1
