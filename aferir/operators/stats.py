@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,6 +98,42 @@ def year_summary(df: DataFrame, score: str, year: str = "ano") -> DataFrame:
     )
 
 
+def code_bitmaps(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of whole-number columns as bitmaps: ``by``, ``coluna``, ``balde``, ``mapa``.
+
+    A bitmap stands for 32,768 neighbouring codes in four kilobytes. Each column is its own pruned read and
+    its own aggregate, so no row is multiplied, and what is shuffled are bitmaps, not values.
+    """
+    found = []
+    for c in columns:
+        code = F.col(c).cast("bigint")
+        buckets = df.where(code.isNotNull()).groupBy(
+            *by, F.lit(c).alias("coluna"), F.bitmap_bucket_number(code).alias("balde")
+        )
+        found.append(buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("mapa")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def bitmap_counts(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values per column of bitmaps of any finer grouping: ``by``, ``coluna``, ``distintos``."""
+    whole = bitmaps.groupBy(*by, "coluna", "balde").agg(F.bitmap_or_agg("mapa").alias("mapa"))
+    return whole.groupBy(*by, "coluna").agg(F.sum(F.bitmap_count("mapa")).alias("distintos"))
+
+
+def _distinct_counts(df: DataFrame, distinct: Mapping[str, str]) -> DataFrame:
+    """One row with the distinct count of each column: bitmaps for whole numbers, else a distinct pass each."""
+    kinds = dict(df.dtypes)
+    codes = [c for c in dict.fromkeys(distinct.values()) if kinds.get(c) in ("tinyint", "smallint", "int", "bigint")]
+    others = [c for c in dict.fromkeys(distinct.values()) if c not in codes]
+    found = [bitmap_counts(code_bitmaps(df, codes))] if codes else []
+    for c in others:
+        counted = df.select(F.col(c).alias("_v")).distinct().agg(F.count("_v").alias("distintos"))
+        found.append(counted.select(F.lit(c).alias("coluna"), "distintos"))
+    counts = reduce(DataFrame.unionByName, found)
+    number = lambda c: F.coalesce(F.max(F.when(F.col("coluna") == c, F.col("distintos"))), F.lit(0).cast("long"))
+    return counts.agg(*[number(c).alias(out) for out, c in distinct.items()])
+
+
 def build_summary(
     df: DataFrame,
     distinct: Mapping[str, str],
@@ -106,8 +143,8 @@ def build_summary(
 ) -> DataFrame:
     """One row: row count, distinct counts, years, flag counts, and null count / fill % of columns.
 
-    Everything but the distinct counts rolls up from a per-year aggregate, so the distinct counts do
-    not carry the other measures through their shuffle.
+    Everything but the distinct counts rolls up from a per-year aggregate; each distinct count is a pass
+    over its own column (``code_bitmaps``), so rows are never multiplied by the number of counts.
     """
     flags = flags or {}
     counted = [F.count_if(cond).alias(out) for out, cond in flags.items()]
@@ -117,8 +154,9 @@ def build_summary(
     years = F.array_join(F.sort_array(F.collect_set("ano")), ",").alias("anos")
     sums = [F.sum(c).alias(c) for c in ("linhas", *flags, *[f"_{c}" for c in filled])]
     totals = by_year.agg(years, *sums)
-    uniques = df.agg(*[F.countDistinct(c).alias(out) for out, c in distinct.items()])
-    both = totals.unionByName(uniques, allowMissingColumns=True)
+    both = totals
+    if distinct:
+        both = totals.unionByName(_distinct_counts(df, distinct), allowMissingColumns=True)
     row = both.agg(*[F.max(c).alias(c) for c in both.columns])
     measures = []
     for c in filled:

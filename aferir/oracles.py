@@ -443,4 +443,31 @@ ORACLES: dict[str, str] = {
     "q57_identified_only": """
         SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS linhas, count(DISTINCT l_orderkey) AS cursos
         FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1""",
+    "q58_inferred_types": r"""
+        WITH t AS (
+          SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(o_orderkey AS VARCHAR) AS chave,
+                 CAST(o_custkey * 10000000 AS VARCHAR) AS grande, CAST(o_totalprice AS VARCHAR) AS preco,
+                 CASE WHEN year(o_orderdate) % 2 = 1 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
+                      ELSE o_orderpriority END AS misto,
+                 CASE WHEN o_orderstatus = 'P' THEN 'NA' END AS vazia
+          FROM orders),
+        v AS (
+          SELECT ano, 'chave' AS coluna, chave AS v FROM t UNION ALL SELECT ano, 'grande', grande FROM t
+          UNION ALL SELECT ano, 'preco', preco FROM t UNION ALL SELECT ano, 'misto', misto FROM t
+          UNION ALL SELECT ano, 'vazia', vazia FROM t),
+        k AS (SELECT ano, coluna, CASE WHEN v NOT IN ('', 'NA', 'N/A', 'nan') THEN v END AS v FROM v)
+        SELECT ano, coluna,
+               CAST(max(CASE WHEN v IS NULL THEN NULL
+                             WHEN regexp_matches(v, '^[+-]?[0-9]+$') AND TRY_CAST(v AS INTEGER) IS NOT NULL THEN 0
+                             WHEN regexp_matches(v, '^[+-]?[0-9]+$') AND TRY_CAST(v AS BIGINT) IS NOT NULL THEN 1
+                             WHEN regexp_matches(v, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN 2
+                             ELSE 3 END) AS INTEGER) AS ordem,
+               count(v) AS preenchidos
+        FROM k GROUP BY ano, coluna""",
+    "q59_bitmap_counts": """
+        WITH v AS (
+          SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, 'ies' AS coluna, l_suppkey AS c FROM lineitem
+          UNION ALL SELECT CAST(year(l_shipdate) AS INTEGER), 'cursos', l_partkey FROM lineitem)
+        SELECT ano, coluna, CAST(count(DISTINCT c) AS BIGINT) AS distintos FROM v GROUP BY ano, coluna
+        UNION ALL SELECT NULL, coluna, CAST(count(DISTINCT c) AS BIGINT) FROM v GROUP BY coluna""",
 }

@@ -13,7 +13,7 @@ from aferir.operators.quality import Check, no_nulls, not_empty
 from aferir.session import materialise
 from aferir.sinks.refresh import stale_years, write_gold, write_silver
 from aferir.sources.discovery import SourceFile, output_manifest, source_manifest
-from aferir.sources.tables import SOURCE_YEAR
+from aferir.sources.tables import SOURCE_YEAR, read_table
 
 Published = Mapping[int, set[str]]
 
@@ -104,4 +104,4 @@ def publish_gold(
     if unique:
         quality.enforce(quality.pk_report(rows, keys), path)
     write_gold(rows, path, sort)
-    return rows.sparkSession.read.parquet(path)
+    return read_table(rows.sparkSession, path)

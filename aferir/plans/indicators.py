@@ -23,7 +23,7 @@ from aferir.schemas import sheets
 from aferir.schemas.common import YEARS_WITHOUT_EXAM
 from aferir.schemas.layout import Layout
 from aferir.session import materialise
-from aferir.sources.delimited import read_codes
+from aferir.sources.delimited import read_codes_of_years
 from aferir.sources.discovery import find_files, one_per_year
 from aferir.sources.tables import SOURCE_YEAR, gold_path, read_years, silver_path
 from aferir.sources.workbook import read_sheets
@@ -118,18 +118,17 @@ def exam_codes(spark: SparkSession, bronze: str, years: Sequence[int]) -> DataFr
         ) if years else {}
     except FileNotFoundError:
         return None
-    frames = []
-    for year, file in files.items():
-        try:
-            codes = read_codes(spark, file.path, CODE_COLUMNS, ["co_ies", "co_area", "co_curso"])
-        except ValueError:
-            # A course file without the code columns recovers nothing; the year stays as published.
-            continue
-        if "co_municipio" not in codes.columns:
-            # Without municipality only the first level applies: a code that matches no row.
-            codes = codes.withColumn("co_municipio", F.lit(-1).cast("bigint"))
-        frames.append(codes.withColumn(SOURCE_YEAR, F.lit(year)))
-    return dedup.distinct_rows(reshape.diagonal_union(frames)) if frames else None
+    if not files:
+        return None
+    required = ["co_ies", "co_area", "co_curso"]
+    codes, published = read_codes_of_years(spark, {y: f.path for y, f in files.items()}, CODE_COLUMNS, required)
+    # A course file without the code columns recovers nothing; the year stays as published.
+    if not any(names.issuperset(required) for names in published.values()):
+        return None
+    # Without municipality only the first level applies: a code that matches no row.
+    unplaced = [y for y, names in published.items() if "co_municipio" not in names]
+    place = F.when(F.col(SOURCE_YEAR).isin(*unplaced), F.lit(-1).cast("bigint")).otherwise(F.col("co_municipio"))
+    return codes.withColumn("co_municipio", place) if unplaced else codes
 
 
 def recover_courses(spark: SparkSession, bronze: str, cpc: DataFrame, published: dict[int, set[str]]) -> DataFrame:

@@ -14,6 +14,7 @@ from aferir.operators import dedup, lookup, order, quality, reshape, stats
 from aferir.plans import census, enade, indicators
 from aferir.schemas import enade as schemas
 from aferir.sinks import refresh
+from aferir.sources import infer
 
 QUERIES: dict = {}
 
@@ -755,3 +756,32 @@ def q57_identified_only(spark, folder):
     return reshape.identified_only(coded).groupBy("ano").agg(
         F.count("*").alias("linhas"), F.countDistinct("co_curso").alias("cursos")
     )
+
+
+# --- inference and bitmaps ----------------------------------------------------------------------
+
+
+@query
+def q58_inferred_types(spark, folder):
+    """Types of text columns per year, each inferred over all its values."""
+    year = F.year("o_orderdate")
+    texts = table(spark, folder, "orders").select(
+        year.alias("ano"),
+        F.col("o_orderkey").cast("string").alias("chave"),
+        (F.col("o_custkey") * 10_000_000).cast("string").alias("grande"),
+        F.col("o_totalprice").cast("string").alias("preco"),
+        F.when(year % 2 == 1, F.floor("o_totalprice").cast("string")).otherwise(F.col("o_orderpriority")).alias("misto"),
+        F.when(F.col("o_orderstatus") == "P", "NA").alias("vazia"),
+    )
+    return infer.column_types(texts, ["chave", "grande", "preco", "misto", "vazia"], ["ano"])
+
+
+@query
+def q59_bitmap_counts(spark, folder):
+    """Distinct codes per year and over all years, from one set of bitmaps per year."""
+    lines = table(spark, folder, "lineitem").select(
+        F.year("l_shipdate").alias("ano"), F.col("l_suppkey").alias("ies"), F.col("l_partkey").alias("cursos")
+    )
+    yearly = stats.code_bitmaps(lines, ["ies", "cursos"], ["ano"])
+    whole = stats.bitmap_counts(yearly).select(F.lit(None).cast("int").alias("ano"), "*")
+    return stats.bitmap_counts(yearly, ["ano"]).unionByName(whole)

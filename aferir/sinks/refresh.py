@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aferir.sources.tables import SOURCE_YEAR
+from aferir.sources.tables import MANIFESTS, SOURCE_YEAR, VERSIONS, file_system, manifests
 
 
 def stale_years(
@@ -44,24 +45,49 @@ def write_silver(df: DataFrame, path: str, replace_years: Iterable[int] | None =
     )
 
 
-def write_gold(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Write an analytic table sorted by its key (range partitions, sorted inside), then swap it in.
+def write_gold(df: DataFrame, path: str, keys: Sequence[str], keep: int = 2) -> None:
+    """Write an analytic table sorted by its key (range partitions, sorted inside) as a new version.
 
-    The published table stays until the new one is complete beside it.
+    The rows go to a folder of their own first; the manifest that names it is written last, so readers
+    (``read_table``) see the old version or the new one, never a part, and a write that fails anywhere
+    leaves the old one. The last ``keep`` versions stay for readers that have begun; older ones go.
     """
-    fresh, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
     sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    sorted_rows.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
-    spark = df.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    target = place(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(place(old), True)
-    if files.exists(target) and not files.rename(target, place(old)):
-        raise OSError(f"cannot move {path} aside")
-    if not files.rename(place(fresh), target):
-        raise OSError(f"cannot move the new table to {path}")
-    files.delete(place(old), True)
+    version = f"{VERSIONS}/{uuid.uuid4().hex}"
+    sorted_rows.write.option("compression", "zstd").parquet(f"{path.rstrip('/')}/{version}")
+    commit_version(df.sparkSession, path, version)
+    remove_old_versions(df.sparkSession, path, keep)
+
+
+def commit_version(spark: SparkSession, path: str, version: str) -> None:
+    """Name the version that readers follow: a manifest with the next number appears whole, by a rename."""
+    files, folder = file_system(spark, f"{path.rstrip('/')}/{MANIFESTS}")
+    files.mkdirs(folder)
+    number = max([n for n, _ in manifests(spark, path)], default=0) + 1
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}")
+    out = files.create(fresh, False)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    named = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+    if files.exists(named) or not files.rename(fresh, named):
+        raise OSError(f"another writer committed version {number} of {path}")
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the last ``keep`` committed versions, and what failed writes before them left."""
+    found = manifests(spark, path)
+    stay = {version for _, version in found[-keep:]}
+    files, folder = file_system(spark, f"{path.rstrip('/')}/{VERSIONS}")
+    oldest = min((files.getFileStatus(file_system(spark, f"{path}/{v}")[1]).getModificationTime() for v in stay), default=0)
+    for status in files.listStatus(folder):
+        name = f"{VERSIONS}/{status.getPath().getName()}"
+        # A folder that is younger than a committed one may be a write under way.
+        if name not in stay and status.getModificationTime() < oldest:
+            files.delete(status.getPath(), True)
+    for number, version in found[:-keep]:
+        files.delete(file_system(spark, f"{path.rstrip('/')}/{MANIFESTS}/{number:012d}")[1], False)
 
 
 def preview(df: DataFrame, keys: Sequence[str | Column], n: int = 5) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aferir.functions import values as V
-from aferir.operators.reshape import cast_lenient, diagonal_union, quoted, select_mapped
-from aferir.sources.records import cells_of, read_records, unquoted
+from aferir.operators.reshape import diagonal_union, quoted
+from aferir.session import materialise
+from aferir.sources.records import cells_of, lines_of, read_records, unquoted
 from aferir.sources.tables import SOURCE_YEAR
 
 LATIN1 = "ISO-8859-1"
@@ -131,30 +135,84 @@ def _read_years_of_records(
 
 
 def read_with_fallback(spark: SparkSession, path: str) -> DataFrame:
-    """Read as UTF-8 when header and values decode, else as Latin-1."""
+    """All rows of one file as text columns: UTF-8 when header and values decode, else Latin-1.
+
+    The file is read twice; ``distinct_lines`` decides for many files in one scan.
+    """
     valid = F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))
     decodes = spark.read.text(path).agg(valid).first()[0]
     df = _read(spark, path, "UTF-8" if decodes else LATIN1, False)
     return df.select([V.drop_null_tokens(quoted(c)).alias(c) for c in df.columns])
 
 
-def read_codes(
-    spark: SparkSession, path: str, wanted: Mapping[str, str], required: Sequence[str]
-) -> DataFrame:
-    """Only the wanted code columns, matched without case and quotes, as integers.
+def distinct_lines(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, dict[str, tuple[str, list[str]]]]:
+    """The different lines of many files, in one scan, and the encoding and header of each file.
+
+    Every line votes while equal ones are merged: a file is UTF-8 if all its lines are, else Latin-1. The
+    lines stay bytes until the vote is known; ``decoded`` turns them into text in the same plan.
+    """
+    text = F.col("registro").cast("string")
+    lines = lines_of(spark, paths).select(
+        "fonte", "registro", F.is_valid_utf8(text).alias("_utf8"), F.struct("bloco", F.monotonically_increasing_id().alias("n")).alias("_at")
+    )
+    merged = materialise(lines.groupBy("fonte", "registro").agg(F.min("_utf8").alias("_utf8"), F.min("_at").alias("_at")))
+    # One row per file.
+    votes = merged.groupBy("fonte").agg(F.min("_utf8").alias("utf8"), F.min_by("registro", "_at").alias("first")).collect()
+    known = {}
+    for vote in votes:
+        encoding = "UTF-8" if vote.utf8 else LATIN1
+        known[vote.fonte] = (encoding, header_names(bytes(vote.first).decode("utf-8" if vote.utf8 else "latin-1")))
+    return merged.select("fonte", "registro"), known
+
+
+def decoded(line: Column, source: Column, known: Mapping[str, tuple[str, list[str]]]) -> Column:
+    """The text of a line in the encoding its file was voted to have."""
+    latin = [path for path, (encoding, _) in known.items() if encoding == LATIN1]
+    returned = F.regexp_replace(F.when(source.isin(latin), F.decode(line, LATIN1)).otherwise(F.decode(line, "UTF-8")), r"\r\z", "")
+    return returned if latin else F.regexp_replace(F.decode(line, "UTF-8"), r"\r\z", "")
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line, without quotes, blanks and byte order mark."""
+    cells = next(csv.reader([line.rstrip("\r\n").lstrip("\ufeff")], delimiter=";"), [])
+    return [name.strip('" \ufeff') for name in cells]
+
+
+def read_codes_of_years(
+    spark: SparkSession, paths: Mapping[int, str], wanted: Mapping[str, str], required: Sequence[str]
+) -> tuple[DataFrame, dict[int, set[str]]]:
+    """The wanted code columns of one file per year as integers, all files in one scan, and what each publishes.
 
-    Bad codes become null; absent optional columns are left out. The file repeats the same codes for
-    every student, so equal texts are merged before they are trimmed and typed.
+    Headers are matched without case and quotes. Bad codes become null; columns a file lacks are null. A
+    year without the required columns gives no rows. The files repeat the same codes for every student, so
+    equal lines are merged before they are decoded, cut and typed.
     """
-    df = read_with_fallback(spark, path)
-    by_key = {name.strip('"').upper(): name for name in df.columns}
-    found = {by_key[k]: target for k, target in wanted.items() if k in by_key}
-    lacking = set(required) - set(found.values())
-    if lacking:
-        raise ValueError(f"{path}: code columns missing: {sorted(lacking)}")
-    codes = select_mapped(df, found).distinct()
-    stripped = codes.select([V.strip_quotes(F.col(c)).alias(c) for c in codes.columns])
-    return cast_lenient(stripped, dict.fromkeys(stripped.columns, "bigint"))
+    lines, known = distinct_lines(spark, list(paths.values()))
+    years = {bare_path(path): year for year, path in paths.items()}
+    published: dict[int, set[str]] = dict.fromkeys(paths, frozenset())
+    places, targets = [], list(dict.fromkeys(wanted.values()))
+    for source, (_, header) in known.items():
+        year = years[bare_path(unquote(source))]
+        by_key = {name.upper(): i for i, name in enumerate(header)}
+        found = {target: by_key[k] for k, target in wanted.items() if k in by_key}
+        published[year] = set(found)
+        if not set(required) - set(found):
+            places.append((source, year, [found.get(t, -1) for t in targets]))
+    table = spark.createDataFrame(places, f"fonte string, {SOURCE_YEAR} int, _celulas array<int>")
+    # One row per file.
+    rows = lines.join(F.broadcast(table), "fonte")
+    rows = rows.withColumn("_valores", cells_of(decoded(F.col("registro"), F.col("fonte"), known)))
+    codes = [
+        V.strip_quotes(V.drop_null_tokens(unquoted(F.get("_valores", F.get("_celulas", F.lit(i)))))).try_cast("bigint").alias(t)
+        for i, t in enumerate(targets)
+    ]
+    header = F.upper(F.array_join("_valores", ";")).contains(next(iter(wanted)))
+    return rows.where(~header).select(SOURCE_YEAR, *codes).distinct(), published
+
+
+def bare_path(path: str) -> str:
+    """A path without the scheme of local files, which Spark and callers write in several ways."""
+    return re.sub("^file:/+", "/", path)
 
 
 def side_by_side(read: Callable, paths: Iterable[str]) -> list:

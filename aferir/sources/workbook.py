@@ -6,7 +6,9 @@ header row and typing are DataFrame operations on the result.
 
 from __future__ import annotations
 
+import datetime
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree.ElementTree import iterparse
@@ -74,8 +76,71 @@ def _column(reference: str) -> int:
     return number - 1
 
 
-def _cell(node, shared: list[str]) -> str | None:
-    """Cell value as trimmed text: whole numbers without decimals, booleans as True / False."""
+# Numbers of the built-in formats of dates and of times of day.
+DATE_FORMATS = frozenset([*range(14, 18), 22, *range(27, 37), *range(50, 59)])
+TIME_FORMATS = frozenset([*range(18, 23), *range(45, 48)])
+#: What does not count as a date or time letter in a format: quoted and escaped texts, colours, padding.
+LITERAL = re.compile(r'"[^"]*"|\\.|[_*].|\[(?!h+\]|m+\]|s+\])[^\]]*\]', re.IGNORECASE)
+
+
+def _kind_of_format(number: int, code: str | None) -> str:
+    """Letters d and t: a number with this format shows a date, a time of day, both, or neither."""
+    if code is None:
+        return "d" * (number in DATE_FORMATS) + "t" * (number in TIME_FORMATS)
+    letters = LITERAL.sub("", code.split(";")[0]).lower()
+    if "general" in letters or not re.search("[dmyhs]", letters):
+        return ""
+    # An m beside hours or seconds is minutes.
+    clock = re.search("[hs]", letters)
+    date = re.search("[dy]", letters) or ("m" in letters and not clock)
+    return "d" * bool(date) + "t" * bool(clock)
+
+
+def _cell_styles(book: zipfile.ZipFile) -> list[str]:
+    """Kind of every cell style of the workbook, by its number."""
+    if "xl/styles.xml" not in book.namelist():
+        return []
+    codes: dict[int, str] = {}
+    styles: list[str] = []
+    with book.open("xl/styles.xml") as stream:
+        for _, node in iterparse(stream):
+            if _local(node.tag) == "numFmt":
+                codes[int(node.get("numFmtId"))] = node.get("formatCode", "")
+            elif _local(node.tag) == "cellXfs":
+                used = [int(x.get("numFmtId", 0)) for x in node if _local(x.tag) == "xf"]
+                styles = [_kind_of_format(n, codes.get(n)) for n in used]
+    return styles
+
+
+def _first_day(book: zipfile.ZipFile) -> int:
+    """Serial number of 1900-01-01 less one in the workbook's calendar: 0, or -1462 with the 1904 epoch."""
+    with book.open("xl/workbook.xml") as stream:
+        for _, node in iterparse(stream):
+            if _local(node.tag) == "workbookPr":
+                return -1462 if node.get("date1904", "0") in ("1", "true") else 0
+    return 0
+
+
+def _moment(serial: float, kind: str, epoch: int) -> str:
+    """Text of a serial day: date, time of day, or both; the year 1900 counts a 29 February it did not have."""
+    day, rest = divmod(serial, 1)
+    seconds = round(rest * 86_400)
+    if seconds == 86_400:
+        day, seconds = day + 1, 0
+    clock = f"{seconds // 3600:02d}:{seconds // 60 % 60:02d}:{seconds % 60:02d}"
+    day = int(day) - epoch
+    if "d" not in kind:
+        return clock if 0 <= serial < 1 else f"{int(serial) * 24 + seconds // 3600:02d}{clock[2:]}"
+    if day == 60:
+        date = "1900-02-29"
+    else:
+        date = (datetime.date(1899, 12, 30 if day > 60 else 31) + datetime.timedelta(day)).isoformat()
+    return f"{date} {clock}" if "t" in kind or seconds else date
+
+
+def _cell(node, shared: list[str], styles: Sequence[str] = (), epoch: int = 0) -> str | None:
+    """Cell value as trimmed text: whole numbers without decimals, booleans as True / False, and numbers
+    that the cell's style shows as a date or time as ISO text."""
     kind = node.get("t", "n")
     if kind == "inlineStr":
         inline = next((c for c in node if _local(c.tag) == "is"), None)
@@ -88,13 +153,16 @@ def _cell(node, shared: list[str]) -> str | None:
     if kind == "b":
         return str(raw == "1")
     if kind == "n":
+        style = int(node.get("s", 0))
+        if style < len(styles) and styles[style] and 0 <= float(raw) < 2_958_466:
+            return _moment(float(raw), styles[style], epoch)
         return str(float(raw)) if any(c in raw for c in ".eE") else str(int(raw))
     return raw.strip()
 
 
 def _rows(content: bytes, skip: Sequence[str]) -> Iterator[tuple[int, list[str | None]]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared = _shared_strings(book)
+        shared, styles, epoch = _shared_strings(book), _cell_styles(book), _first_day(book)
         with book.open(_data_sheet(book, skip)) as stream:
             number = 0
             for _, node in iterparse(stream):
@@ -105,7 +173,7 @@ def _rows(content: bytes, skip: Sequence[str]) -> Iterator[tuple[int, list[str |
                 for c in node:
                     at = _column(c.get("r")) if c.get("r") else len(cells)
                     cells.extend([None] * (at - len(cells)))
-                    cells.append(_cell(c, shared))
+                    cells.append(_cell(c, shared, styles, epoch))
                 yield number, cells
                 node.clear()
 

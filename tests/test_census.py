@@ -7,7 +7,7 @@ from core_helpers import rows
 
 from aferir.operators.quality import ValidationError
 from aferir.plans import census
-from aferir.sources.tables import read_years
+from aferir.sources.tables import read_table, read_years
 
 HEADER = (
     "NU_ANO_CENSO;CO_IES;NO_IES;SG_IES;SG_UF_IES;CO_MUNICIPIO_IES;NO_MUNICIPIO_IES;"
@@ -126,7 +126,7 @@ def test_gold_gate_keeps_the_published_table(spark, tmp_path):
         publish_gold(spark.createDataFrame([(1,), (1,)], "k bigint"), path, ["k"], ["k"])
     with pytest.raises(ValidationError):
         publish_gold(spark.createDataFrame([(None,)], "k bigint"), path, ["k"], ["k"])
-    assert rows(spark.read.parquet(path)) == [{"k": 0}, {"k": 1}, {"k": 2}]
+    assert rows(read_table(spark, path)) == [{"k": 0}, {"k": 1}, {"k": 2}]
 
 
 def test_each_file_is_parsed_once(spark, bronze, tmp_path, monkeypatch):

@@ -128,3 +128,50 @@ def test_questionnaire_lines_keep_quoted_cells_and_upper_case_names(spark, tmp_p
     assert sorted((r.ano_fonte, r.co_curso, r.questao, r.resposta) for r in got.collect()) == [
         (2019, "1", "qe_i01", "A"), (2019, "2", "qe_i01", "B"),
     ]
+
+
+def test_profile_against_brute_force(spark, tmp_path):
+    """A whole profile build: quoted breaks, one course with most answers, years with other columns."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(6)
+    root, counts, courses = tmp_path / "bronze", {}, {}
+    for year in (2016, 2017):
+        folder = root / "enade-microdados" / str(year) / "DADOS"
+        codes = [100, 101, 102, 103]
+        courses[year] = {c: c % 3 + 1 for c in codes}
+        write_text(folder / f"microdados{year}_arq1.txt", "NU_ANO;CO_CURSO;CO_IES", *[f"{year};{c};{courses[year][c]}" for c in codes])
+        for number, question in ((7, "QE_I01"), (8, "QE_I02")):
+            header = ["NU_ANO", "OBS", "CO_CURSO", question] if year == 2016 else [question, "CO_CURSO", "NU_ANO", "OBS"]
+            out = io.StringIO()
+            writer = csv.writer(out, delimiter=";", lineterminator="\n")
+            writer.writerow(header)
+            for _ in range(400):
+                course, answer = rng.choice([100, 100, 100, 101, 102, 999]), rng.choice(["A", "B", "C", "", "NA"])
+                note = rng.choice(["ok", "duas\nlinhas", 'dito "alto"', "a;b\n\nc"])
+                values = {"NU_ANO": year, "OBS": note, "CO_CURSO": course, question: answer}
+                writer.writerow([values[c] for c in header])
+                if answer in "ABC" and answer:
+                    key = (year, course, question.lower())
+                    counts.setdefault(key, {}).setdefault(answer, 0)
+                    counts[key][answer] += 1
+            (folder / f"microdados{year}_arq{number}.txt").write_bytes(out.getvalue().encode("latin-1"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        profile = enade.publish_profiles(spark, str(root), str(tmp_path / "data"), [2016, 2017]).collect()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert {(r.ano, r.co_curso, r.co_ies) for r in profile} == {(y, c, i) for y, found in courses.items() for c, i in found.items()}
+    for row in profile:
+        for question in ("qe_i01", "qe_i02"):
+            given = counts.get((row.ano, row.co_curso, question))
+            total = sum(given.values()) if given else None
+            assert row[f"{question}_respondentes"] == total
+            for answer in "ABC":
+                share = None if given is None else given.get(answer, 0) / total
+                assert row[f"{question}_{answer}"] == (None if share is None else pytest.approx(share, abs=1e-6))

@@ -1,0 +1,73 @@
+"""Inferred types against a fold over all values."""
+
+import random
+
+from bronze import write_text
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from aferir.sources import infer
+
+NULLS = {"", "NA", "N/A", "nan"}
+
+
+def smallest(value):
+    body = value.lstrip("+-") if value[:2] not in ("+-", "-+", "++", "--") else value
+    if body.isascii() and body.isdigit():
+        number = int(value)
+        return 0 if -(2**31) <= number < 2**31 else 1 if -(2**63) <= number < 2**63 else 2
+    try:
+        float(value)
+    except ValueError:
+        return 3
+    return 2 if all(c in "+-.eE0123456789" for c in value) else 3
+
+
+def fold(values):
+    ranks = [smallest(v) for v in values if v is not None and v not in NULLS]
+    return max(ranks, default=None)
+
+
+VALUES = ["1", "-7", "+3", "0421", "2147483648", "9" * 19, "9" * 25, "1.5", ".5", "5.", "1e5", "1,5", "x", "", "NA", "nan", "--1", "1.2.3", "e5", "Infinity", None]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(VALUES), st.sampled_from(VALUES), st.integers(0, 2)), min_size=1, max_size=25))
+def test_types_are_the_fold_of_their_values(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b string, ano int")
+    got = {(r.ano, r.coluna): (r.ordem, r.preenchidos) for r in infer.column_types(df, ["a", "b"], ["ano"]).collect()}
+    for at, name in enumerate("ab"):
+        for year in {r[2] for r in rows}:
+            values = [r[at] for r in rows if r[2] == year]
+            filled = [v for v in values if v is not None and v not in NULLS]
+            assert got[year, name] == (fold(values), len(filled))
+    merged = {r.coluna: r.ordem for r in infer.merged_types(infer.column_types(df, ["a", "b"], ["ano"])).collect()}
+    assert merged == {"a": fold([r[0] for r in rows]), "b": fold([r[1] for r in rows])}
+
+
+def test_sixteen_drifting_years(spark, tmp_path):
+    rng = random.Random(2)
+    columns, files, values = ["CO_IES", "QT", "NOTA", "NO_IES", "VAZIA", "ANTIGA"], {}, {}
+    pools = {"CO_IES": ["1", "57"], "QT": ["1", "", "3000000000"], "NOTA": ["1.5", "2", "NA"], "NO_IES": ["São", "12"], "VAZIA": ["", "nan"], "ANTIGA": ["7"]}
+    for year in range(2009, 2025):
+        names = [c for c in columns if c != "ANTIGA" or year < 2012]
+        rng.shuffle(names)
+        rows = [[rng.choice(pools[c][: 1 + (year > 2015) * 2]) for c in names] for _ in range(6)]
+        files[year] = str(write_text(tmp_path / f"{year}.csv", ";".join(names), *map(";".join, rows)))
+        for c, column in zip(names, zip(*rows)):
+            values.setdefault(c, []).extend(column)
+    frames, types = infer.read_inferred(spark, files)
+    expected = {c: infer.TYPES[fold(v)] if fold(v) is not None else "string" for c, v in values.items()}
+    assert expected["QT"] == "bigint" and expected["VAZIA"] == "string"
+    for year, df in frames.items():
+        found = {c: t for c, t in df.dtypes if not c.startswith("_")}
+        assert found == {c: t for c, t in expected.items() if c != "ANTIGA" or year < 2012}
+    assert types.count() == 16 * 5 + 3 and frames[2010].count() == 6
+    got = frames[2020].select("QT").toPandas()["QT"].dropna()
+    assert set(got) <= {1, 3000000000}
+
+
+def test_one_aggregate_for_all_columns(spark):
+    df = spark.createDataFrame([("1", "x", 1)], "a string, b string, ano int")
+    plan = infer.column_types(df, ["a", "b"], ["ano"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Expand" not in plan

@@ -6,7 +6,7 @@ from test_enade import ARQ1, ARQ3, student
 
 from aferir.plans import census, enade, indicators, integrity
 from aferir.sinks.refresh import write_gold
-from aferir.sources.tables import gold_path
+from aferir.sources.tables import gold_path, read_table
 
 CENSUS = (
     "NU_ANO_CENSO;CO_IES;NO_IES;SG_IES;SG_UF_IES;CO_MUNICIPIO_IES;NO_MUNICIPIO_IES;"
@@ -64,7 +64,7 @@ def test_report_passes_then_fails(spark, tmp_path):
         ("dim_ies", lambda d: d.where("co_ies = 1")),
         ("fact_cpc", lambda d: d.withColumn("nota_bruta_fg", F.col("nota_bruta_fg") + 5)),
     ):
-        before = spark.read.parquet(gold_path(root, table))
+        before = read_table(spark, gold_path(root, table))
         changed = change(spark.createDataFrame(before.collect(), before.schema))
         write_gold(changed, gold_path(root, table), ["co_ies"])
     report = {(r.tabela, r.check): r.ok for r in integrity.integrity_report(spark, root, [2018, 2019]).collect()}

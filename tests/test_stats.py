@@ -126,3 +126,23 @@ def test_hot_key_is_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    import random
+
+    rng = random.Random(8)
+    data = [(rng.choice([2019, 2020, 2021]), rng.choice([None, 0, -1, 5, 32768, 32769, 2**40, -(2**40), rng.randrange(100_000)]), rng.randrange(7), rng.choice(["a", "b", None])) for _ in range(3000)]
+    df = spark.createDataFrame(data, "ano int, a bigint, b int, t string").repartition(4)
+    yearly = stats.code_bitmaps(df, ["a", "b"], ["ano"])
+    got = {(r.ano, r.coluna): r.distintos for r in stats.bitmap_counts(yearly, ["ano"]).collect()}
+    for year in (2019, 2020, 2021):
+        assert got[year, "a"] == len({r[1] for r in data if r[0] == year} - {None})
+        assert got[year, "b"] == len({r[2] for r in data if r[0] == year})
+    # Years merge without the rows.
+    merged = {r.coluna: r.distintos for r in stats.bitmap_counts(yearly).collect()}
+    assert merged == {"a": len({r[1] for r in data} - {None}), "b": 7}
+    summary = stats.build_summary(df, {"x": "a", "y": "b", "z": "t"})
+    assert summary.select("x", "y", "z").first() == (merged["a"], 7, 2)
+    assert "Expand" not in summary._jdf.queryExecution().optimizedPlan().toString()
+    assert stats.build_summary(df.where("false"), {"x": "a"}).first().x == 0
