@@ -22,7 +22,8 @@ import math
 import re
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,10 @@ LETTER = re.compile(r"[^\W\d_]")
 REMEMBERED = 600_000
 #: No variants: each occurrence of a word is drawn on its own. A number is the most ways to cut a word.
 DROPOUT, SEED, VARIANTS = 0.1, 17, 0
-#: Words up to this length use the simpler agenda.
-SHORT = 48
+#: Words up to this length are cut side by side, so many at a time; longer ones one by one with a heap.
+SHORT, BLOCK = 48, 20_000
+#: Words remembered, and characters of the texts that are cut together.
+WORDS, UNIT_CHARS = 100_000, 1_500_000
 NEVER = 1 << 30
 #: Odd numbers that mix bits.
 STEP, PLACE, PIECE, SPREAD, MASK = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D, 0xFFFFFFFF
@@ -86,6 +89,7 @@ class Pieces:
         self.rank = {name: places[score] for name, score in scores.items()}
 
         self.chunk = chunks(self.rank)
+        self.agendas = Agendas(self)
 
     def spelled(self, symbol: str) -> list[int]:
         """Ids of the bytes of a symbol."""
@@ -185,6 +189,127 @@ class Pieces:
         return [symbol for symbol in symbols if symbol is not None]
 
 
+class Agendas:
+    """The agendas of many words side by side: a row of symbols for each, one turn of all words at a time.
+
+    Symbols are numbers: pieces and the characters of pieces; a character of no piece is its negative code
+    point. What two neighbours merge to, and its rank, is looked up in a table by open addressing.
+    """
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.pieces = pieces
+        names = list(dict.fromkeys([*pieces.rank, *sorted({c for piece in pieces.rank for c in piece})]))
+        self.names, number = names, {name: i for i, name in enumerate(names)}
+        self.size = len(names)
+        # Ids of pieces; a character that is no piece is written as bytes.
+        self.ids = np.array([pieces.id.get(name, -1) for name in names], np.int64)
+        self.of_character = -np.arange(0x110000, dtype=np.int32) - 1
+        for name in names:
+            if len(name) == 1:
+                self.of_character[ord(name)] = number[name]
+        merges = {}
+        for piece, rank in pieces.rank.items():
+            for cut in range(1, len(piece)):
+                left, right = number.get(piece[:cut]), number.get(piece[cut:])
+                if left is not None and right is not None:
+                    merges[left * self.size + right] = (rank, number[piece])
+        self.bits = max(4, (4 * len(merges)).bit_length())
+        self.keys = np.full((1 << self.bits) + 64, -1, np.int64)
+        self.rank, self.merged = np.full(len(self.keys), NEVER, np.int32), np.full(len(self.keys), -1, np.int32)
+        for key, (rank, into) in merges.items():
+            slot = ((key * STEP_64) & MASK_64) >> (64 - self.bits)
+            while self.keys[slot] >= 0:
+                slot += 1
+            self.keys[slot], self.rank[slot], self.merged[slot] = key, rank, into
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and number of what each pair merges to; NEVER where it does not."""
+        key = np.where((left >= 0) & (right >= 0), left.astype(np.int64) * self.size + right, -2).ravel()
+        slot = ((key.astype(np.uint64) * np.uint64(STEP_64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        found = self.keys[slot]
+        rows = np.flatnonzero((found != key) & (found >= 0))
+        while len(rows):
+            slot[rows] += 1
+            found = self.keys[slot[rows]]
+            rows = rows[(found != key[rows]) & (found >= 0)]
+        hit = self.keys[slot] == key
+        return (
+            np.where(hit, self.rank[slot], NEVER).reshape(left.shape),
+            np.where(hit, self.merged[slot], -1).reshape(left.shape),
+        )
+
+    def cut(self, words: list[str], gaps: np.ndarray, own: np.ndarray, draw: Callable) -> tuple[list[bytes], np.ndarray]:
+        """Ids of each word as bytes, and how many symbols it has; a gap below zero means no skip at all."""
+        out: list[bytes] = [b""] * len(words)
+        left = np.zeros(len(words), np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        # Words of like length together, so that short ones are not padded to the longest.
+        for rows in np.split(order, np.searchsorted(sizes[order], (5, 8, 11, 15, 22, 33))):
+            for block in (rows[i : i + BLOCK] for i in range(0, len(rows), BLOCK)):
+                self._block(block, [words[i] for i in block.tolist()], gaps[block], own[block], draw, out, left)
+        return out, left
+
+    def _block(self, rows, words, gaps, own, draw, out, left) -> None:
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(sizes.max()) + 1
+        places = np.arange(width)
+        symbols = np.full((len(words), width), -NEVER, np.int32)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols[places < sizes[:, None]] = self.of_character[codes]
+        ranks, merged = self.look_up(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            here = np.arange(len(rows))
+            going = ranks[here, at] < NEVER
+            if not going.all():
+                self._write(rows[~going], symbols[~going], sizes[~going], out, left)
+                rows, symbols, ranks, merged, sizes, gaps, own, at = (
+                    x[going] for x in (rows, symbols, ranks, merged, sizes, gaps, own, at)
+                )
+                here = np.arange(len(rows))
+                if not len(rows):
+                    break
+            skip = np.flatnonzero(gaps == 0)
+            take = np.flatnonzero(gaps != 0)
+            if len(skip):
+                ranks[skip, at[skip]] = NEVER
+                gaps[skip], own[skip] = draw(own[skip])
+            gaps[take] -= 1
+            # The pair becomes one symbol; what follows moves one place to the left.
+            spot = at[take]
+            whole = symbols[take]
+            into = merged[take, spot]
+            moved = places + (places > spot[:, None])
+            moved[:, -1] = width - 1
+            whole = np.take_along_axis(whole, moved, axis=1)
+            whole[:, -1] = -NEVER
+            line = here[: len(take)]
+            whole[line, spot] = into
+            symbols[take] = whole
+            ranks[take] = np.take_along_axis(ranks[take], np.minimum(moved[:, :-1], width - 2), axis=1)
+            merged[take] = np.take_along_axis(merged[take], np.minimum(moved[:, :-1], width - 2), axis=1)
+            sizes[take] -= 1
+            ranks[take, sizes[take] - 1] = NEVER
+            new_rank, new_into = self.look_up(into, whole[line, spot + 1])
+            ranks[take, spot], merged[take, spot] = new_rank, new_into
+            inner = np.flatnonzero(spot > 0)
+            new_rank, new_into = self.look_up(whole[inner, spot[inner] - 1], into[inner])
+            ranks[take[inner], spot[inner] - 1], merged[take[inner], spot[inner] - 1] = new_rank, new_into
+
+    def _write(self, rows, symbols, sizes, out, left) -> None:
+        left[rows] = sizes
+        filled = np.arange(symbols.shape[1]) < sizes[:, None]
+        ids = np.where(symbols >= 0, self.ids[np.maximum(symbols, 0)], -1)
+        odd = (filled & (ids < 0)).any(axis=1)
+        flat, ends = ids[filled & ~odd[:, None]].astype("<u2").tobytes(), np.cumsum(np.where(odd, 0, sizes)) * 2
+        for row, end, size in zip(rows[~odd].tolist(), ends[~odd].tolist(), sizes[~odd].tolist(), strict=True):
+            out[row] = flat[end - 2 * size : end]
+        for i in np.flatnonzero(odd).tolist():
+            found = [self.names[x] if x >= 0 else chr(-x - 1) for x in symbols[i, : sizes[i]].tolist()]
+            out[rows[i]] = self.pieces.numbers(found)
+
+
 class Segmenter(dict):
     """Ids of (variant, word) as bytes (unsigned 16-bit integers), kept for the life of a worker."""
 
@@ -193,59 +318,96 @@ class Segmenter(dict):
         self.pieces, self.dropout, self.seed, self.variants = Pieces(path), dropout, seed, variants
         # One memory per variant, so that a word is the only key to look up.
         self.memories = [Memory(self, variant) for variant in range(variants)]
-        self.whole, self.skipped = Skipped(self.pieces, REMEMBERED // 2), Skipped(self.pieces, REMEMBERED // 2)
+        self.whole: dict[str, tuple[bytes, int]] = {}
         self.scale = math.log1p(-dropout) if 0 < dropout < 1 else 0.0
 
     def ids(self, text: str, key: object) -> np.ndarray:
-        """Ids of a whole text; ``key`` (a document's id) chooses the variants."""
-        if not text:
-            return np.zeros(0, dtype="<u2")
-        marked = text.split(SPACE)
-        data = []
-        state, find = xxhash.xxh32_intdigest(repr(key), self.seed), self.pieces.chunk.findall
-        for place, part in enumerate(marked):
-            if place:
-                data.append(self.raw)
-            # A blank goes in front of the text, and is dropped again by decoding.
-            words = find((SPACE if place == 0 else "") + part.replace(" ", SPACE))
-            if not self.variants:
-                data += self.drawn(words, f"{place} {key!r}")
-                continue
-            if self.variants == 1:
-                data += map(self.memories[0].__getitem__, words)
-                continue
-            picks = ((np.arange(len(words), dtype=np.uint64) + np.uint64(state)) * np.uint64(STEP) >> np.uint64(16)) % np.uint64(
-                self.variants
-            )
-            data += [self.memories[pick][word] for pick, word in zip(picks.tolist(), words, strict=True)]
-        return np.frombuffer(b"".join(data), dtype="<u2")
-
-    def gap(self, uniform: float) -> int:
-        """Candidates taken before the next skipped one."""
-        return int(math.log(uniform) / self.scale) if self.scale else 0
-
-    def drawn(self, words: list[str], key: str) -> Iterator[bytes]:
-        """Ids of each word, with skips of its own."""
+        """Ids of a whole text; ``key`` (a document's id) chooses the skips."""
+        return next(self.ids_of([text], [key]))
+
+    def ids_of(self, texts: Sequence[str], keys: Sequence[object]) -> Iterator[np.ndarray]:
+        """Ids of many texts, in units of about UNIT_CHARS characters that are cut together."""
+        begun, size = 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= UNIT_CHARS or i == len(texts) - 1:
+                yield from self._unit(texts[begun : i + 1], keys[begun : i + 1])
+                begun, size = i + 1, 0
+
+    def _unit(self, texts: Sequence[str], keys: Sequence[object]) -> Iterator[np.ndarray]:
+        find = self.pieces.chunk.findall
+        # A blank goes in front of each text, and is dropped again by decoding.
+        split = [
+            [find((SPACE if place == 0 else "") + part.replace(" ", SPACE)) for place, part in enumerate(text.split(SPACE))]
+            if text else []
+            for text in texts
+        ]
+        if self.variants:
+            data = [b for parts, key in zip(split, keys, strict=True) for b in self._by_variant(parts, key)]
+        else:
+            words = [word for parts in split for part in parts for word in part]
+            states = [self.draws(f"{place} {key!r}", len(part)) for parts, key in zip(split, keys, strict=True) for place, part in enumerate(parts)]
+            data = self.drawn(words, np.concatenate(states) if states else np.zeros(0, np.uint64))
+        at = 0
+        for parts in split:
+            found = []
+            for place, part in enumerate(parts):
+                found += [self.raw] if place else []
+                found += data[at : at + len(part)]
+                at += len(part)
+            yield np.frombuffer(b"".join(found), dtype="<u2")
+
+    def _by_variant(self, parts: list[list[str]], key: object) -> Iterator[bytes]:
+        """The same with one of a few variants for each occurrence."""
+        state = xxhash.xxh32_intdigest(repr(key), self.seed)
+        for words in parts:
+            mixed = (np.arange(len(words), dtype=np.uint64) + np.uint64(state)) * np.uint64(STEP) >> np.uint64(16)
+            for pick, word in zip((mixed % np.uint64(self.variants)).tolist(), words, strict=True):
+                yield self.memories[pick][word]
+
+    def gaps(self, bits: np.ndarray) -> np.ndarray:
+        """Candidates taken before the next skipped one: geometric, from 53 hashed bits."""
+        if not self.scale:
+            return np.full(len(bits), 0 if self.dropout >= 1 else NEVER << 20, np.int64)
+        uniform = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        return (np.log(uniform) / self.scale).astype(np.int64)
+
+    def draws(self, key: str, n: int) -> np.ndarray:
+        """A number of its own for each of the n words of a part of a document."""
         state = xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), self.seed)
-        mixed = (np.arange(1, len(words) + 1, dtype=np.uint64) * np.uint64(STEP_64)) ^ np.uint64(state)
+        mixed = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP_64)) ^ np.uint64(state)
         for _ in range(2):
             mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(MIX_64)
-        mixed ^= mixed >> np.uint64(32)
-        uniform = ((mixed >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-        gaps = (np.log(uniform) / self.scale if self.scale else np.zeros(len(words))).astype(np.int64)
-        for word, gap, own in zip(words, gaps.tolist(), mixed.tolist(), strict=True):
-            if len(word) > SHORT:
-                yield self.pieces.numbers(self.pieces.cut(word, self.dropout, own & MASK))
-                continue
-            ids, turns = self.whole[word, ()]
-            skips: tuple[int, ...] = ()
-            while gap < turns:
-                skips += (gap,)
-                ids, turns = self.skipped[word, skips]
-                own = (own * MIX_64 + STEP_64) & MASK_64
-                own ^= own >> 32
-                gap += 1 + self.gap(((own * MIX_64 & MASK_64) >> 11) * 2.0**-53 + 2.0**-54)
-            yield ids
+        return mixed ^ (mixed >> np.uint64(32))
+
+    def draw(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates up to the next skip, and the numbers that the ones after are drawn from."""
+        own = own * np.uint64(MIX_64) + np.uint64(STEP_64)
+        own = own ^ (own >> np.uint64(32))
+        return self.gaps(own * np.uint64(MIX_64)), own
+
+    def drawn(self, words: list[str], own: np.ndarray) -> list[bytes]:
+        """Ids of each word, with skips of its own, drawn from its number."""
+        known = self.whole
+        fresh = [word for word in dict.fromkeys(words) if word not in known and len(word) <= SHORT]
+        found, left = self.pieces.agendas.cut(fresh, np.full(len(fresh), -1), np.zeros(len(fresh), np.uint64), self.draw)
+        # Without skips every candidate of the agenda is a merge.
+        known.update(zip(fresh, zip(found, (np.fromiter(map(len, fresh), np.int64, len(fresh)) - left).tolist(), strict=True), strict=True))
+        known.update(dict.fromkeys({word for word in words if len(word) > SHORT}, (b"", NEVER << 20)))
+        found = [*map(known.__getitem__, words)]
+        data, turns = [*map(itemgetter(0), found)], np.fromiter(map(itemgetter(1), found), np.int64, len(found))
+        gaps = self.gaps(own)
+        # Only these occurrences have a skip among their candidates.
+        long = turns >= NEVER
+        rows = np.flatnonzero((gaps < turns) & ~long)
+        again, _ = self.pieces.agendas.cut([words[i] for i in rows.tolist()], gaps[rows], own[rows], self.draw)
+        for row, ids in zip(rows.tolist(), again, strict=True):
+            data[row] = ids
+        for row in np.flatnonzero(long).tolist():
+            data[row] = self.pieces.numbers(self.pieces.cut(words[row], self.dropout, int(own[row]) & MASK))
+        if len(known) > WORDS:
+            self.whole = {word: known[word] for word in words[-WORDS:] if len(word) <= SHORT}
+        return data
 
     @property
     def raw(self) -> bytes:
@@ -257,18 +419,6 @@ class Segmenter(dict):
         return b"".join([data[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
 
 
-class Skipped(Remembered):
-    """Ids and turns of (word, skips)."""
-
-    def __init__(self, pieces: Pieces, size: int) -> None:
-        super().__init__(size)
-        self.pieces = pieces
-
-    def make(self, word: tuple[str, tuple[int, ...]]) -> tuple[bytes, int]:
-        symbols, turns = self.pieces.skipping(*word)
-        return self.pieces.numbers(symbols), turns
-
-
 class Memory(Remembered):
     """Ids of the words of one variant."""
 
@@ -299,7 +449,7 @@ def encode_texts(
     @F.pandas_udf("array<int>")
     def encode(keys: pd.Series, texts: pd.Series) -> pd.Series:
         segment = segmenter(path, dropout, seed, variants)
-        found = [segment.ids(t, k) for k, t in zip(keys, texts, strict=True)]
+        found = list(segment.ids_of(texts.tolist(), keys.tolist()))
         if any((segment.text(ids) if len(ids) else "") != t for ids, t in zip(found, texts, strict=True)):
             raise ValueError("pieces do not decode to their text")
         return pd.Series([ids.astype(np.int32) for ids in found])
@@ -331,8 +481,8 @@ def segmentation_report(
         varied = segmenter(path, dropout, seed, variants)
         for batch in batches:
             rows = []
-            for doc, key, source in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
-                ids = varied.ids(source, key)
+            found = varied.ids_of(batch["text"].tolist(), batch["key"].tolist())
+            for doc, source, ids in zip(batch["doc_id"], batch["text"], found, strict=True):
                 lossless = varied.text(ids) == source
                 crc = zlib.crc32(ids.astype("<u4").tobytes())
                 rows.append((doc, len(source), len(ids), crc, lossless))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -66,8 +67,8 @@ def test_every_occurrence_is_drawn_on_its_own():
     segment = md.segmenter(PATH)
     word = "▁international"
     assert segment.pieces.skipping(word, ())[0] == segment.pieces._short(word, 0, 0)
-    found = [bytes(ids) for ids in segment.drawn([word] * 20_000, "doc")]
-    whole = segment.whole[word, ()][0]
+    found = segment.drawn([word] * 20_000, segment.draws("doc", 20_000))
+    whole = segment.whole[word][0]
     assert len(set(found)) > 4
     # Several ways lead to one piece; each candidate skipped by a coin of its own gives the same share.
     rng = random.Random(3)
@@ -75,5 +76,42 @@ def test_every_occurrence_is_drawn_on_its_own():
     expected = sum(segment.pieces.numbers(segment.pieces.skipping(word, skips)[0]) == whole for skips in coins) / 20_000
     assert abs(found.count(whole) / len(found) - expected) < 0.02
     one = next(w for w in ("▁of", "▁in", "▁to", "▁a") if segment.pieces.skipping(w, ())[1] == 1)
-    share = sum(bytes(ids) != segment.whole[one, ()][0] for ids in segment.drawn([one] * 20_000, "doc")) / 20_000
+    again = segment.drawn([one] * 20_000, segment.draws("doc", 20_000))
+    share = sum(ids != segment.whole[one][0] for ids in again) / 20_000
     assert 0.09 < share < 0.11
+
+
+def test_many_words_at_once_are_what_one_word_is():
+    """Each word again by definition: the agenda is run anew for every further skip that is drawn."""
+    segment = md.segmenter(PATH)
+    words = ["▁" + w for w in prose(11, 3000).split()] + ["▁de", "▁internationalisation", "日本x", "▁", "é", "q" * 60] * 200
+    own = segment.draws("doc", len(words))
+    expected = []
+    for word, state, gap in zip(words, own.tolist(), segment.gaps(own).tolist()):
+        if len(word) > md.SHORT:
+            expected.append(segment.pieces.numbers(segment.pieces.cut(word, segment.dropout, state & md.MASK)))
+            continue
+        skips, state = (), np.array([state], np.uint64)
+        symbols, turns = segment.pieces.skipping(word, ())
+        while gap < turns:
+            skips += (gap,)
+            symbols, turns = segment.pieces.skipping(word, skips)
+            further, state = segment.draw(state)
+            gap += 1 + int(further[0])
+        expected.append(segment.pieces.numbers(symbols))
+    assert segment.drawn(words, own) == expected
+
+
+def test_units_and_memory_change_nothing(monkeypatch):
+    texts = [prose(i, 30) + " ▁ x" for i in range(12)] + [""]
+    whole = [ids.tolist() for ids in md.Segmenter(PATH, 0.1, 3, 0).ids_of(texts, range(13))]
+    monkeypatch.setattr(md, "UNIT_CHARS", 200)
+    monkeypatch.setattr(md, "WORDS", 20)
+    monkeypatch.setattr(md, "BLOCK", 7)
+    assert [ids.tolist() for ids in md.Segmenter(PATH, 0.1, 3, 0).ids_of(texts, range(13))] == whole
+
+
+def test_rates_of_nothing_and_everything():
+    text = prose(5, 60)
+    assert md.Segmenter(PATH, 0.0, 1, 0).ids(text, "k").tolist() == SentencePieceProcessor(model_file=PATH).encode(text)
+    assert len(md.Segmenter(PATH, 1.0, 1, 0).ids(text, "k")) == len(text) + 1
