@@ -39,9 +39,9 @@ REMEMBERED = 600_000
 #: No variants: each occurrence of a word is drawn on its own. A number is the most ways to cut a word.
 DROPOUT, SEED, VARIANTS = 0.1, 17, 0
 #: Words up to this length are cut side by side, so many at a time; longer ones one by one with a heap.
-SHORT, BLOCK = 48, 20_000
+SHORT, BLOCK = 48, 6_000
 #: Words remembered, and characters of the texts that are cut together.
-WORDS, UNIT_CHARS = 100_000, 1_500_000
+WORDS, UNIT_CHARS = 400_000, 1_500_000
 NEVER = 1 << 30
 #: Odd numbers that mix bits.
 STEP, PLACE, PIECE, SPREAD, MASK = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D, 0xFFFFFFFF
