@@ -18,6 +18,7 @@ an empty table gives files without blocks; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ END_ID = 1
 BLOCK_IDS = 1 << 18
 #: Signs that may close a word.
 CLOSING = tuple(".,;:!?")
+#: Letters that the tokenizer neither changes nor cuts, and the sign of each byte that is not its own sign.
+LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class Encoder(Remembered):
@@ -45,21 +49,26 @@ class Encoder(Remembered):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
 
     def make(self, word: str) -> bytes:
         """Ids of a word, by way of its lower case and its part before a closing sign if it is plain.
 
         The tokenizer lowers case and cuts between letters and signs itself; characters up to U+00FF
-        are the same in its normal form, and letters a to z are their own bytes to the model.
+        are the same in its normal form. The model takes letters as the signs of their bytes.
         """
         if max(word, default="") < "\u0100" and "<|" not in word:
-            if (low := word.lower()) != word:
-                return self[low]
-            if word[-1:] in CLOSING and word[-2:-1].isalnum():
-                return self[word[:-1]] + self[word[-1]]
-            if word.isascii() and word.isalpha():
-                return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+            low = word.lower()
+            closed = low[-1:] in CLOSING and low[-2:-1].isalnum()
+            base = low[:-1] if closed else low
+            if base != word:
+                found = self.get(base)
+                if found is None:
+                    found = self[base]
+                return found + self[low[-1]] if closed else found
+            if LETTERS.fullmatch(word):
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+                return array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
