@@ -1,8 +1,7 @@
 """Token ids in files: frequency-ranked, with one to four bytes an id and separate control bytes.
 
 Ids are replaced by their rank in the whole corpus (most frequent first), so common ids take one byte.
-Texts are tokenized once and kept in the same coding
-by their own ids until the ranks are known; then they are spread by ranges of doc_id and written in that order as blocks: the doc ids, the number
+Texts are tokenized once and their ids kept as they are until the ranks are known; then they are spread by ranges of doc_id and written in that order as blocks: the doc ids, the number
 of ids of each document, the control bytes (two bits an id, four ids a byte) and the data bytes. A block
 is a row of a Parquet table; the ranks are a table beside it. Reading expands control bytes by a table
 of 256 rows in numpy.
@@ -121,24 +120,27 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 # --- writing and reading -----------------------------------------------------------------------
 
 
-ENCODED = "doc_id long, tie long, n long, control binary, data binary"
+ENCODED = "doc_id long, tie long, n long, data binary"
+
+
+def id_type(size: int) -> str:
+    """How ids are kept until their ranks are known: two bytes where the vocabulary allows."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """The ids of every document as the tokenizer numbers them: each text is tokenized once."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode, kind = encoder(path), id_type(vocabulary_size(path))
         for batch in batches:
             found = [encode.ids(source) for source in batch["text"]]
-            coded = [pack(ids) for ids in found]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
                     "tie": batch["tie"],
                     "n": [len(ids) for ids in found],
-                    "control": [control for control, _ in coded],
-                    "data": [data for _, data in coded],
+                    "data": [ids.astype(kind).tobytes() for ids in found],
                 }
             )
 
@@ -153,12 +155,14 @@ def frequencies(rows: DataFrame, size: int) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            found = [unpack(c, d, n) for c, d, n in zip(batch["control"], batch["data"], batch["n"], strict=True)]
-            total += np.bincount(np.concatenate(found), minlength=size)
+            for data in batch["data"]:
+                total += np.bincount(np.frombuffer(data, id_type(size)), minlength=size) if len(data) > size else 0
+            short = b"".join(data for data in batch["data"] if len(data) <= size)
+            total += np.bincount(np.frombuffer(short, id_type(size)), minlength=size)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "n": total[seen]})
 
-    counted = rows.select("n", "control", "data").mapInPandas(count, "id int, n long")
+    counted = rows.select("data").mapInPandas(count, "id int, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -177,6 +181,8 @@ def write_blocks(docs: DataFrame, path: str, text: str = "text") -> tuple[DataFr
     ranks = np.empty(size, dtype="<u4")
     ranks[ids] = np.arange(size, dtype="<u4")
 
+    kind = id_type(size)
+
     def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()
         number, first, doc_ids, parts, waiting = 0, 0, [], [], 0
@@ -190,13 +196,12 @@ def write_blocks(docs: DataFrame, path: str, text: str = "text") -> tuple[DataFr
             )
 
         for batch in batches:
-            columns = (batch[name] for name in ("doc_id", "n", "control", "data"))
-            for doc, n, control, data in zip(*columns, strict=True):
+            for doc, n, data in zip(batch["doc_id"], batch["n"], batch["data"], strict=True):
                 if waiting and waiting + n > BLOCK_IDS:
                     yield row()
                     number, first, doc_ids, parts, waiting = number + 1, first + waiting, [], [], 0
                 doc_ids.append(None if pd.isna(doc) else int(doc))
-                parts.append(unpack(control, data, n))
+                parts.append(np.frombuffer(data, kind))
                 waiting += n
         if waiting:
             yield row()
