@@ -3,6 +3,7 @@ import importlib
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from helpers import prose
 
 from aferir.llm import chat, merge_dropout, order_minhash, pii, qgram
 from aferir.llm.queries import QUERIES
@@ -12,7 +13,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     entry = importlib.import_module("__spark_entry__")
     assert {"pipeline", *QUERIES} <= set(entry.queries())
 
@@ -73,3 +74,22 @@ def test_masking_and_encoding_take_effect(stages):
 def test_chat_query_has_the_hostile_conversation(spark):
     row = QUERIES["op2_chat_round_trip"](spark, FOLDER).where("conv_id = -1").first()
     assert (row["n_turns"], row["loss_chars"]) == (2, 21) and chat.escape("</s>") != "</s>"
+
+
+def test_odd_and_empty_tables(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, repeated rows; then tables without rows."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [
+        (1, prose(1, 90), "en", "a", 0), (1, prose(2, 90), "en", "a", 0), (2, prose(3, 90), None, None, None), (2, prose(3, 90), None, None, None),
+        (None, prose(4, 90), "fr", "b", 1), (None, prose(5, 90), "fr", "b", 1), (3, None, "en", "a", 0), (4, "", "en", "a", 0),
+    ]
+    for name, docs in (("odd", rows), ("empty", [])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
+        items = [(1, None), (None, prose(9, 40))] if docs else []
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{folder}/labels.parquet")
+        found = corpus_pipeline.run(spark, folder).collect()
+        # Short and empty texts fail the quality rules; equal rows are one class; the others stay.
+        assert sorted((r["doc_id"] or 0) for r in found) == ([0, 0, 1, 1, 2] if docs else [])
+        assert all(len(r["pieces"]) > 90 for r in found)
