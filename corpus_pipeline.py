@@ -2,6 +2,10 @@
 
 Every stage works on whatever its predecessor kept, and all but the last return the columns of
 ``documents``. A document that a stage rejects is gone for the next one.
+
+Edge cases: null and empty texts fail the quality rules; rows with a null or repeated id are documents of
+their own, of equal rows one stays; null benchmark items match nothing; without labels only the base rules
+reject; empty tables give no rows.
 """
 
 from __future__ import annotations
