@@ -11,8 +11,8 @@ checked for it), so words are segmented on their own and remembered.
 A blank is written as U+2581 with one in front of the text; U+2581 itself and characters that are no
 piece are written as bytes, so decoding is lossless for every text.
 
-Edge cases: a null or empty text has no pieces; repeated rows with one key give the same pieces; other
-columns are ignored; lone surrogates cannot occur in a table of UTF-8 text.
+Edge cases: a null or empty text has no pieces; of candidates with equal scores the leftmost comes first;
+repeated rows with one key give the same pieces; other columns are ignored; lone surrogates cannot occur in a table of UTF-8 text.
 """
 
 from __future__ import annotations

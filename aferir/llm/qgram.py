@@ -11,7 +11,7 @@ documents, which stay where they are.
 
 Edge cases: null texts and items are empty and match nothing; an item shorter than q is looked for as it
 is; letters are compared in lower case; repeated documents are judged alike, repeated items count as
-items of their own; an empty benchmark matches nothing; other columns are ignored, or kept by
+items of their own; of alignments with equally few edits the first counts; an empty benchmark matches nothing; other columns are ignored, or kept by
 ``without_leaks``.
 """
 
@@ -36,7 +36,7 @@ SEGMENT, STRIDE = 96, 48
 PART, STEP = 64, 8
 #: One edit in so many characters is allowed.
 CHARS_PER_EDIT = 12
-BLOCK_CHARS = 20_000_000
+BLOCK_CHARS = 2_000_000
 BITS = 24
 MIX, BASE = 0x9E3779B97F4A7C15, 0x100000001B3
 
