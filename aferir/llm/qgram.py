@@ -36,7 +36,9 @@ SEGMENT, STRIDE = 96, 48
 PART, STEP = 64, 8
 #: One edit in so many characters is allowed.
 CHARS_PER_EDIT = 12
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 4_000_000
+#: Postings that are looked at together.
+WINDOW_POSTINGS = 2_000_000
 BITS = 24
 MIX, BASE = 0x9E3779B97F4A7C15, 0x100000001B3
 
@@ -75,37 +77,47 @@ def segments(m: int) -> list[tuple[int, int]]:
 
 
 class Index:
-    """The q-grams of the segments of a block of items."""
+    """The q-grams of a block of items: each is posted once with its item and its place there.
+
+    Segments are ranges of places: a segment and its item meet a text on the same diagonals.
+    """
 
     def __init__(self, items: list[tuple[int | None, str]]) -> None:
-        self.owner, self.texts, self.starts, hashes, places = [], [], [], [], []
+        self.owner, self.texts, self.parts = [], [], []
         self.tiny: list[tuple[int | None, str]] = []
+        hashes = []
         for item, text in items:
             text = lower(text)
             if 0 < len(text) < Q:
                 self.tiny.append((item, text))
             if len(text) < Q:
                 continue
-            for start, end in segments(len(text)):
-                part = text[start:end]
-                grams = gram_hashes(codes(part))
-                hashes.append(grams)
-                places.append(np.stack([np.full(len(grams), len(self.texts)), np.arange(len(grams))]))
-                self.owner.append(item)
-                self.texts.append(part)
-                self.starts.append(start)
-        self.size = np.array([len(text) for text in self.texts], dtype=np.int64)
-        self.edits = np.array([budget(len(text)) for text in self.texts], dtype=np.int64)
-        self.least = np.array([needed(len(text)) for text in self.texts], dtype=np.int64)
+            hashes.append(gram_hashes(codes(text)))
+            self.owner.append(item)
+            self.texts.append(text)
+            cuts = np.array(segments(len(text)), dtype=np.int32)
+            sizes = (cuts[:, 1] - cuts[:, 0]).tolist()
+            numbers = [(budget(m), needed(m)) for m in sizes]
+            self.parts.append(np.concatenate([cuts, np.array(numbers, dtype=np.int32)], axis=1))
         if not self.texts:
             return
-        hashes, places = np.concatenate(hashes), np.concatenate(places, axis=1)
+        #: Width of a band, and the q-grams asked for at least, by item.
+        self.step = np.array([2 * int(parts[:, 2].max()) + 1 for parts in self.parts], dtype=np.int64)
+        self.least = np.array([parts[:, 3].min() for parts in self.parts], dtype=np.int64)
+        self.span = max(map(len, self.texts))
+        sizes = [len(grams) for grams in hashes]
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+        hashes = np.concatenate(hashes)
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.segment, self.place = hashes[order], places[0][order], places[1][order]
+        self.item, self.place, hashes = owner[order], place[order], hashes[order]
+        # Postings of the n-th different hash are first[n] to first[n + 1].
+        begins = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        self.hashes, self.first = hashes[begins], np.append(begins, len(hashes))
         self.known = np.zeros(1 << BITS, dtype=bool)
         self.known[(self.hashes >> np.uint64(64 - BITS)).astype(np.int64)] = True
-        self.reach = int((self.size + self.edits).max()) - Q + 1
-        self.fewest = int(self.least.min())
+        longest = max(int((parts[:, 1] - parts[:, 0] + parts[:, 2]).max()) for parts in self.parts)
+        self.reach, self.fewest = longest - Q + 1, int(self.least.min())
 
     def matches(self, source: str) -> list[tuple[int | None, int, int, int]]:
         """Item, start, end and edits of each segment found in a text."""
@@ -118,52 +130,91 @@ class Index:
         if not self.texts or len(text) < Q:
             return found
         grams = gram_hashes(codes(text))
-        flags = self.known[(grams >> np.uint64(64 - BITS)).astype(np.int64)]
-        sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-        stretch = sums[self.reach :] - sums[: -self.reach] if len(sums) > self.reach else sums[-1:]
-        if stretch.max() < self.fewest:
+        at = np.flatnonzero(self.known[(grams >> np.uint64(64 - BITS)).astype(np.int64)])
+        at = at[self.crowded(at)]
+        if not len(at):
             return found
-        # Only stretches with enough flags are looked up.
-        dense = np.flatnonzero(stretch >= self.fewest)
-        cover = np.zeros(len(flags) + 1, dtype=np.int64)
-        np.add.at(cover, dense, 1)
-        np.add.at(cover, np.minimum(dense + self.reach, len(flags)), -1)
-        at = np.flatnonzero(flags & (np.cumsum(cover[:-1]) > 0))
-        low = np.searchsorted(self.hashes, grams[at], side="left")
-        n = np.searchsorted(self.hashes, grams[at], side="right") - low
-        hit = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        segment, place, at = self.segment[hit], self.place[hit], np.repeat(at, n)
-        return found + [match for match in map(lambda c: self.verified(text, *c), self.bands(segment, place, at)) if match]
-
-    def bands(self, segment: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-        """Segments and bands of diagonals that share as many q-grams as the lemma asks for."""
-        if not len(segment):
-            return []
-        step = 2 * self.edits[segment] + 1
-        band = (at - place) // step
-        # Each diagonal belongs to two bands; bands are numbered by their first step.
-        segment, band, place = np.tile(segment, 2), np.concatenate([band, band - 1]), np.tile(place, 2)
-        lowest = band.min()
+        entry = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
+        real = self.hashes[entry] == grams[at]
+        at, entry = at[real], entry[real]
+        near = self.crowded(at)
+        at, entry = at[near], entry[near]
+        for window in self.windows(at, self.first[entry + 1] - self.first[entry]):
+            for item, band in self.bands(at[window], entry[window]):
+                found += self.verified(text, item, *band)
+        return found
+
+    def crowded(self, at: np.ndarray) -> np.ndarray:
+        """Which places lie in a stretch as long as the longest segment that holds enough of them."""
+        spare = self.fewest - 1
+        if len(at) <= spare:
+            return np.zeros(len(at), dtype=bool)
+        dense = at[spare:] - at[: len(at) - spare] < self.reach
+        cover = np.zeros(len(at) + 1, dtype=np.int64)
+        cover[: len(dense)] += dense
+        cover[spare + 1 :] -= dense
+        return np.cumsum(cover[:-1]) > 0
+
+    def windows(self, at: np.ndarray, postings: np.ndarray) -> Iterator[slice]:
+        """Stretches of a text with a bounded number of postings; what a segment can reach is whole in one of them."""
+        total = np.concatenate([[0], np.cumsum(postings)])
+        waiting = [(0, len(at))]
+        while waiting:
+            low, high = waiting.pop()
+            if low >= high:
+                continue
+            length = int(at[high - 1] - at[low]) + 1
+            if total[high] - total[low] <= WINDOW_POSTINGS or length <= 4 * self.reach:
+                yield slice(low, high)
+                continue
+            middle = int(at[low]) + length // 2
+            waiting.append((low, int(np.searchsorted(at, middle + self.reach))))
+            waiting.append((int(np.searchsorted(at, middle)), high))
+
+    def bands(self, at: np.ndarray, entry: np.ndarray) -> Iterator[tuple[int, tuple[int, int, np.ndarray]]]:
+        """Items, bands of diagonals (low, high) and the segments that share enough q-grams there."""
+        low, n = self.first[entry], self.first[entry + 1] - self.first[entry]
+        if not len(n):
+            return
+        hit = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        item, place = self.item[hit].astype(np.int64), self.place[hit].astype(np.int64)
+        band = (np.repeat(at, n) - place) // self.step[item]
+        lowest = int(band.min())
         band -= lowest
-        width = int(band.max()) + 1
-        cell = np.unique((segment * width + band) * SEGMENT + place) // SEGMENT
-        cell, shared = np.unique(cell, return_counts=True)
-        good = shared >= self.least[cell // width]
-        return [(int(c // width), int(c % width + lowest)) for c in cell[good]]
-
-    def verified(self, text: str, segment: int, band: int) -> tuple[int | None, int, int, int] | None:
-        part, edits = self.texts[segment], int(self.edits[segment])
-        low, high = band * (2 * edits + 1), (band + 2) * (2 * edits + 1)
-        start = max(0, low - edits)
-        region = text[start : max(0, high + len(part) + edits)]
-        exact = region.find(part)
-        if exact >= 0:
-            return self.owner[segment], start + exact, start + exact + len(part), 0
-        best = align(codes(part), codes(region), low - edits - start, high + edits - start)
-        if best is None or best[0] > edits:
-            return None
-        distance, end = best
-        return self.owner[segment], max(0, start + end - len(part)), start + end, distance
+        width = int(band.max()) + 2
+        keys = (item * width + band) * self.span + place
+        keys.sort()
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+        cell = keys // self.span
+        begins = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        cells, ends = cell[begins], np.append(begins[1:], len(cell))
+        # A band is two steps wide, so that it holds all diagonals of a segment wherever they begin.
+        follows = np.append(cells[1:] == cells[:-1] + 1, False)
+        ends = np.where(follows, np.append(ends[1:], len(cell)), ends)
+        for c in np.flatnonzero(ends - begins >= self.least[cells // width]).tolist():
+            number = int(cells[c] // width)
+            parts, step = self.parts[number], int(self.step[number])
+            places = np.unique(keys[begins[c] : ends[c]] % self.span)
+            shared = np.searchsorted(places, parts[:, 1] - Q + 1) - np.searchsorted(places, parts[:, 0])
+            good = parts[shared >= parts[:, 3]]
+            if len(good):
+                diagonal = (int(cells[c] % width) + lowest) * step
+                yield number, (diagonal, diagonal + 2 * step, good)
+
+    def verified(self, text: str, item: int, low: int, high: int, parts: np.ndarray) -> Iterator[tuple[int | None, int, int, int]]:
+        """The segments that align with the text inside the band within their edits."""
+        for begin, end, edits, _ in parts.tolist():
+            part = self.texts[item][begin:end]
+            # A segment's own diagonals are its item's, moved by its start.
+            start = max(0, low + begin - edits)
+            region = text[start : max(0, high + end + edits)]
+            exact = region.find(part)
+            if exact >= 0:
+                yield self.owner[item], start + exact, start + exact + len(part), 0
+                continue
+            best = align(codes(part), codes(region), low + begin - edits - start, high + begin + edits - start)
+            if best is not None and best[0] <= edits:
+                yield self.owner[item], max(0, start + best[1] - len(part)), start + best[1], best[0]
 
 
 def align(part: np.ndarray, region: np.ndarray, low: int, high: int) -> tuple[int, int] | None:

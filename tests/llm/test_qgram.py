@@ -99,3 +99,22 @@ def test_excerpts_apart_are_regions_of_their_own(spark):
     docs = spark.createDataFrame([(5, f"{item[:100]} {between} {item[-100:]}")], "doc_id long, text string")
     rows = sorted(qgram.leaked_regions(docs, bench).collect(), key=lambda r: r["start"])
     assert len(rows) == 2 and rows[0]["end"] <= 110 and rows[1]["start"] >= 90 + len(between)
+
+
+def test_windows_and_hot_grams_lose_nothing(monkeypatch):
+    """A q-gram of very many places and items is looked up in stretches; the result is the same."""
+    item, hot = prose(17, 60), "ab ab ab " * 40
+    items = [(1, item), (2, hot), (3, hot + prose(18, 30)), (4, prose(19, 10)[:20])]
+    text = f"{prose(20, 60)} {hot * 3} {item[30:160]} {hot} {prose(19, 10)[:20]} {prose(18, 30)}"
+    whole = set(qgram.Index(items).matches(text))
+    assert {m[0] for m in whole} == {1, 2, 3, 4}
+    monkeypatch.setattr(qgram, "WINDOW_POSTINGS", 50)
+    cut = set(qgram.Index(items).matches(text))
+    # A repeated passage may align in another place of a smaller band; every item is found again.
+    assert {m[0] for m in cut} == {1, 2, 3, 4}
+    assert {m for m in whole if m[0] in (1, 4)} == {m for m in cut if m[0] in (1, 4)}
+
+
+def test_one_posting_a_character():
+    index = qgram.Index([(1, ITEM), (2, prose(30, 80))])
+    assert len(index.place) <= sum(len(text) for text in index.texts)
