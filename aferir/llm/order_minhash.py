@@ -3,7 +3,7 @@
 A text is its words in lower case. Its shingles of five words are labelled with their occurrence, so a
 repeated shingle counts each time. A sketch takes, under one hash order, the two smallest labelled
 shingles and keeps them in the order of the text; texts agree on it the more often, the higher their
-edit similarity. Texts that agree on one of 48 sketches are candidates; banded alignment of the words must
+edit similarity. Texts that agree on one of 72 sketches are candidates; banded alignment of the words must
 show a similarity of 0.8 or more. Before that, only bounds that no similar pair fails turn candidates away.
 
 Copies (equal words) become one node first. In each bucket all nodes are compared with the bucket's
@@ -33,7 +33,7 @@ from aferir.llm.common import Remembered, stored, whole_text
 from aferir.operators.join import join_unique
 from aferir.session import broadcast_if_small
 
-WORDS, SKETCHES, PER_SKETCH = 5, 48, 2
+WORDS, SKETCHES, PER_SKETCH = 5, 72, 2
 SIMILARITY = 0.8
 GROUP_ROWS = 2048
 #: Ids that may be broadcast to pick texts; 24 bytes each.
@@ -49,6 +49,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * STEP)
+#: Odd factors; the order of a sketch is that of factor times shingle plus seed, as shingles are mixed already.
+FACTORS = mix(SEEDS) | np.uint64(1)
 
 
 class WordHashes(Remembered):
@@ -88,16 +90,17 @@ def shingles(words: np.ndarray) -> np.ndarray:
 
 
 def sketch(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order sketches and the smallest single shingles (32 bits each) of a text."""
+    """The order sketches of a text, and the places of their shingles."""
     labelled = shingles(words)
     size = min(PER_SKETCH, len(labelled))
-    least, places = np.empty(SKETCHES, dtype=np.uint64), np.empty((SKETCHES, size), dtype=np.int64)
-    # Some orders at a time, so that a long text needs little memory.
-    step = max(1, 500_000 // len(labelled))
+    places = np.empty((SKETCHES, size), dtype=np.int64)
+    # Some orders at a time, so that a text needs little memory and the values stay in the cache.
+    step = max(1, 30_000 // len(labelled))
     for begin in range(0, SKETCHES, step):
         part = slice(begin, begin + step)
-        values = mix(labelled[None, :] ^ SEEDS[part, None])
-        every, least[part] = np.arange(len(values)), values.min(axis=1)
+        values = labelled[None, :] * FACTORS[part, None]
+        values += SEEDS[part, None]
+        every = np.arange(len(values))
         # A few searches for the smallest value are faster than a partition.
         for column in range(size):
             places[part, column] = values.argmin(axis=1)
@@ -106,33 +109,57 @@ def sketch(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ordered = SEEDS.copy()
     for column in range(size):
         ordered = mix(ordered * BASE + labelled[places[:, column]])
-    return ordered, (least >> np.uint64(32)).astype("<u4")
+    return ordered, places
 
 
 # --- alignment ---------------------------------------------------------------------------------
 
 
 def distance_in_band(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Edit distance of two word sequences, or ``most + 1`` if it is higher: diagonals up to ``most``."""
+    """Edit distance of two word sequences, or ``most + 1`` if it is higher: diagonals up to ``most``.
+
+    The band of a column is one integer with a bit for each row (Myers' differences of neighbouring cells), which
+    moves down a row with each column. Cells outside count one more than their neighbour inside, which no path
+    within ``most`` edits needs. Rows above the first hold their distance to it.
+    """
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > most:
         return most + 1
-    diagonals = np.arange(-most, most + 1)
-    far = len(a) + len(b) + 1
-    slope = np.arange(len(diagonals))
-    row = np.where((diagonals >= 0) & (diagonals <= len(b)), diagonals, far)
-    for i in range(1, len(a) + 1):
-        column = i + diagonals
-        inside = (column >= 0) & (column <= len(b))
-        step = row + (b[np.clip(column - 1, 0, len(b) - 1)] != a[i - 1])
-        step[column < 1] = far
-        step[:-1] = np.minimum(step[:-1], row[1:] + 1)
-        step = np.where(inside, step, far)
-        row = np.where(inside, np.minimum.accumulate(step - slope) + slope, far)
-        if row.min() > most:
+    places: dict[int, list[int]] = {}
+    for place, word in enumerate(a.tolist()):
+        places.setdefault(word, []).append(place)
+    # Of each word the rows of the band that hold it, the row of bit 0, and how many of its places were entered.
+    rows = {word: (0, 0, 0) for word in places}
+    width = 2 * most + 1
+    full = (1 << width) - 1
+    falls = (1 << (most + 1)) - 1
+    rises = full ^ falls
+    cell = most - (len(b) - len(a))  # the diagonal that ends in the last cell
+    distance = len(b) - len(a)
+    for column, word in enumerate(b.tolist()):
+        low = column - most  # the word of ``a`` at bit 0
+        match = 0
+        if word in rows:
+            match, base, entered = rows[word]
+            match >>= low - base if entered else 0
+            mine = places[word]
+            while entered < len(mine) and mine[entered] <= low + 2 * most:
+                if mine[entered] >= low:
+                    match |= 1 << (mine[entered] - low)
+                entered += 1
+            rows[word] = match, low, entered
+        # The column before, seen from the rows of this one.
+        rises, falls = rises >> 1 | 1 << (width - 1), falls >> 1
+        equal = ((((match & rises) + rises) ^ rises) | match | falls) & full
+        right_up = falls | (full & ~(equal | rises))
+        right_down = (equal & rises) << 1 & full
+        right_up = (right_up << 1 | 1) & full
+        rises, falls = right_down | (full & ~(equal | right_up)), equal & right_up
+        distance += not equal >> cell & 1
+        if distance > most:
             return most + 1
-    return min(int(row[len(b) - len(a) + most]), most + 1)
+    return distance
 
 
 def anchors(a: np.ndarray, b: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,6 +183,10 @@ def anchors(a: np.ndarray, b: np.ndarray, most: int) -> tuple[np.ndarray, np.nda
     return left, right
 
 
+def triples(words: np.ndarray) -> np.ndarray:
+    return (words[:-2] * BASE + words[1:-1]) * BASE + words[2:]
+
+
 def counted(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(words, return_counts=True)
 
@@ -173,7 +204,7 @@ def profiles(texts: list[np.ndarray]) -> np.ndarray:
     found = np.zeros((len(texts), 1 << bits), dtype=np.uint16 if max(sizes) < 1 << 16 else np.uint32)
     for row, words in zip(found, texts, strict=True):
         if len(words) > 2:
-            grams = mix((words[:-2] * BASE + words[1:-1]) * BASE + words[2:]) >> np.uint64(64 - bits)
+            grams = mix(triples(words)) >> np.uint64(64 - bits)
             row[:] = np.bincount(grams.astype(np.int64), minlength=1 << bits)
     return found
 
@@ -188,12 +219,57 @@ def may_be_similar(profile: np.ndarray, size: int, others: np.ndarray, sizes: np
     return good
 
 
+def numbered(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All words of the texts as numbers, a word's repeats inside a text apart, and how many texts hold each."""
+    owner = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+    words = np.concatenate(texts)
+    order = np.lexsort((words, owner))
+    fresh = np.concatenate([[True], (words[order][1:] != words[order][:-1]) | (owner[order][1:] != owner[order][:-1])])
+    counter = np.arange(len(words))
+    repeat = np.empty(len(words), dtype=np.uint64)
+    repeat[order] = counter - np.maximum.accumulate(np.where(fresh, counter, 0))
+    _, kind, counts = np.unique(mix(words * BASE + repeat), return_inverse=True, return_counts=True)
+    return kind, counts
+
+
+def partners(texts: list[np.ndarray], kinds: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
+    """Per text the later ones that may be similar, by the rarest words.
+
+    A text of n words shares all but a fifth of the longer one's words with a similar text. With all words,
+    repeats numbered, in one order, such a pair has a word in common among the first floor(n / 5) + 1 of each.
+    Rare words come first, so texts of a common passage seldom meet.
+    """
+    sizes = np.array([len(words) for words in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    kind, counts = kinds or numbered(texts)
+    order = np.lexsort((kind, counts[kind], owner))
+    place = np.arange(len(kind)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # One more than the bound asks for, against rounding.
+    first = order[place <= (1 - SIMILARITY) * np.repeat(sizes, sizes) + 1]
+    by_kind = first[np.argsort(kind[first], kind="stable")]
+    ends = np.cumsum(np.bincount(kind[by_kind], minlength=len(counts)))
+    texts_of = owner[by_kind]  # increasing inside each kind
+    kinds_of, ends_of = kind[first], np.cumsum(np.bincount(owner[first], minlength=len(texts)))
+    found = []
+    for i, end in enumerate(ends_of.tolist()):
+        mine = kinds_of[ends_of[i - 1] if i else 0 : end]
+        lists = [texts_of[ends[k - 1] if k else 0 : ends[k]] for k in mine[counts[mine] > 1].tolist()]
+        flags = np.zeros(len(texts), dtype=bool)
+        for others in lists:
+            flags[others] = True
+        found.append(np.flatnonzero(flags[i + 1 :]) + i + 1)
+    return found
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether 1 - edit distance / longer length is at least ``least``."""
     longer = max(len(a), len(b))
     most = int((1 - least) * longer + 1e-9)
     if longer - min(len(a), len(b)) > most or longer - shared_words(counted(a), counted(b)) > most:
         return False
+    # Each edit takes three shingles of three words at most.
+    if min(len(a), len(b)) > 2 and shared_words(counted(triples(a)), counted(triples(b))) < longer - 2 - 3 * most:
+        return False
     if min(len(a), len(b)) > 1:
         # Aligning the stretches between anchors one by one costs at least the distance of the whole.
         left, right = anchors(a, b, most)
@@ -221,15 +297,18 @@ SKETCHED = "doc_id long, text_hash long, node binary, n_words int, sketches arra
 
 
 def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Node and sketches of every document."""
+    """Node of every document; its sketches once for each batch it is in, so that copies add few rows to a bucket."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, seen = [], set()
             for doc, text_hash, body in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
                 words = word_hashes(body)
-                ordered = sketch(words)[0] if len(words) else np.zeros(0, dtype=np.uint64)
-                rows.append((doc, text_hash, fingerprint(words, body), len(words), ordered.view(np.int64)))
+                node = fingerprint(words, body)
+                fresh = len(words) and node not in seen
+                ordered = np.unique(sketch(words)[0]) if fresh else np.zeros(0, dtype=np.uint64)
+                seen.add(node)
+                rows.append((doc, text_hash, node, len(words), ordered.view(np.int64)))
             frame = pd.DataFrame(rows, columns=[field.split()[0] for field in SKETCHED.split(", ")])
             yield frame.astype({"doc_id": "Int64"})
 
@@ -292,22 +371,34 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
         sides = np.array([row[1] for row in rows])
         numbers = {label: number for number, label in enumerate(dict.fromkeys(row[3] for row in rows))}
         labels = np.array([numbers[row[3]] for row in rows])
-        counts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for i in range(len(rows) - 1):
-            meet = (labels[i + 1 :] != labels[i]) & ((sides[i] == -1) | (sides[i + 1 :] != sides[i]))
-            others = np.flatnonzero(meet) + i + 1
+        kind, counts = numbered(texts)
+        ends, held_here = np.cumsum(sizes).tolist(), np.zeros(len(counts), dtype=bool)
+        runs = [triples(words) if len(words) > 2 else words[:0] for words in texts]
+        run, run_counts = numbered(runs) if any(map(len, runs)) else (kind[:0], counts[:0])
+        run_ends, run_here = np.cumsum([len(found) for found in runs]).tolist(), np.zeros(len(run_counts), dtype=bool)
+        for i, others in enumerate(partners(texts, (kind, counts))):
+            others = others[(labels[others] != labels[i]) & ((sides[i] == -1) | (sides[others] != sides[i]))]
+            if not len(others):
+                continue
+            mine = kind[ends[i] - sizes[i] : ends[i]]
+            mine_runs = run[run_ends[i] - len(runs[i]) : run_ends[i]]
+            held_here[mine], run_here[mine_runs] = True, True
             for j in others[may_be_similar(held[i], sizes[i], held[others], sizes[others])].tolist():
                 if labels[i] == labels[j]:
                     continue  # linked by way of others since
-                for k in (i, j):
-                    if k not in counts:
-                        counts[k] = counted(texts[k])
-                # Most pairs of a common passage end here, with words that were counted once.
-                if shared_words(counts[i], counts[j]) < SIMILARITY * max(sizes[i], sizes[j]) - 1e-6:
+                # Most pairs of a common passage end here.
+                shared = np.count_nonzero(held_here[kind[ends[j] - sizes[j] : ends[j]]])
+                longer = int(max(sizes[i], sizes[j]))
+                most = int((1 - SIMILARITY) * longer + 1e-9)
+                if shared < longer - most:
+                    continue
+                # Each edit takes three shingles of three words at most.
+                if np.count_nonzero(run_here[run[run_ends[j] - len(runs[j]) : run_ends[j]]]) < longer - 2 - 3 * most:
                     continue
                 if similar(texts[i], texts[j]):
                     labels[labels == labels[j]] = labels[i]
                     yield rows[i][2], rows[j][2]
+            held_here[mine], run_here[mine_runs] = False, False
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group: list = []
@@ -362,14 +453,20 @@ def in_blocks(large: DataFrame, nodes: DataFrame, group_rows: int) -> DataFrame:
     return small.unionByName(dealt.select(pair.alias("key"), side.alias("side"), "node", "label"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, text: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, text: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """Links (node, other) between nodes that share a bucket and align."""
     wide = nodes.where("n_words > 0")
-    members = wide.select(F.explode("sketches").alias("key"), "node").distinct()
-    # The bucket's smallest node stands for it; partial sums keep a hot bucket out of one task.
-    heads = members.groupBy("key").agg(F.min("node").alias("other"), F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(heads.drop("n"), "key"))
-    pairs = stored(screened(members.where("node <> other").select("node", "other").distinct(), wide))
+    placed = sketches.select(F.explode("sketches").alias("key"), F.xxhash64("node").alias("short"))
+    # Two hashes of nodes tell whether a bucket has more than one; partial results keep a hot bucket out of one task.
+    heads = placed.groupBy("key").agg(F.min("short").alias("head"), F.max("short").alias("last")).where("head <> last")
+    shared = placed.join(heads.drop("last"), "key")
+    named = wide.select(F.xxhash64("node").alias("short"), "node")
+    # Distinct after the second join, so that adaptive execution may split a hot bucket in the first.
+    members = stored(shared.join(named, "short").select("key", "node", "short", "head").distinct())
+    # The bucket's node with the smallest hash stands for it.
+    heads = named.select(F.col("short").alias("head"), F.col("node").alias("other"))
+    pairs = members.where("short <> head").select("node", "head").distinct().join(heads, "head").select("node", "other")
+    pairs = stored(screened(pairs, wide))
     words = stored(sequences(docs, wide.join(members.select("node").distinct(), "node", "left_semi"), text))
     close = stored(verified(pairs, wide, words))
     # All members of a bucket that are not linked by now meet, the ones that are like their head included.
@@ -389,8 +486,8 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("node", "other").union(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
     both = stored(both.distinct())
     labels = both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label"))
+    labels = stored(labels)
     while True:
-        labels = stored(labels)
         near = both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other")
         near = near.groupBy("node").agg(F.min("near").alias("near"))
         step = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
@@ -405,14 +502,13 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per document: doc_id, text_hash, its class by label and by smallest doc_id, and the class size."""
     every = stored(sketched(docs, text))
-    # One row per node: copies have equal sketches.
+    # One row per node; copies have equal sketches, which stay where they are.
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
     nodes = every.groupBy("node").agg(
-        first, F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"),
-        F.first("sketches").alias("sketches"),
+        first, F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words")
     )
-    nodes = stored(nodes.select("node", "first.*", "least_id", "copies", "n_words", "sketches"))
-    labels = components(links(docs, nodes, text))
+    nodes = stored(nodes.select("node", "first.*", "least_id", "copies", "n_words"))
+    labels = components(links(docs, nodes, every.select("node", "sketches"), text))
     labelled = nodes.select("node", "least_id", "copies").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
     named = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
