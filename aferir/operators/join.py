@@ -37,11 +37,12 @@ def join_unique(
     The facts of a key are dealt over ``salts`` parts and the lookup row is repeated for each, so a hot
     key is never one task. The salt also drops the partitioning that a grouped lookup brings along:
     both sides are then shuffled for this join, and adaptive execution can split a part that is still
-    too large, or broadcast a lookup that turns out small.
+    too large. The merge hint keeps the repeated rows off the driver: the planner sizes the lookup without
+    the repetition and would broadcast ``salts`` times what it takes for small.
 
     The salt is a hash of the row's values, never of its place: a task that runs again after a lost
     executor sends every row to the same part. Rows alike share a part; adaptive execution splits it.
     """
     dealt = facts.withColumn("_sal", F.pmod(F.xxhash64(*_spread(facts, keys)), F.lit(salts)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_sal")
-    return dealt.join(lookup.select("*", every), [*keys, "_sal"], how).drop("_sal")
+    return dealt.join(lookup.select("*", every).hint("merge"), [*keys, "_sal"], how).drop("_sal")
