@@ -736,6 +736,8 @@ def q55_student_rows(spark, folder):
         F.col("p_size").cast("string").alias("co_grupo"),
     )
     fields = [c for c in schemas.COURSE_FILE.columns if c not in ("ano", "co_curso")]
+    # Dealt before they are repeated for every year: a file of one row group is one task.
+    parts = parts.repartition("co_curso", "co_ies", "co_grupo")
     courses = reshape.conform(parts.crossJoin(F.broadcast(years)), dict.fromkeys(fields, "string"))
     joined = enade.student_rows(lines, courses)
     return joined.select("ano_fonte", "ano", "co_curso", "co_ies", "co_grupo", "nt_ger", "tp_pres")
