@@ -6,8 +6,9 @@ Clopper-Pearson bound) must show that the rule rejects less than ``risk`` of the
 level divided by the number of all tests (Bonferroni). The lowest cutoff that passes is used; a rule
 without one rejects nothing in that stratum. Everything is a DataFrame expression.
 
-The labelled documents are a bounded sample: the ``sample`` ids with the lowest MD5, so the table of
-cutoffs has at most that many strata and may be broadcast. All documents are measured.
+All labelled documents are counted. Every document is measured once: the measures are stored, and meet the
+labels by a shuffle without the texts. Only strata with a cutoff are joined back; a stratum needs more than
+a thousand good labelled documents for one (at the default risk and level), so these are few.
 
 Edge cases: a null or empty text has no words and fails the base rules; a null stratum is a stratum
 like any other; a stratum without enough labels has no cutoffs; repeated rows are measured alike;
@@ -19,10 +20,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aferir.llm.common import BLANK_RUN, BLANKS, whole_text
+from aferir.llm.common import BLANK_RUN, BLANKS, stored, whole_text
+from aferir.session import broadcast_if_small
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -35,7 +37,9 @@ CUTOFFS = {
     "word_length_gap": (1.0, 1.5, 2.0, 2.5, 3.0, 4.0),
 }
 USUAL_WORD_LENGTH = 5.0
-RISK, LEVEL, SAMPLE = 0.005, 0.05, 50_000
+RISK, LEVEL = 0.005, 0.05
+#: Labels that the SQL counterpart reads at most; the operator has no such limit.
+SAMPLE = 50_000
 #: Terms of the binomial sum that are added up one by one; the rest is bounded by a geometric series.
 TERMS = 1000
 
@@ -147,31 +151,32 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(log_top) * (summed["total"] + rest))
 
 
+def of_stratum(stratum: str) -> Column:
+    return F.coalesce(F.col(stratum), F.lit(""))
+
+
 def chosen_cutoffs(
-    docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", risk: float = RISK,
-    level: float = LEVEL, sample: int = SAMPLE,
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", risk: float = RISK, level: float = LEVEL
 ) -> DataFrame:
-    """One row per stratum of the labelled sample: the cutoff of each rule, null where none is safe."""
-    good = (
-        labels.where("quality = 1 AND doc_id IS NOT NULL")
-        .select("doc_id")
-        .distinct()
-        .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-        .limit(sample)
-    )
-    docs = docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), F.col(text).alias("text"))
-    holdout = measured(docs.join(F.broadcast(good), "doc_id", "left_semi")).where(~base_failed())
+    """One row per stratum of the labelled documents: the cutoff of each rule, null where none is safe."""
+    return cutoffs_of(measured(docs, text), labels, stratum, risk, level)
+
+
+def cutoffs_of(found: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """The same from documents that are measured already."""
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    holdout = found.where(~base_failed()).select("doc_id", of_stratum(stratum).alias("stratum"), "m")
+    # The ids grow with the corpus: never broadcast.
+    holdout = holdout.join(good.hint("merge"), "doc_id", "left_semi")
     measures = rates()
     beyond = [
         F.sum((measures[rule] > cutoff).cast("long")).alias(f"{rule}_{place}")
         for rule, cutoffs in CUTOFFS.items()
         for place, cutoff in enumerate(cutoffs)
     ]
-    counts = holdout.groupBy("stratum").agg(F.count("*").alias("n"), *beyond)
-    tests = sum(map(len, CUTOFFS.values()))
-    # One row per stratum: few enough for one window.
-    counts = counts.withColumn("n_tests", F.count("*").over(Window.partitionBy()) * tests)
-    safe = lambda rule, place: binomial_tail(F.col(f"{rule}_{place}"), F.col("n"), risk) <= level / F.col("n_tests")
+    counts = stored(holdout.groupBy("stratum").agg(F.count("*").alias("n"), *beyond))
+    allowed = level / max(1, counts.count() * sum(map(len, CUTOFFS.values())))
+    safe = lambda rule, place: binomial_tail(F.col(f"{rule}_{place}"), F.col("n"), risk) <= allowed
     return counts.select(
         "stratum",
         *(
@@ -182,12 +187,13 @@ def chosen_cutoffs(
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", **limits: float) -> DataFrame:
-    """``docs`` with counts ``m``, ``base_failed`` and ``kept``."""
-    cuts = chosen_cutoffs(docs, labels, stratum, text, **limits)
-    cuts = cuts.select(F.col("stratum").alias("_stratum"), F.struct(*(f"{rule}_cut" for rule in CUTOFFS)).alias("_cuts"))
-    found = measured(docs, text).withColumn("base_failed", base_failed())
-    # At most one row for each stratum of a bounded sample.
-    found = found.join(F.broadcast(cuts), F.coalesce(F.col(stratum), F.lit("")) == F.col("_stratum"), "left")
+    """``docs`` without the text, with counts ``m``, ``base_failed`` and ``kept``."""
+    found = stored(measured(docs, text).drop(text))
+    cuts = cutoffs_of(found, labels, stratum, **limits)
+    names = [f"{rule}_cut" for rule in CUTOFFS]
+    cuts = cuts.where(F.coalesce(*names).isNotNull()).select(F.col("stratum").alias("_stratum"), F.struct(*names).alias("_cuts"))
+    found = found.withColumn("base_failed", base_failed())
+    found = found.join(broadcast_if_small(stored(cuts)), of_stratum(stratum) == F.col("_stratum"), "left")
     bad = F.col("base_failed")
     for rule, measure in rates().items():
         bad = bad | F.coalesce(measure > F.col(f"_cuts.{rule}_cut"), F.lit(False))

@@ -80,3 +80,12 @@ def test_keeping_returns_the_same_columns(spark):
     kept = rules.keep_good(docs, labels(spark, [(1, 1, 0), (1, 1, 0), (None, 1, 0)]))
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [100]
     assert plain(rules.keep_good(no_documents(spark), labels(spark, []))) == []
+
+
+def test_labels_are_met_without_limit_or_broadcast(spark, monkeypatch):
+    docs, known = corpus(spark)
+    plans = []
+    keep = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(rules, "stored", keep)
+    rules.chosen_cutoffs(docs, known, risk=0.05)
+    assert "SortMergeJoin" in plans[0] and not any(name in plans[0] for name in ("Limit", "TakeOrdered", "Broadcast"))
