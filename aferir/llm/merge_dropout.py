@@ -27,6 +27,7 @@ from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ DROPOUT, SEED, VARIANTS = 0.1, 17, 0
 SHORT, BLOCK = 48, 6_000
 #: Words remembered, and characters of the texts that are cut together.
 WORDS, UNIT_CHARS = 400_000, 1_500_000
+#: The same, and the texts that are encoded at once, where workers also hold what other operators left.
+WORDS_BESIDE, UNIT_BESIDE, ENCODED_ROWS = 150_000, 300_000, 500
 NEVER = 1 << 30
 #: Odd numbers that mix bits.
 STEP, PLACE, PIECE, SPREAD, MASK = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D, 0xFFFFFFFF
@@ -313,8 +316,9 @@ class Agendas:
 class Segmenter(dict):
     """Ids of (variant, word) as bytes (unsigned 16-bit integers), kept for the life of a worker."""
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int) -> None:
+    def __init__(self, path: str, dropout: float, seed: int, variants: int, remembered: int = WORDS) -> None:
         super().__init__()
+        self.remembered = remembered
         self.pieces, self.dropout, self.seed, self.variants = Pieces(path), dropout, seed, variants
         # One memory per variant, so that a word is the only key to look up.
         self.memories = [Memory(self, variant) for variant in range(variants)]
@@ -325,12 +329,12 @@ class Segmenter(dict):
         """Ids of a whole text; ``key`` (a document's id) chooses the skips."""
         return next(self.ids_of([text], [key]))
 
-    def ids_of(self, texts: Sequence[str], keys: Sequence[object]) -> Iterator[np.ndarray]:
-        """Ids of many texts, in units of about UNIT_CHARS characters that are cut together."""
+    def ids_of(self, texts: Sequence[str], keys: Sequence[object], unit: int = UNIT_CHARS) -> Iterator[np.ndarray]:
+        """Ids of many texts, in units of about so many characters that are cut together."""
         begun, size = 0, 0
         for i, text in enumerate(texts):
             size += len(text)
-            if size >= UNIT_CHARS or i == len(texts) - 1:
+            if size >= unit or i == len(texts) - 1:
                 yield from self._unit(texts[begun : i + 1], keys[begun : i + 1])
                 begun, size = i + 1, 0
 
@@ -405,8 +409,8 @@ class Segmenter(dict):
             data[row] = ids
         for row in np.flatnonzero(long).tolist():
             data[row] = self.pieces.numbers(self.pieces.cut(words[row], self.dropout, int(own[row]) & MASK))
-        if len(known) > WORDS:
-            self.whole = {word: known[word] for word in words[-WORDS:] if len(word) <= SHORT}
+        if len(known) > self.remembered:
+            self.whole = {word: known[word] for word in words[-self.remembered :] if len(word) <= SHORT}
         return data
 
     @property
@@ -434,8 +438,10 @@ class Memory(Remembered):
 _segmenters: dict[tuple, Segmenter] = {}
 
 
-def segmenter(path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> Segmenter:
-    key = path, dropout, seed, variants if dropout else 1
+def segmenter(
+    path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, remembered: int = WORDS
+) -> Segmenter:
+    key = path, dropout, seed, variants if dropout else 1, remembered
     if key not in _segmenters:
         _segmenters[key] = Segmenter(*key)
     return _segmenters[key]
@@ -446,16 +452,23 @@ def encode_texts(
 ) -> DataFrame:
     """doc_id and piece ids of every document; they are decoded and compared with the text."""
 
-    @F.pandas_udf("array<int>")
-    def encode(keys: pd.Series, texts: pd.Series) -> pd.Series:
-        segment = segmenter(path, dropout, seed, variants)
-        found = list(segment.ids_of(texts.tolist(), keys.tolist()))
-        if any((segment.text(ids) if len(ids) else "") != t for ids, t in zip(found, texts, strict=True)):
-            raise ValueError("pieces do not decode to their text")
-        return pd.Series([ids.astype(np.int32) for ids in found])
-
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return docs.select("doc_id", encode(key, whole_text(text)).alias("pieces"))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment = segmenter(path, dropout, seed, variants, WORDS_BESIDE)
+        for batch in batches:
+            # Some rows at a time, so that neither side holds the pieces of a whole batch.
+            for rows in (batch.slice(at, ENCODED_ROWS) for at in range(0, batch.num_rows, ENCODED_ROWS)):
+                texts = rows.column("text").to_pylist()
+                found = list(segment.ids_of(texts, rows.column("key").to_pylist(), UNIT_BESIDE))
+                if any((segment.text(ids) if len(ids) else "") != t for ids, t in zip(found, texts, strict=True)):
+                    raise ValueError("pieces do not decode to their text")
+                ends = np.cumsum([0, *map(len, found)])
+                values = pa.array(np.concatenate(found).astype(np.int32), type=pa.int32())
+                pieces = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pieces], names=["doc_id", "pieces"])
+
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
+    source = docs.select("doc_id", key, whole_text(text).alias("text"))
+    return source.mapInArrow(encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, pieces array<int>")
 
 
 def decode_pieces(pieces: DataFrame, path: str) -> DataFrame:

@@ -115,3 +115,14 @@ def test_rates_of_nothing_and_everything():
     text = prose(5, 60)
     assert md.Segmenter(PATH, 0.0, 1, 0).ids(text, "k").tolist() == SentencePieceProcessor(model_file=PATH).encode(text)
     assert len(md.Segmenter(PATH, 1.0, 1, 0).ids(text, "k")) == len(text) + 1
+
+
+def test_encoding_passes_on_some_rows_at_a_time(spark, monkeypatch):
+    texts = [f"some words {i} of a text, {i * 7919}" for i in range(1200)]
+    docs = odd_documents(spark, texts).coalesce(1)
+    plan = md.encode_texts(docs, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    # Other units and a small memory give the same pieces.
+    few, many = md.Segmenter(PATH, 0.1, 17, 0, 50), md.Segmenter(PATH, 0.1, 17, 0)
+    for a, b in zip(few.ids_of(texts, range(1200), 900), many.ids_of(texts, range(1200)), strict=True):
+        assert a.tolist() == b.tolist()
