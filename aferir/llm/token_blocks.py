@@ -56,7 +56,7 @@ class Encoder(Remembered):
         The tokenizer lowers case and cuts between letters and signs itself; characters up to U+00FF
         are the same in its normal form. The model takes letters as the signs of their bytes.
         """
-        if max(word, default="") < "\u0100" and "<|" not in word:
+        if (word.isascii() or max(word) < "\u0100") and "<|" not in word:
             low = word.lower()
             closed = low[-1:] in CLOSING and low[-2:-1].isalnum()
             base = low[:-1] if closed else low
