@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ from aferir.session import broadcast_if_small
 WORDS, SKETCHES, PER_SKETCH = 5, 72, 2
 SIMILARITY = 0.8
 GROUP_ROWS = 2048
+#: Orders of buckets, by which the pairs of a group that shares many are dealt over them.
+ORDERS = 8
 #: Ids that may be broadcast to pick texts; 24 bytes each.
 PICKED_ROWS = 500_000
 WORD = re.compile(r"\w+")
@@ -359,25 +361,65 @@ def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.where(near).select("node", "other")
 
 
-def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> DataFrame:
-    """Links among the members (key, side, node, label) of each key; a key has at most GROUP_ROWS members.
+def met_elsewhere(bucket: int, keys: list[np.ndarray], nodes: list[bytes]) -> Callable[[int], np.ndarray]:
+    """For a member of a bucket, flags of the members that it is compared with in another one, by all buckets' keys.
+
+    A pair is compared in the lowest bucket that both are in, under one of several orders, which the nodes' hashes
+    choose. So the pairs of a group that shares many buckets are dealt over them.
+    """
+    owner = np.repeat(np.arange(len(keys)), [len(found) for found in keys])
+    values, kind, counts = np.unique(np.concatenate(keys).view(np.uint64), return_inverse=True, return_counts=True)
+    shared = counts > 1
+    owner, kind, values = owner[shared[kind]], (np.cumsum(shared) - 1)[kind[shared[kind]]], values[shared]
+    # Members of each bucket as bits: whom a member meets is the union over its buckets.
+    bits = np.zeros((len(values), (len(keys) + 7) // 8), dtype=np.uint8)
+    np.bitwise_or.at(bits, (kind, owner // 8), (128 >> owner % 8).astype(np.uint8))
+    ends = np.cumsum(np.bincount(owner, minlength=len(keys)))
+    orders = SEEDS[:ORDERS, None]
+    lower = mix(values[None, :] ^ orders) < mix(np.array([bucket]).view(np.uint64)[None, :] ^ orders)
+    turn = np.array([int.from_bytes(node[:4], "little") for node in nodes], dtype=np.int64)
+
+    def met(i: int) -> np.ndarray:
+        mine = kind[ends[i - 1] if i else 0 : ends[i]]
+        rows = np.array([np.bitwise_or.reduce(bits[mine[low[mine]]], axis=0) for low in lower])
+        flags = np.unpackbits(rows, axis=1, count=len(keys))
+        return flags[(turn + turn[i]) % ORDERS, np.arange(len(keys))].astype(bool)
+
+    return met
+
+
+def linked_within(members: DataFrame, buckets: DataFrame, words: DataFrame) -> DataFrame:
+    """Links among the members (key, bucket, side, node, label) of each key; a key has at most GROUP_ROWS members.
 
     Members of one label are linked already. Members of one side meet under another key; side -1 meets all.
+    Near copies share most of their ``buckets`` (key, node), but two nodes are compared in one of them only.
     """
 
     def links(rows: list) -> Iterator[tuple[bytes, bytes]]:
-        texts = [np.frombuffer(row[4], dtype="<u4").astype(np.uint64) for row in rows]
-        sizes, held = np.array([len(words) for words in texts]), profiles(texts)
         sides = np.array([row[1] for row in rows])
         numbers = {label: number for number, label in enumerate(dict.fromkeys(row[3] for row in rows))}
         labels = np.array([numbers[row[3]] for row in rows])
+        met = met_elsewhere(rows[0][5], [np.asarray(row[6], dtype=np.int64) for row in rows], [row[2] for row in rows])
+        wanted = []
+        for i in range(len(rows)):
+            others = np.arange(i + 1, len(rows))
+            others = others[(labels[others] != labels[i]) & ((sides[i] == -1) | (sides[others] != sides[i]))]
+            wanted.append(others[~met(i)[others]] if len(others) else others)
+        n_wanted = sum(map(len, wanted))
+        if not n_wanted:
+            return
+        texts = [np.frombuffer(row[4], dtype="<u4").astype(np.uint64) for row in rows]
+        sizes, held = np.array([len(words) for words in texts]), profiles(texts)
         kind, counts = numbered(texts)
         ends, held_here = np.cumsum(sizes).tolist(), np.zeros(len(counts), dtype=bool)
         runs = [triples(words) if len(words) > 2 else words[:0] for words in texts]
         run, run_counts = numbered(runs) if any(map(len, runs)) else (kind[:0], counts[:0])
         run_ends, run_here = np.cumsum([len(found) for found in runs]).tolist(), np.zeros(len(run_counts), dtype=bool)
-        for i, others in enumerate(partners(texts, (kind, counts))):
-            others = others[(labels[others] != labels[i]) & ((sides[i] == -1) | (sides[others] != sides[i]))]
+        # Where few of the pairs are left, looking for partners costs more than the next bound.
+        if n_wanted > 64 * len(rows):
+            wanted = map(np.intersect1d, wanted, partners(texts, (kind, counts)))
+        for i, others in enumerate(wanted):
+            others = others[labels[others] != labels[i]]
             if not len(others):
                 continue
             mine = kind[ends[i] - sizes[i] : ends[i]]
@@ -405,7 +447,7 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
         for batch in batches:
             found = []
             for row in batch.itertuples(index=False, name=None):
-                if group and row[0] != group[0][0]:
+                if group and (row[0], row[5]) != (group[0][0], group[0][5]):
                     found += links(group)
                     group = []
                 group.append(row)
@@ -413,11 +455,12 @@ def linked_within(members: DataFrame, nodes: DataFrame, words: DataFrame) -> Dat
         if group:
             yield pd.DataFrame(list(links(group)), columns=["node", "other"])
 
-    rows = members.join(words, "node")
+    every = buckets.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    rows = members.join(every.join(words, "node"), "node")
     # A number of its own: groups are small in bytes but not in work, so adaptive execution must not merge them.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("key", "side", "node", "label", "words").repartition(parts, "key")
-    return rows.sortWithinPartitions("key", "node").mapInPandas(work, "node binary, other binary").distinct()
+    rows = rows.select("key", "side", "node", "label", "words", "bucket", "keys").repartition(parts, "key")
+    return rows.sortWithinPartitions("key", "bucket", "node").mapInPandas(work, "node binary, other binary").distinct()
 
 
 def unlinked(members: DataFrame) -> DataFrame:
@@ -428,16 +471,16 @@ def unlinked(members: DataFrame) -> DataFrame:
 
 
 def in_blocks(large: DataFrame, nodes: DataFrame, group_rows: int) -> DataFrame:
-    """Members of keys of any size under keys of at most about ``group_rows``, where all that may be alike still meet.
+    """Members of buckets of any size under keys of at most about ``group_rows``, where all that may be alike still meet.
 
     Lengths of similar texts lie in one band or in two next to each other. What is larger still is cut into
     blocks, and each pair of blocks is a key; members of the first label need not meet among themselves.
     """
     sized = large.select("key", "node", "label").join(nodes.select("node", "n_words"), "node")
     band = F.floor(F.log("n_words") / -math.log(SIMILARITY))
-    banded = sized.select("node", "label", "key", F.explode(F.array(band, band - 1)).alias("band"))
-    banded = stored(unlinked(banded.select(F.xxhash64("key", "band").alias("key"), "node", "label")))
-    small = banded.where(F.col("n") <= group_rows).select("key", F.lit(-1).alias("side"), "node", "label")
+    banded = sized.select("node", "label", F.col("key").alias("bucket"), F.explode(F.array(band, band - 1)).alias("band"))
+    banded = stored(unlinked(banded.select(F.xxhash64("bucket", "band").alias("key"), "bucket", "node", "label")))
+    small = banded.where(F.col("n") <= group_rows).select("key", "bucket", F.lit(-1).alias("side"), "node", "label")
     large = banded.where(F.col("n") > group_rows)
     part = max(1, group_rows // 2)
     is_main = F.col("label") == F.col("main")
@@ -450,7 +493,7 @@ def in_blocks(large: DataFrame, nodes: DataFrame, group_rows: int) -> DataFrame:
     dealt = dealt.withColumn("block", block).withColumn("partner", partners)
     pair = F.xxhash64("key", F.least("block", "partner"), F.greatest("block", "partner"))
     side = F.when(F.col("block") == F.col("partner"), -1).otherwise(F.col("block")).cast("int")
-    return small.unionByName(dealt.select(pair.alias("key"), side.alias("side"), "node", "label"))
+    return small.unionByName(dealt.select(pair.alias("key"), "bucket", side.alias("side"), "node", "label"))
 
 
 def links(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, text: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -473,30 +516,44 @@ def links(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, text: str = "t
     labels = components(close)
     labelled = members.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rest = stored(unlinked(labelled))
-    small = rest.where(F.col("n") <= group_rows).select("key", F.lit(-1).alias("side"), "node", "label")
-    found = close.unionByName(stored(linked_within(small, wide, words)))
+    small = rest.where(F.col("n") <= group_rows)
+    small = small.select("key", F.col("key").alias("bucket"), F.lit(-1).alias("side"), "node", "label")
+    buckets = rest.select("key", "node")
+    # The labels stand for the links that gave them: one for each node, however many heads it is like.
+    found = labels.where("node <> label").select("node", F.col("label").alias("other"))
+    found = found.unionByName(stored(linked_within(small, buckets, words)))
     large = rest.where(F.col("n") > group_rows)
     if large.isEmpty():
         return found
-    return found.unionByName(stored(linked_within(stored(in_blocks(large, wide, group_rows)), wide, words)))
+    return found.unionByName(stored(linked_within(stored(in_blocks(large, wide, group_rows)), buckets, words)))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """The smallest node (label) that each linked node can reach."""
-    both = edges.select("node", "other").union(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    both = stored(both.distinct())
-    labels = both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label"))
-    labels = stored(labels)
+    """The smallest node (label) that each linked node can reach.
+
+    Each node moves to its least neighbour and on to that one's; links between the places then reached are what is
+    left. So a group of many links shrinks to a few with every round.
+    """
+    edges = stored(edges.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other")).distinct())
+    labels = None
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other")
-        near = near.groupBy("node").agg(F.min("near").alias("near"))
-        step = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        # The label's own label is a shortcut along the chain.
-        ahead = labels.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
-        step = stored(step.join(ahead, "label", "left").select("node", F.least("label", F.coalesce("ahead", "label")).alias("label"), "old"))
-        if step.where("label <> old").isEmpty():
-            return step.select("node", "label")
-        labels = step.select("node", "label")
+        both = edges.select("node", "other").union(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
+        least = both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("label"))
+        least = stored(least)
+        ahead = least.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
+        moved = stored(least.join(ahead, "label").select("node", F.col("ahead").alias("label")))
+        if labels is None:
+            labels = moved
+        else:
+            on = moved.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
+            labels = labels.join(on, "label", "left").select("node", F.coalesce("ahead", "label").alias("label"))
+            labels = stored(labels)
+        to = moved.select(F.col("node").alias("other"), F.col("label").alias("far"))
+        edges = edges.join(moved, "node").join(to, "other").where("label <> far")
+        edges = edges.select(F.least("label", "far").alias("node"), F.greatest("label", "far").alias("other"))
+        edges = stored(edges.distinct())
+        if edges.isEmpty():
+            return labels
 
 
 def classes(docs: DataFrame, text: str = "text") -> DataFrame:

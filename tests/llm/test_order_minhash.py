@@ -172,3 +172,31 @@ def test_recall_at_the_threshold():
         a, b = (omh.sketch(np.array(words, dtype=np.uint64))[0] for words in (a, b))
         found += bool((a == b).any())
     assert found >= 0.88 * 400  # 0.9 but for three deviations of the trial
+
+
+def test_pairs_of_many_buckets_are_compared_in_one(spark):
+    """Near copies share most buckets: every pair meets in one of them, and the pairs are dealt over several."""
+    rng = np.random.default_rng(5)
+    n, keys = 40, np.array([-7, 3, 11, 1 << 60, -(1 << 62)], dtype=np.int64)
+    held = [np.sort(rng.choice(keys, rng.integers(1, 6), replace=False)) for _ in range(n)]
+    nodes = [rng.bytes(16) for _ in range(n)]
+    meetings = np.zeros((n, n), dtype=int)
+    dealt = []
+    for key in keys.tolist():
+        here = [i for i in range(n) if key in held[i]]
+        met = omh.met_elsewhere(key, [held[i] for i in here], [nodes[i] for i in here])
+        for a, i in enumerate(here):
+            for b in np.flatnonzero(~met(a)):
+                meetings[i, here[b]] += 1
+        dealt.append(meetings.sum())
+    share = np.array([[bool(set(a.tolist()) & set(b.tolist())) for b in held] for a in held])
+    assert (meetings == share).all()
+    assert (np.diff([0, *dealt]) > 0).all()
+
+
+def test_components_of_a_chain_and_a_dense_group(spark):
+    chain = [(bytes([0, i]), bytes([0, i + 1])) for i in range(60)]
+    dense = [(bytes([1, i]), bytes([1, j])) for i in range(12) for j in range(i)]
+    edges = spark.createDataFrame(chain + dense + dense[:5], "node binary, other binary")
+    found = {bytes(r["node"]): bytes(r["label"]) for r in omh.components(edges).collect()}
+    assert found == {bytes([0, i]): bytes([0, 0]) for i in range(61)} | {bytes([1, i]): bytes([1, 0]) for i in range(12)}
